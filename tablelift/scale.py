@@ -143,10 +143,10 @@ def _hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
 
 
-def _same(left: Sequence[Column], right: Sequence[Column]) -> Column:
+def _is_hot(keys: list[str]) -> Column:
     condition = F.lit(True)
-    for a, b in zip(left, right, strict=True):
-        condition = condition & a.eqNullSafe(b)
+    for i, key in enumerate(keys):
+        condition = condition & F.col(key).eqNullSafe(F.col(f"__hot_{i}"))
     return condition
 
 
@@ -194,15 +194,13 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str], how
     hot = hot_keys(fact, keys)
     if hot is None:
         return fact.join(lookup, keys, how)
-    marks = [hot[f"__hot_{i}"] for i in range(len(keys))]
-    fact_columns = fact.columns
     salted = (
-        fact.join(hot, _same([fact[k] for k in keys], marks), "left")
+        fact.join(hot, _is_hot(keys), "left")
         .withColumn("__salt", F.coalesce(F.pmod(F.xxhash64(*_hashable(fact)), F.col("__fan")), F.lit(0)))
-        .select(*fact_columns, "__salt")
+        .select(*fact.columns, "__salt")
     )
     repeated = (
-        lookup.join(hot, _same([lookup[k] for k in keys], marks), "left")
+        lookup.join(hot, _is_hot(keys), "left")
         .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__fan") - 1, F.lit(0)))))
         .select(*lookup.columns, F.col("__salt").cast("long").alias("__salt"))
     )
