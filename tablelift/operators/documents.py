@@ -15,6 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablelift.functions import all_matches, path_without_root, shorten
 from tablelift.operators.sequence import collect_in_pieces, surrogate_keys
@@ -48,7 +49,7 @@ def _parse(text: str | None) -> ET.Element | None:
         return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def xml_error(texts: pd.Series) -> pd.Series:
     """The parser's message for a malformed document; NULL for a sound or empty one."""
 
@@ -212,9 +213,16 @@ def _evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _from_root(expression: str) -> str:
+    """The expression for an engine that starts at the document instead of the root element."""
+    parts = re.findall(r"(?:'[^']*'|\"[^\"]*\"|\[[^\]]*\]|\([^)]*\)|[^|])+", expression)
+    relative = re.compile(r"^(?![/(])(?!(?!node|text|comment|processing-instruction)[\w-]+\s*\()")
+    return "|".join(f"/*/{p.strip()}" if relative.match(p.strip()) else p for p in parts)
+
+
 def _xpath_error(df: DataFrame, expression: str) -> str | None:
     """Why XPath 1.0 rejects an expression; None if it is valid."""
-    probe = df.sparkSession.range(1).select(F.xpath_boolean(F.lit("<a/>"), F.lit(f"boolean({expression})")).alias("b"))
+    probe = df.sparkSession.range(1).select(F.xpath_boolean(F.lit("<a/>"), F.lit(_from_root(expression))).alias("b"))
     try:
         probe.collect()
     except Exception as error:  # the error class differs between analysis and folding
@@ -250,7 +258,7 @@ def _evaluate_others(pairs: DataFrame, documents: DataFrame) -> DataFrame:
                 *[
                     F.struct(
                         F.lit(e).alias("expr"),
-                        F.xpath_boolean("document", F.lit(f"boolean({e})")).alias("hit"),
+                        F.xpath_boolean("document", F.lit(_from_root(e))).alias("hit"),
                     )
                     for e in valid
                 ]

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-COMPLETE = "_complete"
+COMPLETE = "complete"
+MARKER_SCHEMA = "name string, version int"
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -45,6 +47,8 @@ def run_sql(spark: SparkSession, text: str) -> DataFrame | None:
 class SnapshotStore:
     """A chain of snapshots, ``<root>/<version>/<table>``, each finished by a marker.
 
+    The marker lists the tables with the version that wrote them: a table no
+    step has touched is not copied, the new snapshot points at the old files.
     A version counts as present only once its marker is written, so a run that
     dies half-way cannot be resumed from a partial folder.
     """
@@ -56,31 +60,43 @@ class SnapshotStore:
     def _path(self, version: int, name: str) -> str:
         return f"{self.root}/{version}/{name}"
 
-    def _manifest(self, version: int) -> list[str] | None:
-        from pyspark.errors import AnalysisException
+    def _mark(self, version: int, written: Mapping[str, int]) -> None:
+        marker = self.spark.createDataFrame(sorted(written.items()), MARKER_SCHEMA)
+        marker.coalesce(1).write.mode("overwrite").parquet(self._path(version, COMPLETE))
 
+    def manifest(self, version: int) -> dict[str, int]:
+        """Which version wrote each table; empty if the snapshot is absent or incomplete."""
         try:
-            rows = self.spark.read.schema("name string").parquet(self._path(version, COMPLETE)).collect()
+            rows = self.spark.read.schema(MARKER_SCHEMA).parquet(self._path(version, COMPLETE)).collect()
         except AnalysisException:
-            return None
-        return sorted(row.name for row in rows)
+            return {}
+        return {row.name: row.version for row in rows}
 
     def exists(self, version: int) -> bool:
-        return self._manifest(version) is not None
-
-    def write(self, version: int, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-        """Write every table, then the marker, and return the tables as read back."""
+        return bool(self.manifest(version))
+
+    def invalidate(self, version: int) -> None:
+        """Forget a snapshot, so that nobody resumes from an earlier run's leftovers."""
+        if self.exists(version):
+            self._mark(version, {})
+
+    def write(
+        self, version: int, tables: Mapping[str, DataFrame], unchanged: Mapping[str, int] | None = None
+    ) -> dict[str, DataFrame]:
+        """Write the changed tables, then the marker; returns all tables as read back."""
+        unchanged = unchanged or {}
+        result = {}
         for name, df in tables.items():
+            if name in unchanged:
+                result[name] = df
+                continue
             df.write.mode("overwrite").parquet(self._path(version, name))
-        marker = self.spark.createDataFrame([(name,) for name in tables], "name string")
-        marker.coalesce(1).write.mode("overwrite").parquet(self._path(version, COMPLETE))
-        return {
-            name: self.spark.read.schema(df.schema).parquet(self._path(version, name))
-            for name, df in tables.items()
-        }
+            result[name] = self.spark.read.schema(df.schema).parquet(self._path(version, name))
+        self._mark(version, {name: unchanged.get(name, version) for name in tables})
+        return result
 
     def read(self, version: int) -> dict[str, DataFrame]:
-        names = self._manifest(version)
-        if names is None:
+        written = self.manifest(version)
+        if not written:
             raise FileNotFoundError(f"no complete snapshot of version {version} below {self.root}")
-        return {name: self.spark.read.parquet(self._path(version, name)) for name in names}
+        return {name: self.spark.read.parquet(self._path(v, name)) for name, v in written.items()}
