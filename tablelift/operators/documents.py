@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from tablelift.functions import all_matches, path_without_root, shorten
 from tablelift.operators.sequence import collect_in_pieces, surrogate_keys
-from tablelift.scale import lookup_join, materialise
+from tablelift.scale import bounded_frame, lookup_join, materialise
 
 # fixed values: names and tags that are not field references
 SPECIAL_NAMES = ("id", "__last_update", "display_name")
@@ -247,7 +247,7 @@ def _evaluate_others(pairs: DataFrame, documents: DataFrame) -> DataFrame:
         invalid = [(e, m) for e, m in errors.items() if m]
         valid = [e for e in listed if not errors[e]]
         if invalid:
-            reasons = F.broadcast(spark.createDataFrame(invalid, "expr string, error string"))
+            reasons = bounded_frame(spark, invalid, "expr string, error string")
             results.append(
                 pairs.join(reasons, "expr").select("parent_id", "expr", F.lit("invalid").alias("verdict"), "error")
             )

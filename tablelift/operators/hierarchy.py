@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelift.functions import is_true
-from tablelift.scale import lookup_join, materialise
+from tablelift.scale import lookup_join, materialise, materialise_counted
 
 
 def lineage_check(df: DataFrame, row_id: str, parent: str, broken: Column | None = None) -> DataFrame:
@@ -39,7 +39,7 @@ def lineage_check(df: DataFrame, row_id: str, parent: str, broken: Column | None
     state = lookup_join(rows, known, "parent", "left").select(
         "id", "parent", status.alias("status"), F.lit(0).cast("long").alias("depth")
     )
-    state = materialise(state, "lineage")
+    state, seen = materialise_counted(state, "lineage", {"open": F.col("status").isNull()})
 
     fates = state.where(F.col("status").isNotNull())
     settled = [fates]
@@ -47,7 +47,7 @@ def lineage_check(df: DataFrame, row_id: str, parent: str, broken: Column | None
     open_rows = state.where(F.col("status").isNull()).select(
         "id", "parent", F.col("parent").alias("ancestor"), F.lit(1).cast("long").alias("hop")
     )
-    left, images = open_rows.count(), None
+    left, images = seen["open"], None
     while left:
         fate = fates.select(
             F.col("id").alias("ancestor"), F.col("status").alias("__status"), F.col("depth").alias("__depth")
@@ -56,7 +56,8 @@ def lineage_check(df: DataFrame, row_id: str, parent: str, broken: Column | None
             F.col("id").alias("ancestor"), F.col("ancestor").alias("__next"), F.col("hop").alias("__hop")
         )
         above = fate.join(step, "ancestor", "full_outer")
-        joined = materialise(lookup_join(open_rows, above, "ancestor", "left"), "lineage")
+        joined = lookup_join(open_rows, above, "ancestor", "left")
+        joined, seen = materialise_counted(joined, "lineage", {"open": F.col("__status").isNull()})
         sound = F.col("__status") == "ok"
         done = joined.where(F.col("__status").isNotNull()).select(
             "id",
@@ -69,7 +70,7 @@ def lineage_check(df: DataFrame, row_id: str, parent: str, broken: Column | None
         )
         settled.append(done)
         fates = fates.unionByName(done)
-        before, left = left, open_rows.count()
+        before, left = left, seen["open"]
         if left == before:
             # nobody was settled: all that is left lies on a cycle or below one.  Doubling on
             # moves every pointer onto a cycle; the pointers' targets are then the cycles.

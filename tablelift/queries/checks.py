@@ -73,9 +73,7 @@ def affected_rows(spark, sf):
         new_table_path(spark, "affected"),
         {"renamed": F.col("event_type").startswith("MIGRATED-"), "remaining": F.col("event_type") == "error"},
     )
-    return spark.createDataFrame(
-        [(seen["rows"], seen["renamed"], seen["remaining"])], "rows long, renamed long, remaining long"
-    )
+    return spark.range(1).select(*[F.lit(seen[name]).cast("long").alias(name) for name in ("rows", "renamed", "remaining")])
 
 
 @query(

@@ -16,15 +16,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MIB = 1 << 20
 MAX_HOT_KEYS = 1000
+UNKNOWN_SIZE = 1 << 60  # Spark's default for relations without statistics lies above this
 
 
 @dataclass(frozen=True)
@@ -99,11 +101,22 @@ def materialise(df: DataFrame, label: str, partition_by: str | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialise_counted(
+    df: DataFrame, label: str, counts: Mapping[str, Column]
+) -> tuple[DataFrame, dict[str, int]]:
+    """`materialise`, with rows counted per predicate in the same pass."""
+    seen = Observation()
+    metrics = [F.count_if(predicate).alias(name) for name, predicate in counts.items()]
+    written = materialise(df.observe(seen, *metrics), label)
+    return written, dict(seen.get)
+
+
 def range_partitions(df: DataFrame) -> int:
     """How many range partitions keep each of them near `range_bytes`."""
     spark = df.sparkSession
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(configured, -(-input_bytes(df) // Limits.of(spark).range_bytes))
+    size = input_bytes(df)
+    return configured if size >= UNKNOWN_SIZE else max(configured, -(-size // Limits.of(spark).range_bytes))
 
 
 def checked_broadcast(df: DataFrame) -> DataFrame:
@@ -116,13 +129,21 @@ def checked_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
-def bounded_frame(spark: SparkSession, rows: Iterable, schema: str) -> DataFrame:
+def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A few driver-held rows as a local relation, whose size Catalyst knows."""
+    columns = [pa.array([row[i] for row in rows]) for i in range(len(schema.fields))]
+    table = pa.Table.from_arrays(columns, names=schema.names)
+    df = spark.createDataFrame(table)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def bounded_frame(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
     """A driver-held list as a DataFrame with a broadcast hint, refused when too long."""
     rows = list(rows)
-    limit = Limits.of(spark).broadcast_rows
+    limit = max(Limits.of(spark).broadcast_rows, MAX_HOT_KEYS)
     if len(rows) > limit:
         raise ValueError(f"{len(rows)} entries exceed the {limit} a driver-held list may have")
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    return F.broadcast(local_frame(spark, rows, T.StructType.fromDDL(schema)))
 
 
 def largest_group(df: DataFrame, part: str | Sequence[str]) -> int:
@@ -173,7 +194,7 @@ def hot_keys(df: DataFrame, on: str | Sequence[str]) -> DataFrame | None:
         + [T.StructField("__fan", T.LongType())]
     )
     rows = [(*[row[k] for k in keys], -(-row["count"] // limit)) for row in heavy]
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+    return F.broadcast(local_frame(df.sparkSession, rows, schema))
 
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
