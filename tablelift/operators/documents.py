@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -220,14 +220,24 @@ def _from_root(expression: str) -> str:
     return "|".join(f"/*/{p.strip()}" if relative.match(p.strip()) else p for p in parts)
 
 
-def _xpath_error(df: DataFrame, expression: str) -> str | None:
-    """Why XPath 1.0 rejects an expression; None if it is valid."""
-    probe = df.sparkSession.range(1).select(F.xpath_boolean(F.lit("<a/>"), F.lit(_from_root(expression))).alias("b"))
-    try:
-        probe.collect()
-    except Exception as error:  # the error class differs between analysis and folding
-        return str(error).splitlines()[0]
-    return None
+def _xpath_errors(spark: SparkSession, expressions: list[str]) -> dict[str, str]:
+    """Why XPath 1.0 rejects some of these expressions; valid ones are left out.
+
+    All are tried together on a tiny document, and one by one only if that fails.
+    """
+
+    def failure(tried: list[str]) -> str | None:
+        calls = [F.xpath_boolean(F.lit("<a/>"), F.lit(_from_root(e))) for e in tried]
+        try:
+            spark.range(1).select(F.array(*calls)).collect()
+        except Exception as error:  # the class differs between analysis and evaluation
+            return str(error).splitlines()[0]
+        return None
+
+    if failure(expressions) is None:
+        return {}
+    reasons = {e: failure([e]) for e in expressions}
+    return {e: reason for e, reason in reasons.items() if reason}
 
 
 def _evaluate_others(pairs: DataFrame, documents: DataFrame) -> DataFrame:
@@ -243,9 +253,9 @@ def _evaluate_others(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     for start in range(0, total, EXPRESSIONS_PER_JOB):
         within = (F.col("__no") > start) & (F.col("__no") <= start + EXPRESSIONS_PER_JOB)
         listed = [row.expr for row in distinct.where(within).collect()]
-        errors = {e: _xpath_error(pairs, e) for e in listed}
-        invalid = [(e, m) for e, m in errors.items() if m]
-        valid = [e for e in listed if not errors[e]]
+        errors = _xpath_errors(spark, listed)
+        invalid = sorted(errors.items())
+        valid = [e for e in listed if e not in errors]
         if invalid:
             reasons = bounded_frame(spark, invalid, "expr string, error string")
             results.append(

@@ -49,13 +49,22 @@ def lineage_check(df: DataFrame, row_id: str, parent: str, broken: Column | None
     )
     left, images = seen["open"], None
     while left:
-        fate = fates.select(
-            F.col("id").alias("ancestor"), F.col("status").alias("__status"), F.col("depth").alias("__depth")
+        unknown = F.lit(None)
+        above = fates.select(
+            F.col("id").alias("ancestor"),
+            F.col("status").alias("__status"),
+            F.col("depth").alias("__depth"),
+            unknown.cast(fates.schema["id"].dataType).alias("__next"),
+            unknown.cast("long").alias("__hop"),
+        ).unionByName(
+            open_rows.select(
+                F.col("id").alias("ancestor"),
+                unknown.cast("string").alias("__status"),
+                unknown.cast("long").alias("__depth"),
+                F.col("ancestor").alias("__next"),
+                F.col("hop").alias("__hop"),
+            )
         )
-        step = open_rows.select(
-            F.col("id").alias("ancestor"), F.col("ancestor").alias("__next"), F.col("hop").alias("__hop")
-        )
-        above = fate.join(step, "ancestor", "full_outer")
         joined = lookup_join(open_rows, above, "ancestor", "left")
         joined, seen = materialise_counted(joined, "lineage", {"open": F.col("__status").isNull()})
         sound = F.col("__status") == "ok"

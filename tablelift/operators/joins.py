@@ -18,14 +18,17 @@ from tablelift.operators.sequence import collect_in_pieces
 from tablelift.scale import as_list, lookup_join
 
 
-def one_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+def one_per_key(
+    df: DataFrame, key: str | Sequence[str], order: Sequence[Column | str], keep: Sequence[str] | None = None
+) -> DataFrame:
     """The first row of each key in the given order; combined before the shuffle."""
     keys = as_list(key)
-    rest = [c for c in df.columns if c not in keys]
+    rest = [c for c in df.columns if c not in keys] if keep is None else list(keep)
     if not rest:
-        return df.distinct()
+        return df.select(*keys).distinct()
     first = F.min_by(F.struct(*rest), F.struct(*order))
-    return df.groupBy(*keys).agg(first.alias("__row")).select(*keys, "__row.*").select(*df.columns)
+    columns = [c for c in df.columns if c in keys or c in rest]
+    return df.groupBy(*keys).agg(first.alias("__row")).select(*keys, "__row.*").select(*columns)
 
 
 def with_membership(df: DataFrame, column: str, others: DataFrame, key: str, out: str) -> DataFrame:
@@ -128,7 +131,7 @@ def update_from(
     ).dropna(subset=keys)
     if not unique:
         values = [f"__new_{t}" for t in columns]
-        picked = one_per_key(picked, keys, [f"__tie_{i}" for i in range(len(ties))] or values)
+        picked = one_per_key(picked, keys, [f"__tie_{i}" for i in range(len(ties))] or values, values)
     picked = picked.drop(*[f"__tie_{i}" for i in range(len(ties))]).withColumn("__hit", F.lit(True))
     joined = lookup_join(df, picked, keys, "left")
     apply = F.col("__hit") if where is None else F.col("__hit") & where

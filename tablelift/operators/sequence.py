@@ -11,7 +11,9 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -149,28 +151,45 @@ def previous_row(df: DataFrame, part: str | Sequence[str], order: Order, row_id:
     return numbered.drop("__seq")
 
 
+def _group_starts(columns: list[pa.Array], rows: int) -> list[int]:
+    """Positions at which any column differs from the row before, NULLs being equal."""
+    changed = np.zeros(rows, dtype=bool)
+    changed[:1] = True
+    for column in columns:
+        here, before = column.slice(1), column.slice(0, rows - 1)
+        differs = pc.fill_null(pc.not_equal(here, before), False)
+        one_null = pc.xor(here.is_null(), before.is_null())
+        changed[1:] |= pc.or_(differs, one_null).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(changed).tolist()
+
+
 def _chainer(part: list[str], payload: str, carry: str | None) -> Callable:
     """Arrow batches of sorted rows in, the same batches plus one hash column out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, last = None, ""
+        current, last = None, b""
         for batch in batches:
-            groups = list(zip(*[batch.column(p).to_pylist() for p in part], strict=True))
-            texts = batch.column(payload).to_pylist()
-            starts = batch.column(carry).to_pylist() if carry else None
+            if not batch.num_rows:
+                continue
+            groups = [batch.column(p) for p in part]
+            texts = batch.column(payload).cast(pa.binary()).to_pylist()
+            starts = _group_starts(groups, batch.num_rows)
             hashes = []
-            for i, text in enumerate(texts):
-                if groups[i] != current:
-                    current, last = groups[i], (starts[i] or "" if starts else "")
-                if text is None:
-                    last = ""
-                    hashes.append(None)
-                else:
-                    last = hashlib.sha256((last + text).encode("utf-8")).hexdigest()
-                    hashes.append(last)
+            for start, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+                group = tuple(column[start].as_py() for column in groups)
+                if group != current:
+                    begin = batch.column(carry)[start].as_py() if carry else None
+                    current, last = group, (begin or "").encode()
+                for text in texts[start:end]:
+                    if text is None:
+                        last = b""
+                        hashes.append(None)
+                    else:
+                        last = hashlib.sha256(last + text).hexdigest().encode()
+                        hashes.append(last)
             names = [n for n in batch.schema.names if n != carry]
-            arrays = [batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(hashes, pa.string())], [*names, "__hash"])
+            links = pa.array(hashes, pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], links], [*names, "__hash"])
 
     return run
 

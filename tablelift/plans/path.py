@@ -70,16 +70,15 @@ def run_path(
             raise ValueError("a fresh run needs source tables")
         for version in [origin, *versions]:
             store.invalidate(version)
-        current = origin
         tables = store.write(origin, _apply(dict(source), prepare))
+        written = dict.fromkeys(tables, origin)
     else:
-        current = int(resume_from)
-        tables = store.read(current)
+        tables = store.read(int(resume_from))
+        written = store.manifest(int(resume_from))
         for version in versions:
             store.invalidate(version)
 
     for version in versions:
-        written = store.manifest(current)
         stage, extra = stages.get(version, Stage()), extras.get(version, Stage())
         result = _apply(tables, [*stage.before, *extra.before])
         if upgrade is not None:
@@ -89,5 +88,5 @@ def run_path(
             result = _apply(result, finish)
         unchanged = {name: written[name] for name, df in result.items() if df is tables.get(name)}
         tables = store.write(version, result, unchanged)
-        current = version
+        written = {name: unchanged.get(name, version) for name in tables}
     return tables

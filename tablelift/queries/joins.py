@@ -317,12 +317,14 @@ def expand_relation(spark, sf):
 
 @query(
     "remap_bridge",
-    """SELECT DISTINCT c_custkey AS line_id, l_partkey FROM lineitem JOIN customer ON c_nationkey = l_suppkey""",
+    """SELECT DISTINCT s_suppkey + 100000 AS line_id, l_partkey
+       FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE s_acctbal > 0""",
 )
 def remap_bridge(spark, sf):
     bridge = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey")
-    mapping = table(spark, sf, "customer").select(F.col("c_nationkey").cast("long").alias("old"), "c_custkey")
-    return joins.remap_bridge(bridge, "l_suppkey", mapping, "old", "c_custkey", "line_id")
+    migrated = table(spark, sf, "supplier").where("s_acctbal > 0")
+    mapping = migrated.select("s_suppkey", (F.col("s_suppkey") + 100000).alias("new_id"))
+    return joins.remap_bridge(bridge, "l_suppkey", mapping, "s_suppkey", "new_id", "line_id")
 
 
 @query(

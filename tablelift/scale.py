@@ -34,6 +34,7 @@ class Limits:
     """What one task, one list and one broadcast may hold."""
 
     small_input: int = 256 * MIB  # bytes read; below this one task could do it all
+    join_input: int = 2048 * MIB  # bytes read; below this no join key needs splitting
     group_rows: int = 5_000_000  # rows of one group that one task may sort or chain
     hot_rows: int = 2_000_000  # rows of one join key that one task may receive
     list_rows: int = 1_000  # entries of one collected list
@@ -44,6 +45,7 @@ class Limits:
     def of(cls, spark: SparkSession) -> Limits:
         names = {
             "small_input": "spark.tablelift.smallInputBytes",
+            "join_input": "spark.tablelift.joinInputBytes",
             "group_rows": "spark.tablelift.groupRows",
             "hot_rows": "spark.tablelift.hotRows",
             "list_rows": "spark.tablelift.listRows",
@@ -62,8 +64,8 @@ def as_list(names: str | Sequence[str] | None) -> list[str]:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Bytes of all relations the plan reads, from Catalyst's statistics."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    """Bytes of all relations the plan reads, from Catalyst's statistics (nothing is run)."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves().iterator()
     total = 0
     while leaves.hasNext():
         total += int(str(leaves.next().stats().sizeInBytes()))
@@ -207,7 +209,7 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str], how
     of the row, so a retried task sends each row to the same place.
     """
     keys = as_list(on)
-    if is_small(fact):
+    if input_bytes(fact) <= Limits.of(fact.sparkSession).join_input:
         return fact.join(lookup, keys, how)
     hinted = checked_broadcast(lookup)
     if hinted is not lookup:

@@ -6,6 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from tablelift.scale import local_frame
 
 COMPLETE = "complete"
 MARKER_SCHEMA = "name string, version int"
@@ -61,7 +64,7 @@ class SnapshotStore:
         return f"{self.root}/{version}/{name}"
 
     def _mark(self, version: int, written: Mapping[str, int]) -> None:
-        marker = self.spark.createDataFrame(sorted(written.items()), MARKER_SCHEMA)
+        marker = local_frame(self.spark, sorted(written.items()), T.StructType.fromDDL(MARKER_SCHEMA))
         marker.coalesce(1).write.mode("overwrite").parquet(self._path(version, COMPLETE))
 
     def manifest(self, version: int) -> dict[str, int]:

@@ -12,6 +12,7 @@ from tablelift.session import local_session  # noqa: E402
 
 SPLIT = {
     "spark.tablelift.smallInputBytes": "0",
+    "spark.tablelift.joinInputBytes": "0",
     "spark.tablelift.groupRows": "4",
     "spark.tablelift.hotRows": "3",
     "spark.tablelift.broadcastRows": "0",
