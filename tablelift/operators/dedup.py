@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelift.operators.sequence import collect_in_pieces
-from tablelift.scale import as_list, lookup_join, materialise
+from tablelift.scale import as_list, lookup_join, materialise, materialise_counted
 
 
 def _keyed(df: DataFrame, keys: list[str], where: Column | None) -> DataFrame:
@@ -86,8 +86,10 @@ class Redirected(NamedTuple):
     losers: DataFrame  # losers free of a failed redirect
 
 
-def redirect_children(children: DataFrame, parent: str, losers: DataFrame, child_id: str, same_table: bool = False) -> Redirected:
-    """Hang the children of each loser below its survivor.
+def redirect_children(
+    children: DataFrame, parent: str, losers: DataFrame, child_id: str, same_table: bool = False
+) -> Redirected:
+    """Hang the children of each loser below its survivor; inactive children too.
 
     In a hierarchy (``same_table``) a survivor may itself be a child of its
     loser; re-pointing would make it its own parent, so that loser's redirect
@@ -140,19 +142,20 @@ def delete_losers(
         blocked = hanging.select("loser_id").distinct()
     else:
         flags = doomed.select(F.col("loser_id").alias("child_id"), F.lit(True).alias("child_doomed"))
-        edges = materialise(lookup_join(hanging, flags, "child_id", "left"), "edges")
         goes_first = F.coalesce(F.col("child_doomed"), F.lit(False)) & (F.col("child_id") > F.col("loser_id"))
+        edges = lookup_join(hanging, flags, "child_id", "left")
+        edges, seen = materialise_counted(edges, "edges", {"waiting": goes_first})
         blocked = edges.where(~goes_first).select("loser_id").distinct()
         waiting = edges.where(goes_first)
-        if not waiting.isEmpty():
+        if seen["waiting"]:
             blocked = materialise(blocked, "blocked")
             frontier = blocked
             while True:
-                above = lookup_join(waiting, frontier.select(F.col("loser_id").alias("child_id")), "child_id", "left_semi")
-                frontier = materialise(
-                    above.select("loser_id").distinct().join(blocked, "loser_id", "left_anti"), "frontier"
-                )
-                if frontier.isEmpty():
+                stuck = frontier.select(F.col("loser_id").alias("child_id"))
+                above = lookup_join(waiting, stuck, "child_id", "left_semi").select("loser_id").distinct()
+                fresh = above.join(blocked, "loser_id", "left_anti")
+                frontier, seen = materialise_counted(fresh, "frontier", {"rows": F.lit(True)})
+                if not seen["rows"]:
                     break
                 blocked = materialise(blocked.unionByName(frontier), "blocked")
         stays = blocked.select(F.col("loser_id").alias("child_id"), F.lit(True).alias("child_stays"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelift.functions import is_true
-from tablelift.scale import lookup_join, materialise, materialise_counted
+from tablelift.scale import lookup_join, materialise_counted
 
 
 def lineage_check(df: DataFrame, row_id: str, parent: str, broken: Column | None = None) -> DataFrame:
@@ -109,12 +109,14 @@ def implication_closure(implications: DataFrame, source: str, target: str) -> Da
     the length of the paths covered; only pairs not seen before are kept.
     """
     edges = implications.select(F.col(source).alias("source"), F.col(target).alias("target")).dropna()
-    known = frontier = materialise(edges.where("source <> target").distinct(), "closure")
-    while not frontier.isEmpty():
+    found = {"pairs": F.lit(True)}
+    frontier, seen = materialise_counted(edges.where("source <> target").distinct(), "closure", found)
+    known = frontier
+    while seen["pairs"]:
         step = known.select(F.col("source").alias("target"), F.col("target").alias("__next"))
         reached = lookup_join(frontier, step, "target", "inner").select("source", F.col("__next").alias("target"))
         fresh = reached.where("source <> target").distinct()
-        frontier = materialise(fresh.join(known, ["source", "target"], "left_anti"), "closure")
+        frontier, seen = materialise_counted(fresh.join(known, ["source", "target"], "left_anti"), "closure", found)
         known = known.unionByName(frontier)
     return known
 

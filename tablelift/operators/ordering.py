@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -34,7 +34,5 @@ def sample_per_row(df: DataFrame, column: str, n: int, out: str) -> DataFrame:
 
 def first_per_group(df: DataFrame, part: Sequence[str], order: Sequence[Column | str], n: int, out: str) -> DataFrame:
     """The first n rows of each group; tasks pass on at most n rows per group."""
-    from pyspark.sql import Window
-
     window = Window.partitionBy(*part).orderBy(*order)
-    return df.withColumn(out, F.row_number().over(window)).where(F.col(out) <= n)
+    return df.withColumn(out, F.row_number().over(window).cast("long")).where(F.col(out) <= n)

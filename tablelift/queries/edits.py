@@ -149,7 +149,7 @@ def build_label_query(spark, sf):
 
 @query(
     "json_scalar",
-    """SELECT page_id, to_json(url || ' "' || nullif(split_part(url, '/', 4), 'fr') || '" \\') AS scalar,
+    """SELECT page_id, CAST(to_json(url || ' "' || nullif(split_part(url, '/', 4), 'fr') || '" \\') AS VARCHAR) AS scalar,
               CASE WHEN url IS NULL THEN NULL ELSE '{"en_US":' || to_json(url) || '}' END AS localised FROM pages""",
 )
 def json_scalar_query(spark, sf):
@@ -163,7 +163,8 @@ def json_scalar_query(spark, sf):
 
 @query(
     "bump_counters",
-    """SELECT s_suppkey, s_name, CASE WHEN s_name ILIKE '%SUPPLIER%5' THEN s_nationkey + 1 ELSE s_nationkey END AS next
+    """SELECT s_suppkey, s_name,
+              CAST(CASE WHEN s_name ILIKE '%SUPPLIER%5' THEN s_nationkey + 1 ELSE s_nationkey END AS BIGINT) AS next
        FROM supplier""",
 )
 def bump_counters(spark, sf):

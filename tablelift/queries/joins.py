@@ -89,7 +89,7 @@ def order_changes(spark, sf):
 
 
 ORDER_CHANGES = """
-    SELECT year(o_orderdate) AS version, o_orderkey AS ord,
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS version, o_orderkey AS ord,
            CASE o_orderstatus WHEN 'F' THEN 'obsolete' WHEN 'P' THEN 'merged' ELSE 'renamed' END AS kind,
            CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'null' ELSE 'cust-' || o_custkey END AS old,
            CASE WHEN o_orderstatus = 'O' AND o_orderpriority <> '5-LOW' THEN 'acct-' || o_orderkey END AS new
@@ -98,7 +98,7 @@ ORDER_CHANGES = """
 
 @query(
     "change_catalog",
-    f"""SELECT kind, old, arg_max(new, version * 1000000000 + ord) AS new FROM ({ORDER_CHANGES})
+    f"""SELECT kind, old, arg_max(new, CAST(version AS BIGINT) * 1000000000 + ord) AS new FROM ({ORDER_CHANGES})
         WHERE version > 1995 AND version <= 2000 AND old NOT IN ('', 'null')
           AND (kind <> 'renamed' OR new IS NOT NULL)
         GROUP BY kind, old""",
