@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tablelift.operators import documents as docs
 from tablelift.operators import hierarchy
+from tablelift.plans.validation import validate_views
 from tablelift.queries.registry import query, table
 
 
@@ -96,6 +97,51 @@ def field_refs_first(spark, sf):
     return docs.field_refs_missing(views, "p_partkey", "model", "document", fields, first_per_model=True)
 
 
+@query(
+    "validate_views",
+    """WITH RECURSIVE views AS (
+           SELECT p_partkey AS id, p_type AS model, replace(p_brand, '#', '_') AS brand, lower(p_type) AS kind,
+                  nullif(p_partkey // 2, p_partkey) AS parent, p_size <> 13 AS sound, p_size <> 20 AS active,
+                  p_type = 'PROMO' AS template FROM part),
+       fine AS (SELECT id FROM views WHERE sound AND parent IS NULL
+                UNION ALL SELECT v.id FROM views v JOIN fine f ON v.parent = f.id WHERE v.sound),
+       pairs AS (SELECT c.id, c.brand <> p.brand AS other_brand, c.kind <> p.kind AS other_kind
+                 FROM views c JOIN views p ON p.id = c.parent WHERE c.sound AND p.sound AND c.active),
+       fields AS (SELECT DISTINCT p_type AS model, replace(p_brand, '#', '_') AS name FROM part WHERE p_size > 45),
+       names AS (SELECT id, model, brand AS name FROM views WHERE sound AND active AND NOT template
+                 UNION ALL SELECT id, model, kind FROM views WHERE sound AND active AND NOT template)
+       SELECT 'combination_error' AS type, 'error' AS severity, CAST(id AS VARCHAR) AS entity_id FROM views
+       WHERE active AND parent IS NOT NULL AND id NOT IN (SELECT id FROM fine)
+       UNION ALL SELECT 'orphan_xpath', 'error', CAST(id AS VARCHAR) FROM pairs WHERE other_brand
+       UNION ALL SELECT 'orphan_xpath', 'error', CAST(id AS VARCHAR) FROM pairs WHERE other_kind
+       UNION ALL SELECT 'qweb_error', 'error', CAST(id AS VARCHAR) FROM views WHERE template AND active AND NOT sound
+       UNION ALL SELECT 'missing_field', 'warning', CAST(id AS VARCHAR) FROM names
+                 WHERE model IN (SELECT model FROM fields) AND (model, name) NOT IN (SELECT (model, name) FROM fields)
+       UNION ALL SELECT 'missing_asset', 'warning', CAST(page_id AS VARCHAR) FROM pages
+                 WHERE regexp_extract(url, '^https?://[^/]+/([^?#]*)', 1) NOT IN (
+                     SELECT regexp_extract(url, '^https?://[^/]+/([^?#]*)', 1) FROM pages WHERE contains(url, '.net/'))""",
+)
+def validate_views_query(spark, sf):
+    """The whole validation run over part views and page paths."""
+    parent = F.nullif(F.floor(F.col("p_partkey") / 2), F.col("p_partkey"))
+    views = part_views(spark, sf).select(
+        F.col("p_partkey").alias("id"),
+        parent.alias("inherit_id"),
+        "model",
+        F.when(F.col("model") == "PROMO", "qweb").otherwise("form").alias("type"),
+        (F.col("p_size") != 20).alias("active"),
+        F.col("document").alias("arch_db"),
+    )
+    fields = part_views(spark, sf).where("p_size > 45").select("model", F.col("brand").alias("name"))
+    path = F.regexp_extract("url", r"^https?://[^/]+(/[^?#]*)", 1)
+    pages = table(spark, sf, "pages")
+    assets = pages.select(F.col("page_id").alias("id"), path.alias("path"), F.lit("pages").alias("bundle"))
+    files = pages.where(F.col("url").contains(".net/"))
+    files = files.select(F.regexp_extract("url", r"^https?://[^/]+/([^?#]*)", 1).alias("path"))
+    done = validate_views(views, fields, assets, files)
+    return done.issues.select("type", "severity", "entity_id")
+
+
 @query(
     "expr_targets_missing",
     f"""WITH {PART_VIEWS}, pairs AS (

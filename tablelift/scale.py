@@ -206,7 +206,8 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str], how
     whose counted rows fit a broadcast, are joined as they are.  Otherwise the
     rows of each hot key (NULL included) are spread over several salts, and
     only that key's lookup rows are repeated once per salt.  The salt is a hash
-    of the row, so a retried task sends each row to the same place.
+    of the row and of its input partition: copies of one row spread out too, and
+    a retried task sends each row to the same place.
     """
     keys = as_list(on)
     if input_bytes(fact) <= Limits.of(fact.sparkSession).join_input:
@@ -217,9 +218,10 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str], how
     hot = hot_keys(fact, keys)
     if hot is None:
         return fact.join(lookup, keys, how)
+    row_hash = F.xxhash64(*_hashable(fact), F.spark_partition_id())
     salted = (
         fact.join(hot, _is_hot(keys), "left")
-        .withColumn("__salt", F.coalesce(F.pmod(F.xxhash64(*_hashable(fact)), F.col("__fan")), F.lit(0)))
+        .withColumn("__salt", F.coalesce(F.pmod(row_hash, F.col("__fan")), F.lit(0)))
         .select(*fact.columns, "__salt")
     )
     repeated = (

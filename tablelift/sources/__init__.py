@@ -1,6 +1,6 @@
 """Reading, writing and comparing table snapshots."""
 
-from tablelift.sources.changes import change_catalog, change_lists, invalid_changes
+from tablelift.sources.changes import change_catalog, change_lists, invalid_changes, read_change_files
 from tablelift.sources.guards import has_column, has_table, run_if
 from tablelift.sources.mirror import apply_mirror, mirror_plan
 from tablelift.sources.report import report_document, write_report
@@ -15,6 +15,7 @@ __all__ = [
     "has_table",
     "invalid_changes",
     "mirror_plan",
+    "read_change_files",
     "read_declared",
     "read_jdbc",
     "read_table",

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablelift.scale import bounded_frame
+
 SCHEMA = "version int, kind string, ord int, old string, new string"
 KINDS = ("obsolete", "merged", "renamed")
 
@@ -23,7 +26,31 @@ def change_lists(spark: SparkSession, lists: Mapping[int, Mapping[str, list]]) -
             for position, entry in enumerate(kinds.get(kind) or []):
                 old, new = entry if kind == "renamed" else (entry, None)
                 rows.append((int(version), kind, position, old, new))
-    return spark.createDataFrame(rows, SCHEMA)
+    return bounded_frame(spark, rows, SCHEMA)
+
+
+def read_change_files(folder: str, origin: int, final: int, name: str = "known_changes.yaml") -> dict[int, dict]:
+    """The lists of ``<folder>/<version>.0/<name>`` for the versions after `origin` up to `final`.
+
+    A version without a file has no changes.  The files list `obsolete`,
+    `merged_in_core` and `renamed` (pairs of `old` and `new`).
+    """
+    try:
+        import yaml
+    except ImportError as error:
+        raise ImportError("reading change files needs the yaml package; pass the lists instead") from error
+    lists = {}
+    for version in range(origin + 1, final + 1):
+        path = Path(folder) / f"{version}.0" / name
+        if not path.is_file():
+            continue
+        found = yaml.safe_load(path.read_text(encoding="utf-8")) or {}
+        lists[version] = {
+            "obsolete": [entry for entry in found.get("obsolete") or [] if entry],
+            "merged": [entry for entry in found.get("merged_in_core") or [] if entry],
+            "renamed": [(entry.get("old"), entry.get("new")) for entry in found.get("renamed") or []],
+        }
+    return lists
 
 
 def _named(column: str) -> Column:

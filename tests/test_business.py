@@ -9,7 +9,7 @@ from tablelift.plans import business
 from tablelift.plans.path import Stage, run_path, version_path
 from tablelift.plans.validation import validate_views
 from tablelift.scale import new_table_path
-from tablelift.sources import SnapshotStore, has_table, read_table, run_sql, write_report
+from tablelift.sources import SnapshotStore, change_lists, has_table, read_change_files, read_table, run_sql, write_report
 
 
 @pytest.fixture(scope="module")
@@ -264,3 +264,18 @@ def test_sources(spark, frame, rows):
     assert any("nothing" in note for note in error.value.__notes__)
     assert has_table({"a": None}, "a") and not has_table({}, "a")
     assert has_table(spark, "numbers")
+
+
+def test_change_files(spark, tmp_path, rows):
+    pytest.importorskip("yaml")
+    (tmp_path / "15.0").mkdir()
+    (tmp_path / "15.0" / "known_changes.yaml").write_text(
+        "obsolete:\n  - a\n  -\nmerged_in_core: []\nrenamed:\n  - old: b\n    new: c\n  - old: d\n"
+    )
+    (tmp_path / "17.0").mkdir()
+    (tmp_path / "17.0" / "known_changes.yaml").write_text("obsolete: [late]\nrenamed: []\n")
+    found = read_change_files(str(tmp_path), 14, 16)
+    assert found == {15: {"obsolete": ["a"], "merged": [], "renamed": [("b", "c"), ("d", None)]}}
+    assert rows(change_lists(spark, found), "kind", "old", "new") == [
+        ("obsolete", "a", None), ("renamed", "b", "c"), ("renamed", "d", None)
+    ]
