@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tablelift.functions import is_true
 from tablelift.operators.sequence import collect_in_pieces
-from tablelift.scale import as_list, lookup_join
+from tablelift.scale import as_list, lookup_join, orderable
 
 
 def one_per_key(
@@ -131,7 +131,9 @@ def update_from(
     ).dropna(subset=keys)
     if not unique:
         values = [f"__new_{t}" for t in columns]
-        picked = one_per_key(picked, keys, [f"__tie_{i}" for i in range(len(ties))] or values, values)
+        # the values themselves settle what the tie leaves open, so a rerun picks the same row
+        order = [f"__tie_{i}" for i in range(len(ties))] + [v for v in values if v in orderable(picked)]
+        picked = one_per_key(picked, keys, order, values)
     picked = picked.drop(*[f"__tie_{i}" for i in range(len(ties))]).withColumn("__hit", F.lit(True))
     joined = lookup_join(df, picked, keys, "left")
     apply = F.col("__hit") if where is None else F.col("__hit") & where

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,5 +27,12 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One of the read-only test tables; its schema is inferred once."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)

@@ -162,7 +162,8 @@ def groups_fit(df: DataFrame, part: str | Sequence[str]) -> bool:
     return largest_group(df, part) <= Limits.of(df.sparkSession).group_rows
 
 
-def _hashable(df: DataFrame) -> list[str]:
+def orderable(df: DataFrame) -> list[str]:
+    """Columns that can be hashed and compared."""
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
 
 
@@ -218,7 +219,7 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str], how
     hot = hot_keys(fact, keys)
     if hot is None:
         return fact.join(lookup, keys, how)
-    row_hash = F.xxhash64(*_hashable(fact), F.spark_partition_id())
+    row_hash = F.xxhash64(*orderable(fact), F.spark_partition_id())
     salted = (
         fact.join(hot, _is_hot(keys), "left")
         .withColumn("__salt", F.coalesce(F.pmod(row_hash, F.col("__fan")), F.lit(0)))

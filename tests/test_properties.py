@@ -1,6 +1,8 @@
 """Laws that hold for any input: idempotence, uniqueness, order, agreement of both paths."""
 
 import hashlib
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 from hypothesis import HealthCheck, given, settings
@@ -186,3 +188,15 @@ def test_membership_follows_sql(spark, frame, left, right):
 
     out = both_ways(spark, lambda: joins.with_membership(df, "id", others, "k", "m"))
     assert Counter(out) == Counter((k, sql_in(k)) for k in left)
+
+
+def test_task_functions_need_no_installed_package(tmp_path):
+    """Executors may not have the package; what is sent to them must load without it."""
+    from pyspark import cloudpickle
+
+    from tablelift.operators import documents
+
+    sent = [documents._evaluate, documents.xml_error.func, sequence._chainer(["a"], "b", None)]
+    (tmp_path / "sent").write_bytes(cloudpickle.dumps(sent))
+    code = "import pickle, sys; pickle.load(open('sent', 'rb')); assert 'tablelift' not in sys.modules"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin"})
