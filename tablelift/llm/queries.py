@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablelift.llm import mixing
+from tablelift.llm import mixing, quality, toxicity
 from tablelift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +29,24 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entropy-balanced mix of all documents."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op8_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.train(spark, docs, table(spark, sf_dir, "labels")), ["doc_id"])
+    return predicted(scored, quality.THRESHOLD)
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(spark, docs, table(spark, sf_dir, "labels")), ["doc_id"])
+    return predicted(scored, toxicity.THRESHOLD)
+
+
+def predicted(scored: DataFrame, threshold: float) -> DataFrame:
+    verdict = (F.col("score") >= threshold).cast("int").alias("predicted")
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", verdict)
