@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.llm import mixing, quality, toxicity
+from tablelift.llm import licences, mixing, packing, quality, toxicity
 from tablelift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +50,15 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def predicted(scored: DataFrame, threshold: float) -> DataFrame:
     verdict = (F.col("score") >= threshold).cast("int").alias("predicted")
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", verdict)
+
+
+@query("op7_licences")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates of every document."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op4_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed id rows of all documents."""
+    return packing.pack(table(spark, sf_dir, "documents"))
