@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.llm import licences, mixing, packing, quality, toxicity
+from tablelift.llm import licences, mixing, neighbours, packing, quality, toxicity
 from tablelift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +62,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packed id rows of all documents."""
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op6_neighbours")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
