@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 2 << 20  # text handled at once inside a task; one longer text makes a slice of its own
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -197,3 +198,66 @@ def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
         keep[bounds[i]] = True
     sizes = np.where(counts >= n, counts - n + 1, np.minimum(counts, 1))
     return mix(grams[keep]), np.concatenate([[0], np.cumsum(sizes)])
+
+
+# ---------------------------------------------------------------- joins and components
+
+
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def class_join(rows: DataFrame, classes: DataFrame, keys: list[str], values: list[str], count: str, spread: list[str]) -> DataFrame:
+    """`rows` inner-joined to one row per key of `classes`, when one key may hold a third of the rows.
+
+    Classes with more than a partition's fair share of the counted rows number fewer than the
+    partitions, so they are broadcast whatever the input; the rows of all others are shuffled.  The
+    rows of broadcast classes get a key of their own from `spread`, so none of them meets again.
+    """
+    spark = rows.sparkSession
+    parts = partitions(spark)
+    total = classes.agg(F.sum(count)).first()[0] or 0
+    heavy = F.col(count) * parts > F.lit(total)
+    packed = F.struct(*values).alias("__value")
+    hot = F.broadcast(classes.where(heavy).select(*keys, packed))  # fewer rows than partitions
+    cold = classes.where(~heavy).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.struct(*values).alias("__cold"))
+    marked = rows.join(hot, keys, "left")
+    is_hot = F.col("__value").isNotNull()
+    own = F.when(is_hot, F.xxhash64(*spread)).otherwise(F.col(keys[0]))
+    marked = marked.withColumn("__own", own).withColumn("__is_hot", is_hot)
+    match = (F.col("__own") == F.col("__k0")) & ~F.col("__is_hot")
+    for i, k in enumerate(keys[1:], 1):
+        match &= F.col(k) == F.col(f"__k{i}")
+    found = marked.join(cold.withColumn("__no", F.lit(False)), match & (F.col("__is_hot") == F.col("__no")), "left")
+    value = F.coalesce("__value", "__cold")
+    return found.where(value.isNotNull()).select(*rows.columns, *[value[v].alias(v) for v in values])
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) of every node of the `edges` (a, b): root is the smallest node it is connected with.
+
+    Each round hooks every node to its smallest neighbour, follows the pointers by doubling and
+    carries the edges over to the roots; the nodes left at least halve per round.  Every round is
+    written to the shared folder, and only counts reach the driver.
+    """
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a != b").distinct()
+    both = written(both, "edges")
+    labels = None
+    while both.limit(1).count():
+        up = written(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("root")), "roots")
+        while True:  # pointer doubling: the forest's depth halves
+            above = up.select(F.col("node").alias("root"), F.col("root").alias("__next"))
+            moved = written(up.join(above, "root").select("node", F.col("__next").alias("root"), (F.col("root") != F.col("__next")).alias("moved")), "roots")
+            up = moved.select("node", "root")
+            if not moved.where("moved").limit(1).count():
+                break
+        if labels is None:
+            labels = up
+        else:
+            renamed = up.select(F.col("node").alias("root"), F.col("root").alias("__next"))
+            labels = labels.join(renamed, "root", "left").select("node", F.coalesce("__next", "root").alias("root"))
+            labels = written(labels, "labels")
+        of_a = up.select(F.col("node").alias("a"), F.col("root").alias("__a"))
+        of_b = up.select(F.col("node").alias("b"), F.col("root").alias("__b"))
+        both = written(both.join(of_a, "a").join(of_b, "b").select(F.col("__a").alias("a"), F.col("__b").alias("b")).where("a != b").distinct(), "edges")
+    return both.select(F.col("a").alias("node"), F.col("b").alias("root")) if labels is None else labels

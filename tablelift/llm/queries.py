@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.llm import licences, mixing, neighbours, packing, quality, toxicity
+from tablelift.llm import licences, mixing, neardup, neighbours, packing, quality, toxicity
 from tablelift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +68,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every 20th vector."""
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op5_near_duplicates")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents over 2-word shingles."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), 2, 80)
