@@ -222,3 +222,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     rest = rows.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", *prints, F.col("doc_id").alias("root"))
     every = placed.unionByName(rest)
     return every.select("doc_id", "n_shingles", F.col("root").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("root"), F.lit(True)).alias("kept"))
+
+
+def one_per_id(docs: DataFrame) -> DataFrame:
+    """`docs` with one row per doc_id, any of equal ones; rows without an id all stay.
+
+    Only ids that occur more than once are shuffled with their texts.
+    """
+    repeats = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
+    repeats = written(repeats, "repeats")
+    single = docs.join(repeats, "doc_id", "left_anti").select(*docs.columns)
+    several = docs.join(repeats, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    return single.unionByName(several)

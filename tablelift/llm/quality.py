@@ -158,13 +158,12 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = T
     return model[:-1].astype(np.float64), float(model[-1])
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str]) -> DataFrame:
-    """The `keep` columns of every document with its score, one pass and no shuffle."""
+def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str], name: str = "score") -> DataFrame:
+    """The `keep` columns of every document with its score as `name`, one pass and no shuffle."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # 2**bits numbers
-    names = [c for c in keep if c != "text"]
-    chosen = docs.select(*names, "text")
-    out = docs.select(*keep, F.lit(0.0).alias("score")).schema
+    chosen = docs.select(*[c for c in keep if c != "text"], "text")
+    out = docs.select(*keep, F.lit(0.0).alias(name)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, intercept = shared.value
@@ -172,6 +171,6 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str]) ->
             index, bounds = columns(part.column("text"))
             logit = sparse_scores(index, bounds, weights) + intercept
             chance = 1.0 / (1.0 + np.exp(-np.clip(logit, -35.0, 35.0)))
-            yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [pa.array(chance)], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [pa.array(chance)], [*keep, name])
 
     return chosen.mapInArrow(run, out)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.llm import licences, mixing, neardup, neighbours, packing, quality, toxicity
+from tablelift.llm import decontam, licences, mixing, neardup, neighbours, packing, quality, toxicity
 from tablelift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents over 2-word shingles."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), 2, 80)
+
+
+@query("op2_decontamination", decontam.ORACLE)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents."""
+    return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
