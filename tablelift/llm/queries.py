@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.llm import decontam, licences, mixing, neardup, neighbours, packing, quality, toxicity
+from tablelift.llm import decontam, html_content, licences, mixing, neardup, neighbours, packing, quality, toxicity
 from tablelift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents."""
     return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_html_content")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_content.extract(table(spark, sf_dir, "pages"))
