@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.llm import decontam, html_content, licences, mixing, neardup, neighbours, packing, quality, toxicity
+from tablelift.llm import decontam, html_content, licences, mixing, neardup, neighbours, packing, quality, repeats, toxicity
 from tablelift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_content.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op1_repeats")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of repeated 100-byte strings, removed from all documents."""
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
