@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 2 << 20  # text handled at once inside a task; one longer text makes a slice of its own
+SLICE_BYTES = 1 << 20  # text handled at once inside a task; one longer text makes a slice of its own
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -45,6 +45,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def one_value(df: DataFrame):
+    """The only value of a one-row table, None where an empty input left no row."""
+    row = df.first()
+    return None if row is None else row[0]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -82,6 +88,50 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of the rows that agree in `keys`; the rows come sorted by them."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        values = [batch.column(c).to_numpy() for c in keys]
+        change = np.flatnonzero(np.any([x[1:] != x[:-1] for x in values], axis=0)) + 1
+        bounds = [0, *change.tolist(), batch.num_rows]
+        for k, (start, stop) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+            if held and (k > 0 or any(held[-1].column(c)[0].as_py() != x[0] for c, x in zip(keys, values, strict=True))):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, stop - start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class Unions:
+    """Disjoint sets over the distinct values of `names`; what joins two sets is worth passing on."""
+
+    def __init__(self, names: np.ndarray):
+        self.names, self.label = np.unique(names, return_inverse=True)
+        self.up = list(range(len(self.names)))
+
+    def root(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = self.up[self.up[i]]
+            i = self.up[i]
+        return i
+
+    def join(self, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+        """Joins the sets of rows left[k] and right[k]; (larger, smaller) names of the joins that were news."""
+        news = []
+        for a, b in zip(self.label[left].tolist(), self.label[right].tolist(), strict=True):
+            x, y = self.root(a), self.root(b)
+            if x != y:
+                self.up[max(x, y)] = min(x, y)
+                news.append((int(self.names[max(a, b)]), int(self.names[min(a, b)])))
+        if news:
+            self.label = np.array([self.root(i) for i in range(len(self.up))])[self.label]
+        return news
+
+
 def int64_list(rows: list[np.ndarray]) -> pa.Array:
     """Arrays of longs as one Arrow list column, without going through Python numbers."""
     offsets = np.zeros(len(rows) + 1, np.int32)

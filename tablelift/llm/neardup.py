@@ -9,11 +9,14 @@ sketch: the share of common values among the values of both sketches up to where
 complete.  What the estimate does not rule out (five standard deviations below the threshold) is
 confirmed on the full sets.
 
-Lists may hold a third of all rows.  First every class is compared only with the smallest class of
-each of its lists, and with the smallest of these that the estimate passes on full sets.  Those links
-make components, and in every list only classes of different components are left to compare, in
-blocks of BLOCK rows, from which only estimated matches come out.  So copies of copies are never
-expanded into pairs, and no link between different components is missed.
+Lists may hold a third of all rows.  First every class is compared only with the hub of each of its
+lists, the member whose lists are longest in all: among edited copies that is the text they were
+made from, which is nearer to each of them than they are to one another.  Those links make
+components, and in every list only classes of different components are left to compare, in blocks
+of BLOCK rows.  From each block comes a tree of the components that estimated matches join, not the
+matches; components so joined are a cluster, whose full sets meet once, again in blocks, and again
+only what exact links join comes out.  So no group is expanded into pairs, and no link between
+different components is missed.
 
 Defined results: null, empty and wordless texts have an empty set and are linked with nothing; a
 text of fewer than `n` words has its whole sequence as only element; rows that share a doc_id are
@@ -30,13 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import Words, class_join, components, int64_list, mix, partitions, shingles, slices, written
+from tablelift.llm.common import Unions, Words, class_join, components, groups, int64_list, mix, partitions, shingles, slices, written
 
 SKETCH = 64
 KEYED = 33
 ESTIMATE = 0.55
-BLOCK = 4096  # rows of one list compared at once
-PAIRS = 1 << 16  # pairs estimated at once
+BLOCK = 1024  # rows of one list or cluster that meet another such block in one task
+TILE = 256  # sets compared at once
+COLUMNS = 1 << 14  # values of them counted at once
+PAIRS = 1 << 13  # pairs estimated at once
 BROADCAST_IDS = 2_000_000
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -85,6 +90,26 @@ def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return common / np.maximum(inside.sum(axis=1) - common, 1)
 
 
+def list_keys(sketch: np.ndarray) -> np.ndarray:
+    """Codes of the neighbouring values among the KEYED smallest of each sketch row; FULL where there are none."""
+    low, high = sketch[:, : KEYED - 1], sketch[:, 1:KEYED]
+    codes = mix(low * np.uint64(0x9E3779B97F4A7C15) + high) >> np.uint64(1)
+    return np.where(high == FULL, FULL, codes)
+
+
+def keyed(reps: DataFrame) -> DataFrame:
+    """(doc, key) for every list a class stands in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = list_keys(sketch_matrix(batch.column("sketch")))
+            row, column = np.nonzero(codes != FULL)
+            keys = codes[row, column].astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc").take(pa.array(row)), pa.array(keys)], ["doc", "key"])
+
+    return reps.select("doc", "sketch").mapInArrow(run, "doc long, key long")
+
+
 def star_matches(pairs: DataFrame) -> DataFrame:
     """The (a, b) whose sketches (sa, sb) may reach the threshold."""
 
@@ -98,63 +123,114 @@ def star_matches(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def cell_pairs(sizes: np.ndarray, roots: np.ndarray, blocks: np.ndarray, across: bool, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of one cell that differ in component and whose sizes allow the threshold.
+def cell_pairs(sizes: np.ndarray, unions: Unions, blocks: np.ndarray, across: bool, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of one cell that are not joined yet and whose sizes allow the threshold.
 
     Rows come sorted by size, so the partners of a row are the ones after it up to its size limit.
     """
     until = np.searchsorted(sizes, sizes / least + 1e-9, "right")
     counts = until - np.arange(len(sizes)) - 1
-    start = 0
+    reached = np.cumsum(counts)
+    start, chunk = 0, PAIRS >> 6
     while start < len(sizes):
-        stop = max(start + 1, int(np.searchsorted(np.cumsum(counts[start:]), PAIRS, "right")) + start)
+        before = reached[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(reached, before + chunk, "right")))
         number = counts[start:stop]
         left = np.repeat(np.arange(start, stop), number)
-        first = np.cumsum(number) - number
-        right = left + 1 + np.arange(number.sum()) - np.repeat(first, number)
-        keep = roots[left] != roots[right]
+        right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(number) - number, number)
+        keep = unions.label[left] != unions.label[right]
         if across:
             keep &= blocks[left] != blocks[right]
-        yield left[keep], right[keep]
-        start = stop
+        if keep.any():
+            yield left[keep], right[keep]
+        start, chunk = stop, min(2 * chunk, PAIRS)
+
+
+def edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
-def list_matches(lists: DataFrame, least: float) -> DataFrame:
-    """Estimated matches between different components within each (key, i, j) cell of `lists`."""
+def matched_roots(lists: DataFrame, least: float) -> DataFrame:
+    """(a, b): roots that estimated matches within the (key, i, j) cells of `lists` join, a tree per cell and not all pairs."""
     chosen = lists.select("key", "i", "j", "n", "doc", "root", "own", "sketch")
     cells = chosen.repartition(partitions(lists.sparkSession), "key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "doc")
 
-    def matches(cell: pa.Table) -> Iterator[pa.RecordBatch]:
-        columns = {c: cell.column(c).to_numpy() for c in ("n", "doc", "root", "own", "i", "j")}
-        sketch = sketch_matrix(cell.column("sketch").combine_chunks())
-        across = bool(columns["i"][0] != columns["j"][0])
-        for left, right in cell_pairs(columns["n"], columns["root"], columns["own"], across, least):
-            alike = similarity(sketch[left], sketch[right]) >= ESTIMATE if len(left) else np.zeros(0, bool)
-            a, b = columns["doc"][left[alike]], columns["doc"][right[alike]]
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges: list[tuple[int, int]] = []
+        for cell in groups(batches, ["key", "i", "j"]):
+            sizes, roots, own, i, j = (cell.column(c).to_numpy() for c in ("n", "root", "own", "i", "j"))
+            sketch = sketch_matrix(cell.column("sketch").combine_chunks())
+            unions = Unions(roots)
+            for left, right in cell_pairs(sizes, unions, own, bool(i[0] != j[0]), least):
+                alike = similarity(sketch[left], sketch[right]) >= ESTIMATE
+                edges += unions.join(left[alike], right[alike])
+            if len(edges) >= PAIRS:
+                yield edge_batch(edges)
+                edges = []
+        yield edge_batch(edges)
+
+    return cells.mapInArrow(run, "a long, b long")
+
+
+def common_sizes(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, by products of their incidence matrices."""
+    values = np.unique(np.concatenate(left + right))
+    total = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, len(values), COLUMNS):
+        some = values[start : start + COLUMNS]
+        tables = []
+        for sets in (left, right):
+            table = np.zeros((len(sets), len(some)), np.float32)
+            for r, s in enumerate(sets):
+                part = s[np.searchsorted(s, some[0]) : np.searchsorted(s, some[-1], "right")]
+                table[r, np.searchsorted(some, part)] = 1.0
+            tables.append(table)
+        total += tables[0] @ tables[1].T
+    return total.astype(np.int64)
+
+
+def confirmed_roots(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): roots that exact links join, within the (cluster, i, j) cells of `members`."""
+    chosen = members.select("cluster", "i", "j", "doc", "root", "own", "set")
+    cells = chosen.repartition(partitions(members.sparkSession), "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "own", "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []  # rows of the last cell, which may go on in the next batch
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            names = [batch.column(c).to_numpy() for c in ("key", "i", "j")]
-            change = np.flatnonzero(np.any([x[1:] != x[:-1] for x in names], axis=0)) + 1
-            bounds = [0, *change.tolist(), batch.num_rows]
-            for k, (start, stop) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-                if held and (k > 0 or any(held[0].column(c)[0] != batch.column(c)[0] for c in ("key", "i", "j"))):
-                    yield from matches(pa.Table.from_batches(held))
-                    held = []
-                held.append(batch.slice(start, stop - start))
-        if held:
-            yield from matches(pa.Table.from_batches(held))
-
-    return cells.mapInArrow(run, "a long, b long").distinct()
-
-
-def full_sets(docs: DataFrame, ids: DataFrame, n: int, small: bool) -> DataFrame:
+        for cell in groups(batches, ["cluster", "i", "j"]):
+            roots, own = cell.column("root").to_numpy(), cell.column("own").to_numpy()
+            lists = cell.column("set").combine_chunks()
+            bounds, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            sets = [values[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+            sizes = np.diff(bounds).astype(np.int64)
+            unions = Unions(roots)
+            edges: list[tuple[int, int]] = []
+            half = int(np.searchsorted(own, own[-1])) if own[0] != own[-1] else 0
+            firsts, others = (range(half), range(half, len(sets))) if half else (range(len(sets)), range(len(sets)))
+            for a in range(0, len(firsts), TILE):
+                rows = np.array(firsts[a : a + TILE])
+                for b in range(0 if half else a, len(others), TILE):
+                    columns = np.array(others[b : b + TILE])
+                    if len(np.unique(unions.label[np.concatenate([rows, columns])])) == 1:
+                        continue
+                    common = common_sizes([sets[r] for r in rows], [sets[c] for c in columns])
+                    union = sizes[rows][:, None] + sizes[columns][None, :] - common
+                    x, y = np.nonzero((100 * common >= percent * union) & (unions.label[rows][:, None] != unions.label[columns][None, :]))
+                    edges += unions.join(rows[x], columns[y])
+            yield edge_batch(edges)
+
+    return cells.mapInArrow(run, "a long, b long")
+
+
+def in_cells(rows: DataFrame, key: str) -> DataFrame:
+    """(key, doc, root, own, i, j): groups of `rows` rows cut into blocks, every two blocks meeting in one cell."""
+    blocks = F.ceil(F.col("rows") / F.lit(BLOCK)).cast("long")
+    dealt = rows.withColumn("own", F.pmod(F.xxhash64("doc"), blocks))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    return dealt.select(key, "doc", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+
+def full_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     """(doc, set) of the documents in `ids`."""
+    small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS  # 8 bytes each
     wanted = ids.select(F.col("doc").alias("doc_id"))
     chosen = docs.select("doc_id", "text").join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi")
 
@@ -168,8 +244,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, n: int, small: bool) -> DataFrame
 def confirmed(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
     ids = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-    small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS  # 8 bytes each
-    sets = full_sets(docs, ids, n, small)
+    sets = full_sets(docs, ids, n)
     of_a = sets.select(F.col("doc").alias("a"), F.col("set").alias("xa"))
     of_b = sets.select(F.col("doc").alias("b"), F.col("set").alias("xb"))
     met = pairs.join(of_a, "a").join(of_b, "b")
@@ -186,18 +261,18 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     reps = known.join(classes.select(F.col("rep").alias("doc_id"), *prints), ["doc_id", *prints], "left_semi")
     reps = written(reps.dropDuplicates(["doc_id", *prints]).select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch"), "reps")
 
-    head = F.slice("sketch", 1, KEYED)
-    keys = F.transform(F.sequence(F.lit(2), F.size(head)), lambda i: F.xxhash64(F.element_at(head, i - 1), F.element_at(head, i)))
-    listed = reps.where("n > 1").select("doc", F.explode(keys).alias("key"))
-    lists = listed.groupBy("key").agg(F.min("doc").alias("hub"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    lists = written(lists, "lists")
-    members = written(class_join(listed, lists, ["key"], ["hub", "rows"], "rows", ["doc", "key"]), "members")
-
-    sized = reps.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    hubs = reps.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    star = members.where("doc != hub").select(F.col("doc").alias("a"), F.col("hub").alias("b")).distinct()
-    fits = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    star = star_matches(star.join(sized, "a").join(hubs, "b").where(fits)).groupBy("a").agg(F.min("b").alias("b"))
+    listed = keyed(reps)
+    lists = written(listed.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1"), "lists")
+    members = written(class_join(listed, lists, ["key"], ["rows"], "rows", ["doc", "key"]), "members")
+    central = members.groupBy("doc").agg(F.sum("rows").alias("weight"))
+    hubs = members.join(central, "doc").groupBy("key").agg(F.max(F.struct("weight", -F.col("doc"), "doc"))["doc"].alias("hub"), F.count(F.lit(1)).alias("rows"))
+    star = class_join(members.select("key", "doc"), written(hubs, "hubs"), ["key"], ["hub"], "rows", ["doc", "key"])
+    star = star.where("doc != hub").select(F.greatest("doc", "hub").alias("a"), F.least("doc", "hub").alias("b")).distinct()
+
+    of_a = reps.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    of_b = reps.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    star = star_matches(star.join(of_a, "a").join(of_b, "b").where(fits))
     links = written(confirmed(docs, written(star, "star"), n, percent), "links")
     first = components(links)
 
@@ -206,11 +281,16 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("rows"))
     mixed = mixed.where("low != high").select("key", "rows")
     open_lists = class_join(rooted.select("key", "doc", "root"), written(mixed, "mixed"), ["key"], ["rows"], "rows", ["doc", "key"])
-    blocks = F.ceil(F.col("rows") / F.lit(BLOCK)).cast("long")
-    dealt = open_lists.withColumn("own", F.pmod(F.xxhash64("doc"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    dealt = dealt.select("key", "doc", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    found = written(list_matches(dealt.join(reps, "doc"), percent / 100), "found")
-    more = confirmed(docs, found, n, percent)
+    near = written(matched_roots(in_cells(open_lists, "key").join(reps, "doc"), percent / 100), "near")
+    clusters = components(near).select(F.col("node").alias("root"), F.col("root").alias("cluster"))
+    linked = reps.select("doc").join(first.select(F.col("node").alias("doc"), "root"), "doc", "left")
+    linked = linked.withColumn("root", F.coalesce("root", "doc")).join(clusters, "root").select("cluster", "doc", "root").distinct()
+    linked = written(linked, "linked")
+    counted = written(linked.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows")), "clusters")
+    linked = written(class_join(linked, counted, ["cluster"], ["rows"], "rows", ["doc"]), "linked")
+    more = confirmed_roots(in_cells(linked, "cluster").join(full_sets(docs, linked.select("doc"), n), "doc"), percent)
+    more = written(more, "more")
+
     several = known.groupBy("doc_id").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("fp1", "fp2")])
     several = several.where("min_fp1 != max_fp1 OR min_fp2 != max_fp2").select("doc_id")  # one document, several sets
     same = known.join(several, "doc_id").join(classes, prints).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
