@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import int64_list, slices, written
+from tablelift.llm.common import int64_list, one_value, slices, written
 from tablelift.llm.neardup import sets_of
 
 MASK_BITS = 22
@@ -66,7 +66,8 @@ def signature_table(runs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             table[batch.column("at").to_numpy()] = batch.column("mask").to_numpy().astype(np.uint16)
         yield pa.RecordBatch.from_arrays([pa.array([table.tobytes()], pa.binary())], ["masks"])
 
-    masks = np.frombuffer(marks.repartition(1).mapInArrow(run, "masks binary").first()[0], np.uint16)
+    made = one_value(marks.repartition(1).mapInArrow(run, "masks binary"))
+    masks = np.zeros(1 << MASK_BITS, np.uint16) if made is None else np.frombuffer(made, np.uint16)
     needs = np.full(CLASSES, np.iinfo(np.int64).max, np.int64)
     for row in runs.groupBy("class").agg(F.min("need").alias("need")).collect():  # at most CLASSES rows
         needs[row["class"]] = row["need"]

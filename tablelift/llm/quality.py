@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import Words, mix, slices
+from tablelift.llm.common import Words, mix, one_value, slices
 
 BITS = 18
 TRAIN_ROWS = 4000
@@ -154,8 +154,9 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = T
         model = np.append(weights, intercept).astype("<f8").tobytes()
         yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
-    model = np.frombuffer(texts.repartition(1).mapInArrow(fit, "model binary").first()[0], "<f8")
-    return model[:-1].astype(np.float64), float(model[-1])
+    learnt = one_value(texts.repartition(1).mapInArrow(fit, "model binary"))
+    model = np.zeros((1 << BITS) + 1) if learnt is None else np.frombuffer(learnt, "<f8")
+    return model[:-1], float(model[-1])
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str], name: str = "score") -> DataFrame:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import class_join, flat, mix, partitions, prefix_hash, range_hash, slices, written
+from tablelift.llm.common import class_join, flat, mix, one_value, partitions, prefix_hash, range_hash, slices, written
 from tablelift.llm.suffix_groups import suffix_arrays
 
 LENGTH = 100
@@ -112,7 +112,8 @@ def bit_table(values: DataFrame) -> np.ndarray:
             table[batch.column("word").to_numpy()] = batch.column("bits").to_numpy().astype(np.uint32)
         yield pa.RecordBatch.from_arrays([pa.array([table.tobytes()], pa.binary())], ["table"])
 
-    return np.frombuffer(words.repartition(1).mapInArrow(run, "table binary").first()[0], np.uint32)
+    made = one_value(words.repartition(1).mapInArrow(run, "table binary"))
+    return np.zeros(1 << (BITS - 5), np.uint32) if made is None else np.frombuffer(made, np.uint32)
 
 
 def has_bit(table: np.ndarray, values: np.ndarray) -> np.ndarray:

@@ -17,7 +17,7 @@ ones unless given.  Scoring reads every whole text, in slices, without a shuffle
 
 Defined results: null, empty or wordless texts score the intercept; null labels and doc_ids are
 not learnt from; several labels of one document count as their largest; without any toxic row the
-model is empty and every score is 0; repeated documents are scored each; other columns are ignored.
+model is empty and every score is (nearly) 0; repeated documents are scored each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import Words, mix, prefix_hash, range_hash, slices
+from tablelift.llm.common import Words, mix, one_value, prefix_hash, range_hash, slices
 from tablelift.llm.quality import held_out, sample_labels
 
 BITS = 18
@@ -128,7 +128,8 @@ def train(
         model = np.append(weights, intercept).astype("<f8").tobytes()
         yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
-    model = np.frombuffer(texts.repartition(1).mapInArrow(run, "model binary").first()[0], "<f8")
+    learnt = one_value(texts.repartition(1).mapInArrow(run, "model binary"))
+    model = np.append(np.zeros(1 << BITS), -35.0) if learnt is None else np.frombuffer(learnt, "<f8")
     return model[:-1], float(model[-1])
 
 
