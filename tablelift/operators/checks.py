@@ -24,10 +24,11 @@ def census(df: DataFrame, flags: Mapping[str, Column], total: str = "total") ->
 
 
 def collect_per_group(
-    df: DataFrame, key: str | Sequence[str], value: str, out: str, separator: str = ", ", tie: str | None = None
+    df: DataFrame, key: str | Sequence[str], value: str, out: str, separator: str = ", ", tie: str | None = None,
+    entries: int = 1000,
 ) -> DataFrame:
-    """The values of each group as sorted, joined text, in pieces of bounded length."""
-    pieces = collect_in_pieces(df, key, value, "__values", tie)
+    """The values of each group as sorted, joined text, in pieces of at most `entries` values."""
+    pieces = collect_in_pieces(df, key, value, "__values", tie, entries=entries)
     joined = F.array_join(F.col("__values").cast("array<string>"), separator)
     return pieces.withColumn(out, joined).drop("__values")
 

@@ -8,8 +8,9 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablelift.operators.hierarchy import lineage_check
 from tablelift.operators.sequence import collect_in_pieces
-from tablelift.scale import as_list, lookup_join, materialise, materialise_counted
+from tablelift.scale import as_list, lookup_join, materialise, materialise_counted, once
 
 
 def _keyed(df: DataFrame, keys: list[str], where: Column | None) -> DataFrame:
@@ -42,10 +43,10 @@ def duplicate_members(
 
 
 def duplicate_lists(
-    df: DataFrame, key: str | Sequence[str], row_id: str, where: Column | None = None
+    df: DataFrame, key: str | Sequence[str], row_id: str, where: Column | None = None, entries: int = 1000
 ) -> DataFrame:
-    """The sorted ids of each duplicated key, in pieces of bounded length."""
-    return collect_in_pieces(duplicate_members(df, key, row_id, where), key, row_id, "ids")
+    """The sorted ids of each duplicated key, in pieces of at most `entries`."""
+    return collect_in_pieces(duplicate_members(df, key, row_id, where), key, row_id, "ids", entries=entries)
 
 
 def pick_survivor(
@@ -86,26 +87,52 @@ class Redirected(NamedTuple):
     losers: DataFrame  # losers free of a failed redirect
 
 
+def _redirect(children: DataFrame, parent: str, losers: DataFrame) -> DataFrame:
+    moves = losers.select(F.col("loser_id").alias(parent), F.col("survivor_id").alias("__to"))
+    moved = lookup_join(children, moves, parent, "left")
+    return moved.withColumn(parent, F.coalesce("__to", parent)).select(*children.columns)
+
+
+def _without_loops(children: DataFrame, parent: str, losers: DataFrame, child_id: str) -> tuple[DataFrame, DataFrame]:
+    """(losers whose redirects close no loop, the others), all redirects considered together.
+
+    A loop that a redirect closes runs from a moved child through its survivor
+    back to the child, however deep the survivor lies below its loser and
+    however many redirects take part.  All losers whose children stand on such
+    a loop fail; since their children then stay, the rest is looked at again
+    until no loop is left.  A loop that was there before concerns nobody.
+    """
+    good, failed = losers, losers.limit(0)
+    edges = children.select(F.col(child_id).alias("id"), F.col(parent).alias("parent"))
+    while True:
+        above = lookup_join(good.select(F.col("survivor_id").alias("id")).distinct(), edges, "id", "inner")
+        if above.where("parent IS NOT NULL").isEmpty():
+            return good, failed  # every survivor is a root, so nothing can hang below itself
+        fate = lineage_check(_redirect(edges, "parent", good), "id", "parent")
+        looped = fate.where("status = 'cycle'").select("id")
+        moved = lookup_join(edges, looped, "id", "left_semi").select(F.col("parent").alias("loser_id"))
+        bad, seen = materialise_counted(
+            lookup_join(good, moved.distinct(), "loser_id", "left_semi").select(*losers.columns), "looped", {"rows": F.lit(True)}
+        )
+        if not seen["rows"]:
+            return good, failed
+        failed = failed.unionByName(bad)
+        good = materialise(lookup_join(good, bad.select("loser_id"), "loser_id", "left_anti").select(*losers.columns), "good")
+
+
 def redirect_children(
     children: DataFrame, parent: str, losers: DataFrame, child_id: str, same_table: bool = False
 ) -> Redirected:
     """Hang the children of each loser below its survivor; inactive children too.
 
-    In a hierarchy (``same_table``) a survivor may itself be a child of its
-    loser; re-pointing would make it its own parent, so that loser's redirect
-    fails as a whole and the loser is kept.
+    In a hierarchy (``same_table``) a survivor may lie somewhere below its
+    loser, or below another loser whose survivor lies below this one.  A
+    redirect that would close a loop fails as a whole and the loser is kept.
     """
     good, failed = losers, None
     if same_table:
-        survivors = children.select(F.col(child_id).alias("survivor_id"), F.col(parent).alias("__above"))
-        looped = lookup_join(losers, survivors, "survivor_id", "inner").where(
-            F.col("__above") == F.col("loser_id")
-        )
-        failed = looped.select("loser_id").distinct()
-        good = lookup_join(losers, failed, "loser_id", "left_anti").select(*losers.columns)
-    moves = good.select(F.col("loser_id").alias(parent), F.col("survivor_id").alias("__to"))
-    moved = lookup_join(children, moves, parent, "left")
-    redirected = moved.withColumn(parent, F.coalesce("__to", parent)).select(*children.columns)
+        good, failed = _without_loops(children, parent, once(losers, "losers"), child_id)
+    redirected = _redirect(children, parent, good)
 
     planned = losers.select(F.col("loser_id").alias("from_id"), F.col("survivor_id").alias("to_id"))
     touched = children.select(F.col(child_id).alias("child_id"), F.col(parent).alias("from_id"))
@@ -113,7 +140,7 @@ def redirect_children(
     if failed is None:
         log = log.withColumn("done", F.lit(True))
     else:
-        marks = failed.select(F.col("loser_id").alias("from_id"), F.lit(False).alias("done"))
+        marks = failed.select(F.col("loser_id").alias("from_id"), F.lit(False).alias("done")).distinct()
         log = lookup_join(log, marks, "from_id", "left").withColumn("done", F.coalesce("done", F.lit(True)))
     return Redirected(redirected, log.select("child_id", "from_id", "to_id", "done"), good)
 

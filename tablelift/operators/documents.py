@@ -9,25 +9,25 @@ from __future__ import annotations
 
 import re
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablelift.functions import all_matches, path_without_root, shorten
-from tablelift.operators.sequence import collect_in_pieces, surrogate_keys
-from tablelift.scale import bounded_frame, lookup_join, materialise
+from tablelift.operators.sequence import collect_in_pieces
+from tablelift.scale import lookup_join, materialise
 
 # fixed values: names and tags that are not field references
 SPECIAL_NAMES = ("id", "__last_update", "display_name")
 ACTION_TAGS = ("button", "a")
 
+# fixed values: where expressions stand in a document, and how much of an error is kept
 XPATH_ATTRIBUTE = r"<xpath[^>]+expr=\"([^\"]+)\""
 ERROR_LENGTH = 200
-EXPRESSIONS_PER_JOB = 50
 
 
 def extract_exprs(
@@ -40,8 +40,8 @@ def extract_exprs(
 
 
 def _parse(text: str | None) -> ET.Element | None:
-    """The root element; None for a missing, empty or malformed document."""
-    if not text:
+    """The root element; None for a missing, empty or malformed document, or one that declares a type."""
+    if not text or "<!DOCTYPE" in text.upper():
         return None
     try:
         return ET.fromstring(text)
@@ -121,42 +121,140 @@ def field_refs_missing(
     ``fields`` lists (model, name).  Models it does not know are skipped, as
     are special names, dotted paths, buttons and links.  By default all views
     are checked; ``first_per_model`` looks at the lowest id of each model only.
+    Documents are parsed where they are read; only names travel through joins.
     """
-    chosen = views.where(F.col(model).isNotNull())
-    if first_per_model:
-        firsts = chosen.groupBy(model).agg(F.min(view_id).alias(view_id))
-        chosen = lookup_join(chosen, firsts, [model, view_id], "left_semi")
-    models = fields.select(F.col("model").alias(model)).distinct()
-    chosen = lookup_join(chosen, models, model, "left_semi")
-    names = field_names(chosen, view_id, model, document).where(
+    names = field_names(views.where(F.col(model).isNotNull()), view_id, model, document)
+    names = names.where(
         ~F.col("name").isin(*SPECIAL_NAMES) & ~F.col("tag").isin(*ACTION_TAGS) & ~F.col("name").contains(".")
     )
+    if first_per_model:
+        firsts = views.where(F.col(model).isNotNull()).groupBy(F.col(model).alias("model")).agg(F.min(view_id).alias("view_id"))
+        names = lookup_join(names, firsts, ["model", "view_id"], "left_semi")
+    names = lookup_join(names, fields.select("model").distinct(), "model", "left_semi")
     known = fields.select("model", "name").distinct()
     return lookup_join(names, known, ["model", "name"], "left_anti").select("view_id", "model", "tag", "name")
 
 
-# Expressions the standard library evaluates as XPath 1.0 does: plain steps with
-# attribute tests, and a position directly behind a tag name.
-_STEP = r"(?:[A-Za-z_][\w.-]*(?:\[\d+\]|\[last\(\)\])?|\*)(?:\[@[A-Za-z_][\w.-]*(?:=(?:'[^']*'|\"[^\"]*\"))?\])*"
-_PLAIN = re.compile(rf"^(?P<start>\.?//|\.?/|)(?P<path>{_STEP}(?://?{_STEP})*)$")
+# What the tasks evaluate themselves: steps down or up, with attribute, position and text tests.
+# fixed values: the form of one step and of one test
+_STEP = re.compile(r"(?P<name>\.\.|\.|\*|[A-Za-z_][\w.-]*)(?P<tests>(?:\[(?:[^\[\]'\"]|'[^']*'|\"[^\"]*\")*\])*)$")
+_TEST = re.compile(
+    r"@(?P<has>[\w:.-]+)$"
+    r"|@(?P<left>[\w:.-]+)\s*(?P<sign>!?=)\s*(?P<value>'[^']*'|\"[^\"]*\")$"
+    r"|(?P<call>contains|starts-with)\(\s*@(?P<arg>[\w:.-]+)\s*,\s*(?P<part>'[^']*'|\"[^\"]*\")\s*\)$"
+    r"|text\(\)\s*=\s*(?P<text>'[^']*'|\"[^\"]*\")$"
+    r"|hasclass\(\s*(?P<cls>'[^']*'|\"[^\"]*\")\s*\)$"
+)
+_QUOTED = r"'[^']*'|\"[^\"]*\""
+
+
+def _pieces(text: str, separator: str) -> list[str]:
+    """The text cut at a separator that stands outside quotes and brackets."""
+    pieces, depth, start = [], 0, 0
+    for token in re.finditer(rf"{_QUOTED}|[\[(]|[\])]|{separator}", text):
+        if token[0] in "[(":
+            depth += 1
+        elif token[0] in "])":
+            depth -= 1
+        elif depth == 0 and token[0][0] not in "'\"":
+            pieces.append(text[start : token.start()])
+            start = token.end()
+    return [*pieces, text[start:]]
+
+
+def _condition(test: str) -> Callable[[ET.Element], bool]:
+    """One test on an element; ValueError for what the tasks do not evaluate."""
+    for word, combine in ((r"\sor\s", any), (r"\sand\s", all)):
+        parts = _pieces(test, word)
+        if len(parts) > 1:
+            checks = [_condition(part) for part in parts]
+            return lambda e: combine(check(e) for check in checks)
+    test = test.strip()
+    if test.startswith("not(") and test.endswith(")"):
+        check = _condition(test[4:-1])
+        return lambda e: not check(e)
+    found = _TEST.match(test)
+    if found is None:
+        raise ValueError(test)
+    if found["has"]:
+        return lambda e: found["has"] in e.attrib
+    if found["left"]:
+        equal, value = found["sign"] == "=", found["value"][1:-1]
+        return lambda e: found["left"] in e.attrib and (e.get(found["left"]) == value) == equal
+    if found["call"]:
+        part = found["part"][1:-1]
+        held = str.__contains__ if found["call"] == "contains" else str.startswith
+        return lambda e: held(e.get(found["arg"], ""), part)
+    if found["cls"]:
+        return lambda e: found["cls"][1:-1] in e.get("class", "").split()
+    return lambda e: found["text"][1:-1] in [e.text, *[child.tail for child in e]]
+
+
+def _path(expression: str) -> list[tuple[bool, str, list]]:
+    """Steps (deep, name, tests) of one path; ValueError for what the tasks do not evaluate."""
+    steps = []
+    for n, piece in enumerate(_pieces(expression, "/")):
+        if piece == "":
+            if n == 0:
+                steps.append((False, "/", []))
+            elif steps and steps[-1][1] != "//":
+                steps.append((True, "//", []))
+            else:
+                raise ValueError(expression)
+            continue
+        found = _STEP.match(piece.strip())
+        if found is None:
+            raise ValueError(expression)
+        tests = []
+        for token in re.findall(rf"\[((?:[^\[\]'\"]|{_QUOTED})*)\]", found["tests"]):
+            token = token.strip()
+            tests.append(int(token) if token.isdigit() else -1 if token == "last()" else _condition(token))
+        deep = bool(steps) and steps[-1][1] == "//"
+        if deep:
+            steps.pop()
+        steps.append((deep, found["name"], tests))
+    if steps and steps[-1][1] in ("/", "//"):
+        raise ValueError(expression)
+    return steps
+
+
+def _matches(root: ET.Element, parents: dict, expression: str) -> bool:
+    """Does the expression find anything, starting at the root element?  ValueError if it is beyond the tasks."""
+    for alternative in _pieces(expression, r"\|"):
+        holder = parents[root]
+        nodes = [root]
+        for deep, name, tests in _path(alternative.strip()):
+            if name == "/":
+                nodes = [holder]
+                continue
+            reached, seen = [], set()
+            starts = [below for node in nodes for below in node.iter()] if deep else nodes
+            for node in dict.fromkeys(starts):
+                if name in (".", ".."):
+                    chosen = [node] if name == "." else [parents[node]] if node in parents else []
+                else:
+                    chosen = [child for child in node if name in ("*", child.tag)]
+                for test in tests:
+                    if isinstance(test, int):
+                        chosen = chosen[-1:] if test < 0 else chosen[test - 1 : test] if test else []
+                    else:
+                        chosen = [e for e in chosen if test(e)]
+                for e in chosen:
+                    if e not in seen:
+                        seen.add(e)
+                        reached.append(e)
+            nodes = reached
+        if nodes:
+            return True
+    return False
 
 
-def plain_expression(expression: str) -> bool:
-    """Can the standard library evaluate this expression exactly?"""
-    return expression == "." or _PLAIN.match(expression) is not None
+NOT_CHECKABLE = "not checkable here"
 
 
-def _has_match(document: ET.Element, root: ET.Element, expression: str) -> bool:
-    """Evaluate a plain expression; `document` is a holder above the root element."""
-    if expression == ".":
-        return True
-    parts = _PLAIN.match(expression)
-    start, path = parts["start"], parts["path"]
-    if start == "//":
-        return document.find(f".//{path}") is not None
-    if start == "/":
-        return document.find(f"./{path}") is not None
-    return root.find(f".//{path}" if start == ".//" else path) is not None
+def has_doctype(document: Column) -> Column:
+    """Documents that declare a type could name files to open; they are never evaluated."""
+    return F.contains(F.upper(document), F.lit("<!DOCTYPE"))
 
 
 def _document_exprs(views: DataFrame, view_id: str, parent: str, document: str, tag: str) -> DataFrame:
@@ -189,136 +287,69 @@ def _document_exprs(views: DataFrame, view_id: str, parent: str, document: str,
 
 
 def _evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One parsed parent document per row against its list of expressions."""
+    """One parsed parent document per row against its own list of expressions; hits are left out."""
     for batch in batches:
-        origin, exprs, verdicts = [], [], []
-        lists = batch.column("exprs").to_pylist()
+        origin, exprs, errors = [], [], []
+        lists, inherits = batch.column("exprs").to_pylist(), batch.column("inherits").to_pylist()
         for row, text in enumerate(batch.column("document").to_pylist()):
             root = _parse(text)
             if root is None:
                 continue
             holder = ET.Element("document")
             holder.append(root)
+            parents = {child: node for node in holder.iter() for child in node}
             for expression in lists[row]:
+                error = None
+                try:
+                    if _matches(root, parents, expression):
+                        continue
+                    if inherits[row]:
+                        error = f"{NOT_CHECKABLE}: the parent inherits"
+                except ValueError:
+                    error = f"{NOT_CHECKABLE}: beyond the steps and tests evaluated"
                 origin.append(row)
                 exprs.append(expression)
-                if not plain_expression(expression):
-                    verdicts.append("other")
-                else:
-                    verdicts.append("hit" if _has_match(holder, root, expression) else "miss")
+                errors.append(error)
         taken = pa.array(origin, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("parent_id").take(taken), pa.array(exprs, pa.string()), pa.array(verdicts, pa.string())],
-            ["parent_id", "expr", "verdict"],
+            [batch.column("parent_id").take(taken), pa.array(exprs, pa.string()), pa.array(errors, pa.string())],
+            ["parent_id", "expr", "error"],
         )
 
 
-def _from_root(expression: str) -> str:
-    """The expression for an engine that starts at the document instead of the root element."""
-    parts = re.findall(r"(?:'[^']*'|\"[^\"]*\"|\[[^\]]*\]|\([^)]*\)|[^|])+", expression)
-    relative = re.compile(r"^(?![/(])(?!(?!node|text|comment|processing-instruction)[\w-]+\s*\()")
-    return "|".join(f"/*/{p.strip()}" if relative.match(p.strip()) else p for p in parts)
-
-
-def _xpath_errors(spark: SparkSession, expressions: list[str]) -> dict[str, str]:
-    """Why XPath 1.0 rejects some of these expressions; valid ones are left out.
-
-    All are tried together on a tiny document, and one by one only if that fails.
-    """
-
-    def failure(tried: list[str]) -> str | None:
-        calls = [F.xpath_boolean(F.lit("<a/>"), F.lit(_from_root(e))) for e in tried]
-        try:
-            spark.range(1).select(F.array(*calls)).collect()
-        except Exception as error:  # the class differs between analysis and evaluation
-            return str(error).splitlines()[0]
-        return None
-
-    if failure(expressions) is None:
-        return {}
-    reasons = {e: failure([e]) for e in expressions}
-    return {e: reason for e, reason in reasons.items() if reason}
-
-
-def _evaluate_others(pairs: DataFrame, documents: DataFrame) -> DataFrame:
-    """(parent_id, expr, verdict, error) for expressions that need full XPath 1.0.
-
-    Spark's `xpath` wants a literal path, so the distinct expressions are
-    numbered and taken in jobs of a fixed number each, however many there are.
-    """
-    spark = pairs.sparkSession
-    distinct = materialise(surrogate_keys(pairs.select("expr").distinct(), ["expr"], "__no"), "exprs")
-    total = distinct.count()
-    results = []
-    for start in range(0, total, EXPRESSIONS_PER_JOB):
-        within = (F.col("__no") > start) & (F.col("__no") <= start + EXPRESSIONS_PER_JOB)
-        listed = [row.expr for row in distinct.where(within).collect()]
-        errors = _xpath_errors(spark, listed)
-        invalid = sorted(errors.items())
-        valid = [e for e in listed if e not in errors]
-        if invalid:
-            reasons = bounded_frame(spark, invalid, "expr string, error string")
-            results.append(
-                pairs.join(reasons, "expr").select("parent_id", "expr", F.lit("invalid").alias("verdict"), "error")
-            )
-        if valid:
-            wanted = pairs.where(F.col("expr").isin(valid))
-            sources = lookup_join(documents, wanted.select("parent_id").distinct(), "parent_id", "left_semi")
-            matches = F.array(
-                *[
-                    F.struct(
-                        F.lit(e).alias("expr"),
-                        F.xpath_boolean("document", F.lit(_from_root(e))).alias("hit"),
-                    )
-                    for e in valid
-                ]
-            )
-            judged = sources.select("parent_id", F.inline(matches))
-            results.append(
-                lookup_join(wanted, judged, ["parent_id", "expr"], "inner").select(
-                    "parent_id",
-                    "expr",
-                    F.when(F.col("hit"), "hit").otherwise("miss").alias("verdict"),
-                    F.lit(None).cast("string").alias("error"),
-                )
-            )
-    merged, *others = results
-    for part in others:
-        merged = merged.unionByName(part)
-    return merged
-
-
 def expr_targets_missing(
-    views: DataFrame, view_id: str, parent: str, document: str, tag: str = "xpath", where: Column | None = None
+    views: DataFrame, view_id: str, parent: str, document: str, tag: str = "xpath", where: Column | None = None,
+    entries: int = 1000,
 ) -> DataFrame:
     """Expressions of a document that find nothing in its parent's document.
 
-    (view_id, parent_id, expr, error): `error` is set for expressions XPath
-    rejects.  Pairs where either document does not parse are skipped; the
-    well-formedness check reports those.  Each distinct (parent, expression) is
-    evaluated once, and a parent's document travels once per list of
-    expressions, not once per child.
+    (view_id, parent_id, expr, error).  `error` is NULL where the expression was
+    evaluated and found nothing.  It says "not checkable here" where that
+    cannot be told: the expression uses more than steps with attribute, text
+    and position tests, or the parent inherits itself, so that the target may
+    lie in what it inherits.  Pairs where either document does not parse or
+    declares a document type are skipped; other checks report those.
+
+    Each distinct (parent, expression) is evaluated once, inside the tasks and
+    only on its own document; a parent's document travels once per list of at
+    most `entries` expressions.  The number of jobs does not depend on the data.
     """
     children = views if where is None else views.where(where)
-    usable = F.col(document).isNotNull() & (F.col(document) != "")
+    usable = F.col(document).isNotNull() & (F.col(document) != "") & ~has_doctype(F.col(document))
     rows = _document_exprs(children.where(F.col(parent).isNotNull() & usable), view_id, parent, document, tag)
     rows = materialise(rows, "exprs")
     pairs = rows.select("parent_id", "expr").distinct()
-    lists = collect_in_pieces(pairs, "parent_id", "expr", "exprs").select("parent_id", "exprs")
-    documents = views.where(usable).select(F.col(view_id).alias("parent_id"), F.col(document).alias("document"))
+    lists = collect_in_pieces(pairs, "parent_id", "expr", "exprs", entries=entries).select("parent_id", "exprs")
+    documents = views.where(usable).select(
+        F.col(view_id).alias("parent_id"), F.col(document).alias("document"), F.col(parent).isNotNull().alias("inherits")
+    )
     parent_type = rows.schema["parent_id"].dataType.simpleString()
-    judged = (
+    misses = (
         lookup_join(lists, documents, "parent_id", "inner")
-        .select("parent_id", "exprs", "document")
-        .mapInArrow(_evaluate, f"parent_id {parent_type}, expr string, verdict string")
+        .select("parent_id", "exprs", "document", "inherits")
+        .mapInArrow(_evaluate, f"parent_id {parent_type}, expr string, error string")
     )
-    judged = materialise(judged, "verdicts").withColumn("error", F.lit(None).cast("string"))
-    others = judged.where("verdict = 'other'").select("parent_id", "expr")
-    verdicts = judged.where("verdict <> 'other'")
-    if not others.isEmpty():
-        sound = documents.where(xml_error(F.col("document")).isNull())
-        verdicts = verdicts.unionByName(_evaluate_others(others, sound))
-    misses = verdicts.where("verdict <> 'hit'").select("parent_id", "expr", "error")
+    misses = materialise(misses.distinct(), "misses")
     return lookup_join(rows, misses, ["parent_id", "expr"], "inner").select("view_id", "parent_id", "expr", "error")
 
 

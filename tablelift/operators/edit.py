@@ -32,10 +32,15 @@ def backup_column(df: DataFrame, column: str, backup: str) -> DataFrame:
 
 
 def update_where(df: DataFrame, predicate: Column, assignments: Mapping[str, Any]) -> DataFrame:
-    """Conditional update; all right-hand sides see the old row."""
-    return df.withColumns(
-        {c: F.when(predicate, _value(v)).otherwise(F.col(c)) for c, v in assignments.items()}
-    )
+    """Conditional update; all right-hand sides see the old row, and every column keeps its type."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+
+    def assigned(column: str, value: Any) -> Column:
+        if column not in types:
+            return F.when(predicate, _value(value))
+        return F.when(predicate, _value(value).cast(types[column])).otherwise(F.col(column))
+
+    return df.withColumns({c: assigned(c, v) for c, v in assignments.items()})
 
 
 def update_by_keys(

@@ -16,7 +16,9 @@ from tablelift.scale import lookup_join, materialise_counted
 def lineage_check(df: DataFrame, row_id: str, parent: str, broken: Column | None = None) -> DataFrame:
     """Can every row be traced to a sound root?
 
-    One row per input row: id, parent, `status` and `depth`.
+    One row per id: id, parent, `status` and `depth`.  Of rows that share an id
+    the one of smallest parent counts (a root before all others), and it is
+    broken if any of them is; `doubled_ids` lists such ids.
 
     * ``ok``: all ancestors exist and none is broken; depth counts them.
     * ``broken``: the row itself is marked broken.
@@ -30,6 +32,10 @@ def lineage_check(df: DataFrame, row_id: str, parent: str, broken: Column | None
     """
     bad = F.lit(False) if broken is None else is_true(broken)
     rows = df.select(F.col(row_id).alias("id"), F.col(parent).alias("parent"), bad.alias("__bad"))
+    single = rows.groupBy("id").agg(
+        F.min("parent").alias("__least"), F.bool_or(F.col("parent").isNull()).alias("__root"), F.bool_or("__bad").alias("__bad")
+    )
+    rows = single.select("id", F.when(~F.col("__root"), F.col("__least")).alias("parent"), "__bad")
     known = rows.select(F.col("id").alias("parent"), F.lit(True).alias("__found"))
     status = (
         F.when(F.col("__bad"), "broken")
@@ -50,7 +56,9 @@ def lineage_check(df: DataFrame, row_id: str, parent: str, broken: Column | None
     left, images = seen["open"], None
     while left:
         unknown = F.lit(None)
-        above = fates.select(
+        # only settled rows that some open row points at take part
+        pointed = open_rows.select(F.col("ancestor").alias("id")).distinct()
+        above = lookup_join(fates, pointed, "id", "left_semi").select(
             F.col("id").alias("ancestor"),
             F.col("status").alias("__status"),
             F.col("depth").alias("__depth"),
@@ -102,6 +110,11 @@ def lineage_check(df: DataFrame, row_id: str, parent: str, broken: Column | None
     return result
 
 
+def doubled_ids(df: DataFrame, row_id: str) -> DataFrame:
+    """(id, n) of ids that several rows share."""
+    return df.groupBy(F.col(row_id).alias("id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def implication_closure(implications: DataFrame, source: str, target: str) -> DataFrame:
     """Everything each source implies, directly or through others, as distinct pairs.
 

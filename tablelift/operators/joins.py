@@ -118,6 +118,8 @@ def update_from(
 ) -> DataFrame:
     """Copy columns from the matching row of another table, NULLs included.
 
+    A column `df` has already keeps its type.
+
     ``on`` maps columns of `df` to columns of `other`, ``columns`` targets to
     their sources.  With several matches the one that sorts first by `tie` is
     used; ``unique=True`` promises there is at most one.
@@ -139,7 +141,9 @@ def update_from(
     apply = F.col("__hit") if where is None else F.col("__hit") & where
     joined = joined.withColumns(
         {
-            t: F.when(apply, F.col(f"__new_{t}")).otherwise(F.col(t) if t in df.columns else F.lit(None))
+            t: F.when(apply, F.col(f"__new_{t}").cast(df.schema[t].dataType)).otherwise(F.col(t))
+            if t in df.columns
+            else F.when(apply, F.col(f"__new_{t}"))
             for t in columns
         }
     )
@@ -175,15 +179,27 @@ def update_from_chain(
     "link.column".  ``only_null`` protects values that are already there.
     """
     first, *others = links
-    resolved = first.table.alias(first.name)
+    wanted = {*columns.values(), tie, f"{first.name}.{first.right}", *[link.left for link in others]}
+
+    def held(source: str) -> str:
+        """The column that carries "link.column" along the chain."""
+        return "__".join(["", *source.split(".", 1)])
+
+    def reduced(link: Link) -> DataFrame:
+        """The columns the chain uses, each distinct combination once."""
+        names = {w.split(".", 1)[1] for w in wanted if w.split(".", 1)[0] == link.name} | {link.right}
+        return link.table.select(*[F.col(n).alias(held(f"{link.name}.{n}")) for n in sorted(names)]).distinct()
+
+    resolved = reduced(first)
     for link in others:
-        resolved = resolved.join(
-            link.table.alias(link.name), F.col(link.left) == F.col(f"{link.name}.{link.right}")
-        )
+        # rows of one key that agree in all that is used are one row, and a hot key is spread
+        right = reduced(link).withColumn("__meet", F.col(held(f"{link.name}.{link.right}")))
+        left = resolved.withColumn("__meet", F.col(held(link.left))).where("__meet IS NOT NULL")
+        resolved = lookup_join(left, right, "__meet", "inner").drop("__meet")
     lookup = resolved.select(
-        F.col(f"{first.name}.{first.right}").alias("__key"),
-        *[F.col(source).alias(f"__from_{target}") for target, source in columns.items()],
-        F.col(tie).alias("__tie"),
+        F.col(held(f"{first.name}.{first.right}")).alias("__key"),
+        *[F.col(held(source)).alias(f"__from_{target}") for target, source in columns.items()],
+        F.col(held(tie)).alias("__tie"),
     )
     guard = None
     if only_null:
@@ -252,9 +268,9 @@ def children_of(df: DataFrame, row_id: str, parent: str, keep: Sequence[str] = (
     return lookup_join(children.dropna(), parents, "parent_id", "inner")
 
 
-def child_lists(df: DataFrame, row_id: str, parent: str) -> DataFrame:
-    """The sorted children of each parent, in pieces of bounded length."""
-    return collect_in_pieces(children_of(df, row_id, parent), "parent_id", "child_id", "children")
+def child_lists(df: DataFrame, row_id: str, parent: str, entries: int = 1000) -> DataFrame:
+    """The sorted children of each parent, in pieces of at most `entries`."""
+    return collect_in_pieces(children_of(df, row_id, parent), "parent_id", "child_id", "children", entries=entries)
 
 
 def dependents(

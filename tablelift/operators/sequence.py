@@ -23,11 +23,11 @@ from tablelift.scale import (
     Limits,
     as_list,
     groups_fit,
-    is_small,
     largest_group,
     lookup_join,
     materialise,
     new_table_path,
+    once,
     range_partitions,
 )
 
@@ -88,8 +88,9 @@ def number_rows(
     `part` the whole table is one group.
     """
     part, order = as_list(part), _columns(order)
-    fits = is_small(df) or (bool(part) and groups_fit(df, part))
-    if fits:
+    columns_in = df.columns
+    df = once(df, "numbering")
+    if groups_fit(df, part):
         window = Window.partitionBy(*[F.col(p) for p in part]).orderBy(*order)
         columns = {out: F.row_number().over(window).cast("long")}
         if previous:
@@ -113,7 +114,7 @@ def number_rows(
     numbered = fixed.join(heads, same).withColumn(
         out, F.col("__slot") - F.col("__first") + F.col("__before") + 1
     )
-    columns = [*[c for c in df.columns if c not in (out, previous)], out]
+    columns = [*[c for c in columns_in if c not in (out, previous)], out]
     if previous:
         inside = Window.partitionBy("__range", *part).orderBy("__slot")
         numbered = numbered.withColumn(
@@ -287,9 +288,9 @@ def surrogate_keys(rows: DataFrame, order: Order, out: str, after: DataFrame | N
 
 
 def collect_in_pieces(
-    df: DataFrame, key: str | Sequence[str], value: str, out: str, tie: str | None = None
+    df: DataFrame, key: str | Sequence[str], value: str, out: str, tie: str | None = None, *, entries: int
 ) -> DataFrame:
-    """The ordered values per key, as arrays of at most `list_rows` entries.
+    """The ordered values per key, as arrays of at most `entries` values.
 
     A key with more values gets several rows, numbered by `piece` from 0, so
     nothing is cut off and no array grows with the data; `n` is the size of the
@@ -297,11 +298,10 @@ def collect_in_pieces(
     orders equal values.
     """
     keys = as_list(key)
-    limit = Limits.of(df.sparkSession).list_rows
     rows = df.select(*keys, value, tie) if tie else df.select(*keys, value).distinct()
     numbered = number_rows(rows, keys, [value, tie] if tie else [value], "__seq")
-    pieces = numbered.withColumn("piece", F.floor((F.col("__seq") - 1) / limit))
-    entries = F.array_sort(F.collect_list(F.struct(F.col("__seq"), F.col(value).alias("v"))))
+    pieces = numbered.withColumn("piece", F.floor((F.col("__seq") - 1) / entries))
+    listed = F.array_sort(F.collect_list(F.struct(F.col("__seq"), F.col(value).alias("v"))))
     return pieces.groupBy(*keys, "piece").agg(
-        F.transform(entries, lambda entry: entry["v"]).alias(out), F.count(F.lit(1)).alias("n")
+        F.transform(listed, lambda entry: entry["v"]).alias(out), F.count(F.lit(1)).alias("n")
     )

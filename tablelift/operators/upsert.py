@@ -12,7 +12,7 @@ from tablelift.functions import is_true
 from tablelift.operators.edit import delete_where
 from tablelift.operators.joins import one_per_key, update_from
 from tablelift.operators.sequence import surrogate_keys
-from tablelift.scale import as_list, bounded_frame, lookup_join
+from tablelift.scale import as_list, listed_frame, lookup_join
 
 
 def _literal(value: Any) -> Column:
@@ -113,10 +113,30 @@ def matching_id(df: DataFrame, predicate: Column, row_id: str) -> Column:
     return df.where(predicate).agg(F.min(row_id).alias("id")).scalar()
 
 
-def set_setting(settings: DataFrame, key: str, name: str, value: Column, column: str) -> DataFrame:
-    """Replace one key of a key/value table; the value may be a scalar subquery."""
+def _next_id(df: DataFrame, row_id: str) -> Column:
+    """The next free id as a scalar column."""
+    return df.agg((F.coalesce(F.max(row_id), F.lit(0)) + 1).alias("next")).scalar()
+
+
+def set_setting(
+    settings: DataFrame,
+    key: str,
+    name: str,
+    value: Column,
+    column: str,
+    defaults: Mapping[str, Any] | None = None,
+    row_id: str | None = None,
+) -> DataFrame:
+    """Replace one key of a key/value table; the value may be a scalar subquery.
+
+    `defaults` fill the other columns of the new row (dates, say), and with
+    `row_id` it gets the next free id.
+    """
     spark = settings.sparkSession
-    row = spark.range(1).select(*_cast_like(settings, {key: name, column: value}))
+    values = {**(defaults or {}), key: name, column: value}
+    if row_id:
+        values[row_id] = _next_id(settings, row_id)
+    row = spark.range(1).select(*_cast_like(settings, values))
     return delete_where(settings, F.col(key) == name).unionByName(row)
 
 
@@ -129,17 +149,23 @@ def retire_placeholder(
     key: str,
     name: str,
     column: str,
+    defaults: Mapping[str, Any] | None = None,
+    setting_id: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Delete the placeholder and point the setting at the real row instead.
 
     Without a placeholder nothing changes.  Without a real row the setting
-    becomes NULL.  Returns the table and the settings.
+    becomes NULL.  The new setting is a whole row, as in `set_setting`.
+    Returns the table and the settings.
     """
     spark = df.sparkSession
     found = df.agg(F.coalesce(F.bool_or(placeholder), F.lit(False)).alias("found")).scalar()
     kept = delete_where(df, placeholder)
     value = matching_id(kept, real, row_id)
-    row = spark.range(1).where(found).select(*_cast_like(settings, {key: name, column: value}))
+    values = {**(defaults or {}), key: name, column: value}
+    if setting_id:
+        values[setting_id] = _next_id(settings, setting_id)
+    row = spark.range(1).where(found).select(*_cast_like(settings, values))
     others = settings.where(~is_true((F.col(key) == name) & found))
     return kept, others.unionByName(row)
 
@@ -149,11 +175,32 @@ class Renamed(NamedTuple):
     collisions: DataFrame
 
 
-def _present(master: DataFrame, column: str, names: set[str]) -> set[str]:
-    """Which of the listed names occur; the answer is no longer than the list."""
-    listed = bounded_frame(master.sparkSession, [(n,) for n in sorted(names)], "name string")
-    hits = master.select(F.col(column).alias("name")).join(listed, "name", "left_semi").distinct()
-    return {row.name for row in hits.collect()}
+Pairs = Sequence[tuple[str, str]] | DataFrame
+
+
+def _live_pairs(master: DataFrame, column: str, pairs: Pairs) -> tuple[list[tuple[str, str]], set[str]]:
+    """The pairs that can count, in order, and which of their old names occur in the master table.
+
+    ``pairs`` is a list or a table (ord, old, new) of any length.  A pair can
+    count only if its old name occurs or is made by another pair that can, so
+    only those reach the driver: no more than the table has names to rename.
+    """
+    if not isinstance(pairs, DataFrame):
+        rows = [(n, old, new) for n, (old, new) in enumerate(pairs)]
+        pairs = listed_frame(master.sparkSession, rows, "ord long, old string, new string")
+    pairs = pairs.select("ord", "old", "new").where("old IS NOT NULL AND new IS NOT NULL AND old <> new")
+    names = master.select(F.col(column).alias("old"))
+    hits = lookup_join(names, pairs.select("old").distinct(), "old", "left_semi").distinct()
+    present = {row.old for row in hits.collect()}
+    live: set[tuple[int, str, str]] = set()
+    reached = present
+    while reached:
+        frontier = listed_frame(master.sparkSession, [(n,) for n in sorted(reached)], "old string")
+        found = pairs.join(frontier, "old", "left_semi").select("ord", "old", "new").collect()
+        fresh = {tuple(row) for row in found} - live
+        live |= fresh
+        reached = {new for _, _, new in fresh}
+    return [(old, new) for _, old, new in sorted(live)], present
 
 
 def resolve_renames(pairs: Sequence[tuple[str, str]], present: set[str]) -> dict[str, str]:
@@ -173,7 +220,7 @@ def resolve_renames(pairs: Sequence[tuple[str, str]], present: set[str]) -> dict
 def _map_values(df: DataFrame, column: str, final: Mapping[str, str]) -> DataFrame:
     if not final:
         return df
-    lookup = bounded_frame(df.sparkSession, sorted(final.items()), "__old string, __final string")
+    lookup = listed_frame(df.sparkSession, sorted(final.items()), "__old string, __final string")
     joined = df.join(lookup, F.col(column) == F.col("__old"), "left")
     return joined.withColumn(column, F.coalesce("__final", column)).select(*df.columns)
 
@@ -182,23 +229,21 @@ def rename_cascade(
     tables: Mapping[str, DataFrame],
     columns: Mapping[str, str],
     master: str,
-    pairs: Sequence[tuple[str, str]],
+    pairs: Pairs,
 ) -> Renamed:
     """Apply ordered renames in a master table and in its dependants.
 
-    ``columns`` names the column that holds the name in each table.  The pairs
-    are a short list and are resolved first, so each table is read once
-    however many pairs there are.  Names that two master rows would share
+    ``columns`` names the column that holds the name in each table.  The pairs,
+    a list or a table (ord, old, new), are resolved first, so each table is
+    read once however many pairs there are.  Names that two master rows would share
     afterwards come back as `collisions`.
     """
-    wanted = {old for old, _ in pairs}
-    names = _present(tables[master], columns[master], wanted)
-    final = resolve_renames(pairs, names)
+    final = resolve_renames(*_live_pairs(tables[master], columns[master], pairs))
     renamed = {
         name: _map_values(df, columns[name], final) if name in columns else df
         for name, df in tables.items()
     }
-    targets = bounded_frame(tables[master].sparkSession, [(n,) for n in sorted(set(final.values()))], "name string")
+    targets = listed_frame(tables[master].sparkSession, [(n,) for n in sorted(set(final.values()))], "name string")
     after = renamed[master].select(F.col(columns[master]).alias("name"))
     collisions = (
         after.join(targets, "name", "left_semi").groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -233,9 +278,9 @@ def merge_namespace(
     master: tuple[str, str],
     owned: tuple[str, str, str],
     links: tuple[str, str, Sequence[str]],
-    pairs: Sequence[tuple[str, str]],
+    pairs: Pairs,
 ) -> Merged:
-    """Move everything of an old namespace into a new one, for ordered (old, new) pairs.
+    """Move everything of an old namespace into a new one, for ordered (old, new) pairs (list or table).
 
     ``master`` is (table, name column); its row of the old name disappears.
     ``owned`` is (table, namespace column, name column): a row whose name the
@@ -251,8 +296,7 @@ def merge_namespace(
     owned_table, namespace, name = owned
     links_table, link_name, link_keys = links
     spark = tables[master_table].sparkSession
-    present = _present(tables[master_table], master_name, {old for old, _ in pairs})
-    order, gone = resolve_merges(pairs, present)
+    order, gone = resolve_merges(*_live_pairs(tables[master_table], master_name, pairs))
     ranks = [
         (member, target, rank) for target, members in order.items() for rank, member in enumerate(members)
     ]
@@ -260,7 +304,7 @@ def merge_namespace(
 
     rows = tables[owned_table]
     if ranks:
-        lookup = bounded_frame(spark, ranks, "__ns string, __target string, __rank int")
+        lookup = listed_frame(spark, ranks, "__ns string, __target string, __rank int")
         placed = rows.join(lookup, F.col(namespace) == F.col("__ns"), "left")
         affected = placed.where(F.col("__target").isNotNull())
         winners = (
@@ -275,7 +319,7 @@ def merge_namespace(
         moved, dropped = rows, rows.limit(0)
 
     relinked = _map_values(tables[links_table], link_name, final)
-    targets = bounded_frame(spark, [(t,) for t in sorted(set(final.values()))], f"{link_name} string")
+    targets = listed_frame(spark, [(t,) for t in sorted(set(final.values()))], f"{link_name} string")
     double = (
         relinked.join(targets, link_name, "left_semi")
         .groupBy(*link_keys)
@@ -284,7 +328,7 @@ def merge_namespace(
     )
     slim = tables[master_table]
     if gone:
-        removed = bounded_frame(spark, [(g,) for g in sorted(gone)], f"{master_name} string")
+        removed = listed_frame(spark, [(g,) for g in sorted(gone)], f"{master_name} string")
         slim = slim.join(removed, master_name, "left_anti").select(*slim.columns)
     result = {**tables, master_table: slim, owned_table: moved, links_table: relinked}
     return Merged(result, dropped, double)

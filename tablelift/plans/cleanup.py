@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 
 from tablelift.operators.dedup import Deleted, dedup_summary, delete_losers, losers_of, redirect_children
+from tablelift.scale import materialise
 
 
 class Deduplicated(NamedTuple):
@@ -24,7 +25,7 @@ def dedup_hierarchy(
     All rows are looked at, active or not; the summary counts the duplicates
     that remain among the active ones.
     """
-    losers = losers_of(df, key, row_id, prefer)
+    losers = materialise(losers_of(df, key, row_id, prefer), "losers")  # four steps read them
     moved = redirect_children(df, parent, losers, row_id, same_table=True)
     deleted: Deleted = delete_losers(moved.children, row_id, moved.losers, moved.children, parent, row_id)
     summary = dedup_summary(df, deleted, moved.log, key, row_id, active)

@@ -5,6 +5,8 @@ Three rules hold everywhere in the package:
 * one task never receives an unbounded group: groups are counted first, and
   those above the limit are cut into ranges or salted;
 * a side is broadcast only after its rows have been counted;
+* what is looked at several times is written once first, so a chain of joins
+  never runs its source again;
 * loops cut their lineage with a table written below ``spark.checkpoint.dir``,
   so a lost executor costs one stage and not the whole history.
 
@@ -25,7 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MIB = 1 << 20
-MAX_HOT_KEYS = 1000
 UNKNOWN_SIZE = 1 << 60  # Spark's default for relations without statistics lies above this
 
 
@@ -33,11 +34,10 @@ UNKNOWN_SIZE = 1 << 60  # Spark's default for relations without statistics lies
 class Limits:
     """What one task, one list and one broadcast may hold."""
 
-    small_input: int = 256 * MIB  # bytes read; below this one task could do it all
+    small_input: int = 256 * MIB  # bytes read; above this a side is not counted for a broadcast
     join_input: int = 2048 * MIB  # bytes read; below this no join key needs splitting
     group_rows: int = 5_000_000  # rows of one group that one task may sort or chain
     hot_rows: int = 2_000_000  # rows of one join key that one task may receive
-    list_rows: int = 1_000  # entries of one collected list
     broadcast_rows: int = 200_000  # rows of a counted broadcast side
     range_bytes: int = 128 * MIB  # input bytes per range partition
 
@@ -48,7 +48,6 @@ class Limits:
             "join_input": "spark.tablelift.joinInputBytes",
             "group_rows": "spark.tablelift.groupRows",
             "hot_rows": "spark.tablelift.hotRows",
-            "list_rows": "spark.tablelift.listRows",
             "broadcast_rows": "spark.tablelift.broadcastRows",
             "range_bytes": "spark.tablelift.rangeBytes",
         }
@@ -72,20 +71,27 @@ def input_bytes(df: DataFrame) -> int:
     return total
 
 
-def is_small(df: DataFrame) -> bool:
-    return input_bytes(df) <= Limits.of(df.sparkSession).small_input
-
-
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables, as named by the cluster."""
+    """This session's folder for intermediate tables, below the one the cluster names.
+
+    The tables in it belong to the session: what a query returns may still read
+    them, so they live until `release_scratch` or until the cluster clears the
+    folder.  Only a session in one process may get a folder of its own.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    local = tempfile.mkdtemp(prefix="tablelift-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    if not named:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tablelift-"))
+        named = spark.sparkContext.getCheckpointDir()
+    return f"{named.rstrip('/')}/tablelift-{spark.sparkContext.applicationId}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete this session's intermediate tables; DataFrames that still read them end here."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def new_table_path(spark: SparkSession, label: str) -> str:
@@ -113,6 +119,19 @@ def materialise_counted(
     return written, dict(seen.get)
 
 
+def is_stored(df: DataFrame) -> bool:
+    """Does the plan only read, filter and rename stored or driver-held rows?"""
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.children().size() == 1 and node.nodeName() in ("Project", "Filter"):
+        node = node.children().head()
+    return node.children().isEmpty()
+
+
+def once(df: DataFrame, label: str = "once") -> DataFrame:
+    """`df`, written first unless it is stored already: for inputs that several jobs look at."""
+    return df if is_stored(df) else materialise(df, label)
+
+
 def range_partitions(df: DataFrame) -> int:
     """How many range partitions keep each of them near `range_bytes`."""
     spark = df.sparkSession
@@ -122,7 +141,10 @@ def range_partitions(df: DataFrame) -> int:
 
 
 def checked_broadcast(df: DataFrame) -> DataFrame:
-    """Hint a broadcast if, and only if, a bounded count shows it is small."""
+    """Hint a broadcast if, and only if, a bounded count shows it is small.
+
+    Rows and estimated bytes must both fit; `df` should be stored, as it is counted first.
+    """
     limits = Limits.of(df.sparkSession)
     if input_bytes(df) > limits.small_input:
         return df
@@ -139,13 +161,11 @@ def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def bounded_frame(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
-    """A driver-held list as a DataFrame with a broadcast hint, refused when too long."""
+def listed_frame(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
+    """A driver-held list as a DataFrame, hinted for a broadcast while it is short."""
     rows = list(rows)
-    limit = max(Limits.of(spark).broadcast_rows, MAX_HOT_KEYS)
-    if len(rows) > limit:
-        raise ValueError(f"{len(rows)} entries exceed the {limit} a driver-held list may have")
-    return F.broadcast(local_frame(spark, rows, T.StructType.fromDDL(schema)))
+    df = local_frame(spark, rows, T.StructType.fromDDL(schema))
+    return F.broadcast(df) if len(rows) <= Limits.of(spark).broadcast_rows else df
 
 
 def largest_group(df: DataFrame, part: str | Sequence[str]) -> int:
@@ -156,15 +176,21 @@ def largest_group(df: DataFrame, part: str | Sequence[str]) -> int:
 
 
 def groups_fit(df: DataFrame, part: str | Sequence[str]) -> bool:
-    """True when every group is small enough for one task."""
-    if is_small(df):
-        return True
+    """True when every group, as counted, is small enough for one task."""
     return largest_group(df, part) <= Limits.of(df.sparkSession).group_rows
 
 
+def _comparable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _comparable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_comparable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def orderable(df: DataFrame) -> list[str]:
-    """Columns that can be hashed and compared."""
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    """Columns that can be hashed and compared: no map or variant at any depth."""
+    return [f.name for f in df.schema.fields if _comparable(f.dataType)]
 
 
 def _is_hot(keys: list[str]) -> Column:
@@ -175,29 +201,19 @@ def _is_hot(keys: list[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, on: str | Sequence[str]) -> DataFrame | None:
-    """The heaviest join keys with the number of tasks each should be spread over.
+    """Every join key above the limit, with the number of tasks it should be spread over.
 
-    At most ``MAX_HOT_KEYS`` rows come back.  A key outside that list holds less
-    than a thousandth of the rows, so leaving it whole keeps tasks even.
+    The list is a table; it is broadcast only when its rows fit one.
     """
     keys = as_list(on)
-    limit = Limits.of(df.sparkSession).hot_rows
-    heavy = (
-        df.groupBy(*keys)
-        .count()
-        .where(F.col("count") > limit)
-        .orderBy(F.col("count").desc())
-        .limit(MAX_HOT_KEYS)
-        .collect()
-    )
-    if not heavy:
+    limits = Limits.of(df.sparkSession)
+    heavy = df.groupBy(*keys).count().where(F.col("count") > limits.hot_rows)
+    fan = F.ceil(F.col("count") / limits.hot_rows).cast("long").alias("__fan")
+    renamed = heavy.select(*[F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)], fan)
+    found, seen = materialise_counted(renamed, "hot", {"keys": F.lit(True)})
+    if not seen["keys"]:
         return None
-    schema = T.StructType(
-        [T.StructField(f"__hot_{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
-        + [T.StructField("__fan", T.LongType())]
-    )
-    rows = [(*[row[k] for k in keys], -(-row["count"] // limit)) for row in heavy]
-    return F.broadcast(local_frame(df.sparkSession, rows, schema))
+    return F.broadcast(found) if seen["keys"] <= max(limits.broadcast_rows, 1) else found
 
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
@@ -206,16 +222,20 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str], how
     `how` is inner, left, left_semi or left_anti.  Small inputs, and lookups
     whose counted rows fit a broadcast, are joined as they are.  Otherwise the
     rows of each hot key (NULL included) are spread over several salts, and
-    only that key's lookup rows are repeated once per salt.  The salt is a hash
+    only that key's lookup rows are repeated once per salt.  Both sides are
+    written before they are counted, unless they are stored tables: each source
+    is run once, however many joins follow one another.  The salt is a hash
     of the row and of its input partition: copies of one row spread out too, and
     a retried task sends each row to the same place.
     """
     keys = as_list(on)
     if input_bytes(fact) <= Limits.of(fact.sparkSession).join_input:
         return fact.join(lookup, keys, how)
+    lookup = once(lookup, "lookup")
     hinted = checked_broadcast(lookup)
     if hinted is not lookup:
         return fact.join(hinted, keys, how)
+    fact = once(fact, "fact")
     hot = hot_keys(fact, keys)
     if hot is None:
         return fact.join(lookup, keys, how)

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.scale import bounded_frame
+from tablelift.scale import listed_frame
 
 SCHEMA = "version int, kind string, ord int, old string, new string"
 KINDS = ("obsolete", "merged", "renamed")
@@ -26,7 +26,7 @@ def change_lists(spark: SparkSession, lists: Mapping[int, Mapping[str, list]]) -
             for position, entry in enumerate(kinds.get(kind) or []):
                 old, new = entry if kind == "renamed" else (entry, None)
                 rows.append((int(version), kind, position, old, new))
-    return bounded_frame(spark, rows, SCHEMA)
+    return listed_frame(spark, rows, SCHEMA)
 
 
 def read_change_files(folder: str, origin: int, final: int, name: str = "known_changes.yaml") -> dict[int, dict]:

@@ -16,7 +16,6 @@ SPLIT = {
     "spark.tablelift.groupRows": "4",
     "spark.tablelift.hotRows": "3",
     "spark.tablelift.broadcastRows": "0",
-    "spark.tablelift.listRows": "3",
 }
 
 

@@ -163,6 +163,10 @@ def test_dedup_leaves_one_row_per_key(frame, rows, rows_in):
     losers = dedup.losers_of(df, "key", "id", F.col("good"))
     moved = dedup.redirect_children(df, "parent", losers, "id", same_table=True)
     done = dedup.delete_losers(moved.children, "id", moved.losers, moved.children, "parent", "id")
+    def cycles(df):
+        return {r[0] for r in rows(hierarchy.lineage_check(df, "id", "parent").where("status = 'cycle'"), "id")}
+
+    assert cycles(moved.children) <= cycles(df)
     kept = {r[0] for r in rows(done.rows, "id")}
     failed = {r[0] for r in rows(losers, "loser_id")} - {r[0] for r in rows(moved.losers, "loser_id")}
     failed |= {r[0] for r in rows(done.failures, "id")}

@@ -5,6 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from tablelift import scale
 from tablelift.functions import any_like, counter_name, json_localised, json_scalar, numeric_text, path_without_root
 from tablelift.operators import checks, dedup, documents, edit, hierarchy, joins, ordering, sequence, upsert
 from tablelift.sources import change_catalog, change_lists, invalid_changes
@@ -275,9 +276,9 @@ def test_counters_without_rows_or_owner_stay(frame, rows):
     assert rows(sequence.next_counter(orders, "company", counters, "company", "next")) == [(1, 3), (2, 9)]
 
 
-def test_lists_come_in_pieces(frame, rows, split):
+def test_lists_come_in_pieces(frame, rows, both):
     df = frame("k int, v int", *[(1, i) for i in range(8)], (2, 1), (2, 1))
-    out = sequence.collect_in_pieces(df, "k", "v", "vs")
+    out = sequence.collect_in_pieces(df, "k", "v", "vs", entries=3)
     assert rows(out, "k", "piece", "vs", "n") == [
         (1, 0, [0, 1, 2], 3), (1, 1, [3, 4, 5], 3), (1, 2, [6, 7], 2), (2, 0, [1], 1),
     ]
@@ -315,6 +316,32 @@ def test_dedup_of_a_hierarchy(frame, rows, both):
     assert rows(summary) == [(2, 0, 4, 1)]
 
 
+@pytest.mark.parametrize("depth", [1, 2, 5])
+def test_a_survivor_below_its_loser_keeps_the_loser(frame, rows, both, depth):
+    # loser 1 -> 2 -> ... -> survivor 1 + depth, whose key the loser shares
+    tree = [(1, "k", None, None)] + [(n, f"c{n}", None, n - 1) for n in range(2, depth + 1)] + [(depth + 1, "k", 9, depth)]
+    views = frame("id int, key string, ref int, parent int", *tree, (50, "x", None, 1))
+    losers = dedup.losers_of(views, "key", "id", F.col("ref").isNotNull())
+    moved = dedup.redirect_children(views, "parent", losers, "id", same_table=True)
+    assert rows(moved.losers) == []
+    assert rows(moved.children, "id", "parent") == rows(views, "id", "parent")
+    assert set(rows(moved.log, "done")) == {(False,)}
+
+
+def test_redirects_that_close_a_loop_together_fail_together(frame, rows, both):
+    # 1 -> 2 -> 13 and 11 -> 12 -> 3: each survivor (3, 13) lies below the other's loser
+    views = frame("id int, key string, ref int, parent int",
+                  (1, "a", None, None), (2, "b", None, 1), (13, "z", 9, 2), (11, "z", None, None), (12, "y", None, 11), (3, "a", 9, 12),
+                  (21, "m", None, None), (22, "m", 9, None), (23, "n", None, 21))
+    losers = dedup.losers_of(views, "key", "id", F.col("ref").isNotNull())
+    assert rows(losers) == [(1, 3), (11, 13), (21, 22)]
+    moved = dedup.redirect_children(views, "parent", losers, "id", same_table=True)
+    assert rows(moved.losers) == [(21, 22)]
+    fate = hierarchy.lineage_check(moved.children, "id", "parent")
+    assert fate.where("status <> 'ok'").count() == 0
+    assert rows(moved.children.where("id = 23"), "parent") == [(22,)]
+
+
 def test_losers_with_children_stay(frame, rows, both):
     # 4 hangs below loser 2 and is no loser; 5 and 6 are losers below losers
     tree = frame("id int, parent int", (1, None), (2, 1), (3, None), (4, 2), (5, 3), (6, 5), (7, 8), (8, None))
@@ -348,7 +375,10 @@ EXPRESSIONS = {
     ".//form": False, "//field[@name='c']": False, "//group/field[1]": True, "//sheet/field[2]": False, "//field[last()]": True,
     "//field[@name='b'][@k='1']": True, "//field[@name='b' and @k='1']": True, "//field[@name='a' and @k='1']": False,
     "sheet/field[contains(@name, 'a')]": True, "field[contains(@name, 'a')]": False, "//*[@k]": True, "//x | //group": True,
-    "count(//field) > 1": True, "//field[": None, "nosuch(//field)": None, ".": True, "//group/..": True,
+    "count(//field) > 1": None, "//field[": None, "nosuch(//field)": None, ".": True, "//group/..": True,
+    "//field[not(@k)]": True, "//field[@name!='a' and @name!='b']": False, "//field[@name='z' or starts-with(@name, 'b')]": True,
+    "//sheet[@name='a|b'] | //field[1]": True, "/form//field[@k=\"1\"]": True, "..": True, "//group[text()='x']": False,
+    "//sheet/*[last()]/field": True, "//field[2][@k]": False, "following-sibling::x": None, "//": None, "": None,
 }
 
 
@@ -359,11 +389,20 @@ def test_expression_targets(frame, rows, both):
     child = "<data>" + "".join(f'<xpath expr="{escape(e)}"/>' for e in EXPRESSIONS) + "<xpath/></data>"
     views = frame("id int, parent int, doc string", (1, None, PARENT), (2, 1, child), (3, 1, "<broken"), (4, 9, child),
                   (5, 6, child), (6, None, "<broken"), (7, 8, child), (8, None, ""))
-    out = documents.expr_targets_missing(views, "id", "parent", "doc")
+    out = documents.expr_targets_missing(views, "id", "parent", "doc", entries=4)
     found = {r.expr: r.error for r in out.collect()}
     assert rows(out.select("view_id").distinct()) == [(2,)]
-    assert set(found) == {e for e, hit in EXPRESSIONS.items() if not hit}
-    assert {e for e, error in found.items() if error} == {e for e, hit in EXPRESSIONS.items() if hit is None}
+    wanted = {e: hit for e, hit in EXPRESSIONS.items() if e}
+    assert set(found) == {e for e, hit in wanted.items() if not hit}
+    assert {e for e, error in found.items() if error} == {e for e, hit in wanted.items() if hit is None}
+
+
+def test_targets_in_what_a_parent_inherits_are_not_errors(frame, rows, both):
+    doc = "<d><xpath expr=\"//field[@name='a']\"/></d>"
+    views = frame("id int, parent int, doc string", (1, None, "<f><field name='a'/></f>"), (2, 1, "<d/>"), (3, 2, doc), (4, 3, doc), (5, 1, doc),
+                  (6, None, "<!DOCTYPE a SYSTEM 'nope.dtd'><a/>"), (7, 6, doc), (8, None, "<!doctype a><a/>"), (9, 8, doc))
+    out = documents.expr_targets_missing(views, "id", "parent", "doc")
+    assert rows(out, "view_id", "error") == [(3, "not checkable here: the parent inherits"), (4, "not checkable here: the parent inherits")]
 
 
 def test_lineage_of_deep_chains_and_cycles(frame, rows, both):
@@ -380,6 +419,64 @@ def test_lineage_of_deep_chains_and_cycles(frame, rows, both):
     assert {i: status[i][0] for i in wanted} == wanted
 
 
+def test_lineage_has_one_row_per_id(frame, rows, both):
+    tree = frame("id int, parent int", (1, None), (2, 1), (2, 7), (3, 2), (4, 4), (4, None))
+    out = hierarchy.lineage_check(tree, "id", "parent")
+    assert rows(out) == [(1, None, "ok", 0), (2, 1, "ok", 1), (3, 2, "ok", 2), (4, None, "ok", 0)]
+    assert rows(hierarchy.doubled_ids(tree, "id")) == [(2, 2), (4, 2)]
+
+
+def test_updates_keep_column_types(frame, rows, both):
+    df = frame("id int, small smallint, note string", (1, 1, "a"), (2, 2, "b"))
+    for out in (
+        edit.update_where(df, F.col("id") == 1, {"small": 5}),
+        joins.update_from(df, frame("id int, v string", (1, "5")), {"id": "id"}, {"small": "v"}),
+        joins.update_from_chain(
+            df, [joins.Link("one", frame("id int, to int", (1, 9)), "id", "id"), joins.Link("two", frame("key int, v long", (9, 5), (9, 5)), "one.to", "key")],
+            {"small": "two.v"}, tie="two.v",
+        ),
+    ):
+        assert out.schema == df.schema
+        assert rows(out, "small") == [(5,), (2,)]
+
+
+def test_renames_from_a_table_of_pairs(spark, frame, rows):
+    pairs = frame("ord long, old string, new string", (0, "a", "b"), (1, "b", "c"), (2, "x", "y"), (3, None, "q"), *[(n, f"u{n}", f"v{n}") for n in range(4, 40)])
+    tables = {"t": frame("name string", ("a",), ("d",), ("v7",))}
+    spark.conf.set("spark.tablelift.broadcastRows", "2")
+    try:
+        out = upsert.rename_cascade(tables, {"t": "name"}, "t", pairs)
+        assert rows(out.tables["t"]) == [("c",), ("d",), ("v7",)]
+    finally:
+        spark.conf.unset("spark.tablelift.broadcastRows")
+
+
+def test_salted_joins_take_maps_inside_structs(spark, frame, rows, split):
+    df = spark.sql("SELECT id % 2 AS k, named_struct('m', map('a', id)) AS s, array(map('b', id)) AS x, id AS v FROM range(40)")
+    out = scale.lookup_join(df, frame("k long, name string", (0, "even"), (1, "odd")), "k")
+    assert out.groupBy("name").count().orderBy("name").collect() == [("even", 20), ("odd", 20)]
+
+
+def test_a_chain_of_large_joins_runs_its_source_once(spark, frame, split):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    out = spark.range(200).withColumn("k", F.col("id") % 3).mapInArrow(count, "id long, k long")
+    for n in range(4):
+        out = scale.lookup_join(out, spark.range(3).select(F.col("id").alias("k"), F.lit(n).alias(f"c{n}")), "k")
+    assert out.count() == 200
+    assert seen.value == 200
+
+
+def test_every_hot_key_is_spread(spark, frame, split):
+    df = spark.range(9000).select((F.col("id") % 1500).alias("k"), "id")
+    assert scale.hot_keys(df, "k").count() == 1500
+
+
 def test_implied_memberships_close_and_settle(frame, rows, both):
     grants = frame("u int, g string", (1, "a"), (2, "b"), (2, "c"), (3, "z"), (4, "x"))
     edges = frame("g string, implied string", ("a", "b"), ("b", "c"), ("c", "d"), ("x", "y"), ("y", "x"), ("q", None), ("a", "a"))
