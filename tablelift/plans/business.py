@@ -18,9 +18,10 @@ from tablelift.operators import edit, joins, upsert
 from tablelift.operators.checks import assertions
 from tablelift.operators.dedup import duplicate_keys
 from tablelift.plans.cleanup import Deduplicated, dedup_hierarchy
-from tablelift.plans.path import Stage, Step, Tables
+from tablelift.plans.path import Stage, Step, Tables, counted, with_report
 from tablelift.plans.preflight import missing_by_class, view_census
 from tablelift.plans.renumber import renumber_and_chain
+from tablelift.plans.validation import validate_views
 from tablelift.sources import change_catalog, change_lists, has_column
 
 # fixed values: what became of modules, per version that made the change
@@ -129,6 +130,13 @@ PAYMENT_COLUMNS = [
     "group_lines",
 ]
 CHAINED_STATES = ["paid", "done", "invoiced"]
+# fixed values: data entries that lost their model, and a module that is gone
+UNTYPED_DATA = ("website_sale", ["recommended_products", "product_comment"])
+REMOVED_MODULE = "account_usability"
+# fixed values: a new counter of a picking type
+COUNTER_NAME = " Picking POS"
+COUNTER_CODE = "POS"
+COUNTER_DEFAULTS = {"padding": 5, "implementation": "standard", "number_increment": 1, "number_next": 1, "active": True}
 
 
 def on(table: str, step: Callable[[DataFrame], DataFrame], *columns: str) -> Step:
@@ -196,7 +204,8 @@ def duplicate_views(tables: Tables) -> DataFrame:
 
 
 def _to_13() -> list[Step]:
-    lost = (F.col("module") == "website_sale") & F.col("name").isin("recommended_products", "product_comment")
+    module, names = UNTYPED_DATA
+    lost = (F.col("module") == module) & F.col("name").isin(names)
     return [
         on("account_account_type", lambda df: edit.add_column(df, "analytic_policy", "string")),
         on("ir_model_data", lambda df: edit.update_where(df, lost, {"model": "ir.ui.view"})),
@@ -204,13 +213,20 @@ def _to_13() -> list[Step]:
 
 
 def _to_15() -> list[Step]:
-    entry = (F.col("module") == "base") & (F.col("name") == "module_account_usability")
+    entry = (F.col("module") == "base") & (F.col("name") == f"module_{REMOVED_MODULE}")
     return [
-        on("ir_module_module", lambda df: edit.delete_where(df, F.col("name") == "account_usability")),
+        on("ir_module_module", lambda df: edit.delete_where(df, F.col("name") == REMOVED_MODULE)),
         on("ir_model_data", lambda df: edit.delete_where(df, entry)),
     ]
 
 
+def _setting_row(settings: DataFrame) -> tuple[dict[str, Column], str | None]:
+    """What a new row of the settings holds besides key and value, and its id column."""
+    now = F.current_timestamp()
+    dates = {name: now for name in ("create_date", "write_date") if name in settings.columns}
+    return dates, "id" if "id" in settings.columns else None
+
+
 def _ensure_plan(tables: Tables) -> Tables:
     now = F.current_timestamp()
     named = F.col("name") == "Projects"
@@ -223,7 +239,8 @@ def _ensure_plan(tables: Tables) -> Tables:
     }
     plans = upsert.ensure_row(tables["account_analytic_plan"], named, default, "id")
     chosen = upsert.matching_id(plans, named, "id")
-    settings = upsert.set_setting(tables["ir_config_parameter"], "key", PLAN_SETTING, chosen, "value")
+    settings = tables["ir_config_parameter"]
+    settings = upsert.set_setting(settings, "key", PLAN_SETTING, chosen, "value", *_setting_row(settings))
     return {**tables, "account_analytic_plan": plans, "ir_config_parameter": settings}
 
 
@@ -245,6 +262,7 @@ def _retire_plan(tables: Tables) -> Tables:
         "key",
         PLAN_SETTING,
         "value",
+        *_setting_row(tables["ir_config_parameter"]),
     )
     return {**tables, "account_analytic_plan": plans, "ir_config_parameter": settings}
 
@@ -280,15 +298,19 @@ def _rename_payment_modules(tables: Tables) -> Tables:
     if installed.isEmpty():
         return tables
     columns = {"ir_module_module": "name", "ir_model_data": "module", "ir_module_module_dependency": "name"}
-    renamed = upsert.rename_cascade(tables, columns, "ir_module_module", RENAMED_MODULES).tables
+    cascade = upsert.rename_cascade(tables, columns, "ir_module_module", RENAMED_MODULES)
+    renamed = cascade.tables
     dependencies = renamed["ir_module_module_dependency"]
-    merged = upsert.merge_namespace(
+    merger = upsert.merge_namespace(
         renamed,
         ("ir_module_module", "name"),
         ("ir_model_data", "module", "name"),
         ("ir_module_module_dependency", "name", dependencies.columns),
         MERGED_MODULES,
-    ).tables
+    )
+    merged = with_report(merger.tables, "modules.rename_collisions", cascade.collisions)
+    merged = with_report(merged, "modules.dropped_data", merger.dropped)
+    merged = with_report(merged, "modules.duplicate_links", merger.duplicate_links)
     search = (F.col("module") == "account_payment_base_oca") & (F.col("name") == "view_account_invoice_report_search")
     unlocked = edit.update_where(merged["ir_model_data"], search, {"noupdate": False})
     return {**merged, "ir_model_data": unlocked}
@@ -421,16 +443,12 @@ def _make_counters(tables: Tables) -> Tables:
         tables["ir_sequence"],
         "id",
         {
-            "name": build_label(F.col("warehouse_name"), " Picking POS"),
+            "name": build_label(F.col("warehouse_name"), COUNTER_NAME),
             "prefix": build_label(
-                F.col("warehouse_code"), "/", F.coalesce(F.col("sequence_code"), F.lit("POS")), "/"
+                F.col("warehouse_code"), "/", F.coalesce(F.col("sequence_code"), F.lit(COUNTER_CODE)), "/"
             ),
-            "padding": 5,
             "company_id": F.col("warehouse_company_id"),
-            "implementation": "standard",
-            "number_increment": 1,
-            "number_next": 1,
-            "active": True,
+            **COUNTER_DEFAULTS,
         },
         context=houses,
         order=["warehouse_id"],
@@ -461,12 +479,25 @@ def _after_18() -> list[Step]:
     return [
         needs(_migrate_payment_modes, mode, line),
         needs(_migrate_payment_orders, mode, line, "account_payment_order", "account_payment_method"),
-        on("stock_picking", lambda df: edit.placeholder_rename(df, "name", "/", "MIGRATED-", "id")),
+        counted(
+            "pickings.renamed",
+            "stock_picking",
+            on("stock_picking", lambda df: edit.placeholder_rename(df, "name", "/", "MIGRATED-", "id")),
+            renamed=F.col("name").startswith("MIGRATED-"),
+            remaining=F.col("name") == "/",
+        ),
         needs(_make_counters, "stock_picking", "stock_picking_type", "stock_warehouse", "ir_sequence"),
+        needs(_check_pickings, "stock_picking", "stock_picking_type", "stock_warehouse"),
         _signal,
     ]
 
 
+def _check_pickings(tables: Tables) -> Tables:
+    if not has_column(tables["stock_warehouse"], "pos_type_id"):
+        return tables
+    return with_report(tables, "pickings.checks", picking_checks(tables))
+
+
 def stages(legacy_barcode: str = "legacy_18_0_barcode") -> dict[int, Stage]:
     """All stages; `legacy_barcode` is the name under which the upgrade expects the old column."""
     return {
@@ -543,22 +574,50 @@ def rebuild_order_chain(tables: Tables, payload: Column) -> Tables:
         previous="previous_order_id",
         hash_column="l10n_fr_hash",
     )
-    return {**tables, "pos_order": done.rows, "ir_sequence": done.counters}
+    result = {**tables, "pos_order": done.rows, "ir_sequence": done.counters}
+    result = with_report(result, "orders.chain", done.counts)
+    return with_report(result, "orders.chain_issues", done.issues)
 
 
-def finish(payload: Column, manifest: DataFrame | None = None) -> list[Step]:
-    """The steps after the last version, in order."""
+def finish(
+    payload: Column,
+    manifest: DataFrame | None = None,
+    relations: DataFrame | None = None,
+    fields: DataFrame | None = None,
+) -> list[Step]:
+    """The steps after the last version, in order; each reports what it did and what it could not do.
+
+    `relations` (relname) turns on the check for counters without a database
+    object, `fields` (model, name) the validation of the views, which only warns.
+    """
 
     def views(tables: Tables) -> Tables:
-        return {**tables, "ir_ui_view": dedup_views(tables).rows}
+        done = dedup_views(tables)
+        result = with_report({**tables, "ir_ui_view": done.rows}, "views.redirects", done.log)
+        return with_report(with_report(result, "views.failures", done.failures), "views.summary", done.summary)
 
     def modules(tables: Tables) -> Tables:
-        return {**tables, "ir_module_module": cleanup_modules(tables, manifest).kept}
+        done = cleanup_modules(tables, manifest)
+        result = with_report({**tables, "ir_module_module": done.kept}, "modules.absent", done.absent)
+        return with_report(result, "modules.dependents", done.dependents)
+
+    def counters(tables: Tables) -> Tables:
+        return with_report(tables, "counters.missing", missing_counter_objects(tables, relations))
+
+    def validation(tables: Tables) -> Tables:
+        done = validate_views(tables["ir_ui_view"], fields)
+        result = with_report(with_report(tables, "views.issues", done.issues), "views.stats", done.stats)
+        return with_report(result, "views.verdict", done.verdict)
 
     steps = [*purge_and_reset(), needs(views, "ir_ui_view")]
     if manifest is not None:
         steps.append(needs(modules, "ir_module_module", "ir_module_module_dependency"))
-    return [*steps, needs(lambda t: rebuild_order_chain(t, payload), "pos_order", "res_company", "ir_sequence")]
+    steps.append(needs(lambda t: rebuild_order_chain(t, payload), "pos_order", "res_company", "ir_sequence"))
+    if relations is not None:
+        steps.append(needs(counters, "ir_sequence"))
+    if fields is not None:
+        steps.append(needs(validation, "ir_ui_view"))
+    return steps
 
 
 def known_changes(spark: SparkSession, origin: int, final: int) -> DataFrame:

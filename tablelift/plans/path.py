@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tablelift.sources.snapshots import SnapshotStore
 
@@ -36,6 +37,36 @@ def version_path(origin: int, final: int, resume_from: int | str | None = None)
     return list(range(checkpoint + 1, final + 1))
 
 
+REPORT = "report."
+
+
+def with_report(tables: Tables, name: str, df: DataFrame) -> Tables:
+    """The tables and one more report; it is written with the next snapshot and travels on with it."""
+    return {**tables, f"{REPORT}{name}": df}
+
+
+def reports(tables: Mapping[str, DataFrame]) -> Tables:
+    """What the run has reported so far, by name."""
+    return {name.removeprefix(REPORT): df for name, df in tables.items() if name.startswith(REPORT)}
+
+
+def counted(name: str, table: str, step: Step, **predicates: Column) -> Step:
+    """A step that reports what it did to a table: rows before and after, and rows after per predicate."""
+
+    def run(tables: Tables) -> Tables:
+        if table not in tables:
+            return step(tables)
+        done = step(tables)
+        before = tables[table].agg(F.count(F.lit(1)).alias("rows_before"))
+        after = done[table].agg(
+            F.count(F.lit(1)).alias("rows_after"), *[F.count_if(p).alias(n) for n, p in predicates.items()]
+        )
+        facts = after.select(F.lit(table).alias("table"), before.scalar().alias("rows_before"), "*")
+        return with_report(done, name, facts)
+
+    return run
+
+
 def _apply(tables: Tables, steps: Sequence[Step]) -> Tables:
     for step in steps:
         tables = step(dict(tables))
@@ -60,7 +91,9 @@ def run_path(
     Per version: the stage's `before`, the site's own `extras` before, the
     `upgrade` callable, `after`, and the extras' `after`.  Each version is
     written before the next one starts, which ends its lineage and makes it a
-    restart point.  ``prepare`` runs on a fresh start only; ``finish`` runs on
+    restart point.  All snapshots after the starting point are withdrawn first,
+    so that no version left over from an earlier run can be mistaken for this
+    run's; files are never overwritten, so the source may come from this store.  ``prepare`` runs on a fresh start only; ``finish`` runs on
     the final version and is written with it.
     """
     versions = version_path(origin, final, resume_from)
@@ -68,15 +101,13 @@ def run_path(
     if resume_from is None:
         if source is None:
             raise ValueError("a fresh run needs source tables")
-        for version in [origin, *versions]:
-            store.invalidate(version)
+        withdraw(store, origin)
         tables = store.write(origin, _apply(dict(source), prepare))
-        written = dict.fromkeys(tables, origin)
+        folders = store.folders(origin)
     else:
         tables = store.read(int(resume_from))
-        written = store.manifest(int(resume_from))
-        for version in versions:
-            store.invalidate(version)
+        folders = store.folders(int(resume_from))
+        withdraw(store, int(resume_from) + 1)
 
     for version in versions:
         stage, extra = stages.get(version, Stage()), extras.get(version, Stage())
@@ -86,7 +117,14 @@ def run_path(
         result = _apply(result, [*stage.after, *extra.after])
         if version == final:
             result = _apply(result, finish)
-        unchanged = {name: written[name] for name, df in result.items() if df is tables.get(name)}
+        unchanged = {name: folders[name] for name, df in result.items() if df is tables.get(name)}
         tables = store.write(version, result, unchanged)
-        written = {name: unchanged.get(name, version) for name in tables}
+        folders = store.folders(version)
     return tables
+
+
+def withdraw(store: SnapshotStore, first: int) -> None:
+    """Withdraw every snapshot from `first` on, also those beyond the end of this run: they belong to another."""
+    for version in store.versions():
+        if version >= first:
+            store.invalidate(version)

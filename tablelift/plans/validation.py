@@ -12,6 +12,7 @@ from tablelift.operators.checks import issue_report, issues_from, verdict
 from tablelift.operators.documents import (
     expr_targets_missing,
     field_refs_missing,
+    has_doctype,
     missing_paths,
     xml_error,
     xml_wellformed,
@@ -29,6 +30,14 @@ class Validation(NamedTuple):
 # fixed values: the kinds of views whose field references are checked
 FIELD_VIEW_KINDS = ("form", "tree", "search", "kanban", "pivot", "graph")
 TEMPLATE_KIND = "qweb"
+# fixed values: the counters of the report and the issues they count
+COUNTED = {
+    "broken_xpath": "orphan_xpath",
+    "broken_combine": "combination_error",
+    "broken_qweb": "qweb_error",
+    "broken_fields": "missing_field",
+    "missing_assets": "missing_asset",
+}
 
 
 def validate_views(
@@ -47,7 +56,8 @@ def validate_views(
 ) -> Validation:
     """Check inheritance, expression targets, templates, field references and files.
 
-    Reads only; missing fields and files are warnings, the rest are errors.
+    Reads only; missing fields and files, expressions that cannot be checked
+    here and documents that declare a type are warnings, the rest are errors.
     """
     active = F.col("active") if active is None else active
     shown = views.where(active)
@@ -63,8 +73,13 @@ def validate_views(
 
     targets = expr_targets_missing(views, row_id, parent, document, where=inherited)
     orphans = issues_from(
-        targets, "orphan_xpath", "error", "view_id", {"parent": "parent_id", "xpath": "expr", "xpath_error": "error"}
+        targets.where("error IS NULL"), "orphan_xpath", "error", "view_id", {"parent": "parent_id", "xpath": "expr"}
     )
+    unchecked = issues_from(
+        targets.where("error IS NOT NULL"), "unchecked_xpath", "warning", "view_id",
+        {"parent": "parent_id", "xpath": "expr", "reason": "error"},
+    )
+    declared = issues_from(shown.where(has_doctype(F.col(document))), "document_type", "warning", row_id)
 
     templates = xml_wellformed(shown.where(F.col(kind) == TEMPLATE_KIND), document, "error")
     qweb = issues_from(
@@ -77,7 +92,7 @@ def validate_views(
         refs, "missing_field", "warning", "view_id", {"model": "model", "field": "name", "tag": "tag"}
     )
 
-    parts = [combination, orphans, qweb, missing_fields]
+    parts = [combination, orphans, unchecked, declared, qweb, missing_fields]
     if assets is not None and files is not None:
         lost = missing_paths(assets, "path", files, "path", "normal")
         parts.append(issues_from(lost, "missing_asset", "warning", "id", {"path": "path", "bundle": "bundle"}))
@@ -88,13 +103,6 @@ def validate_views(
         F.count_if(inherited).alias("inherited_views"),
         F.count_if(is_true(active) & (F.col(kind) == TEMPLATE_KIND)).alias("qweb_views"),
     )
-    names = {
-        "broken_xpath": "orphan_xpath",
-        "broken_combine": "combination_error",
-        "broken_qweb": "qweb_error",
-        "broken_fields": "missing_field",
-        "missing_assets": "missing_asset",
-    }
-    counted = issues.agg(*[F.count_if(F.col("type") == t).alias(n) for n, t in names.items()])
-    stats = totals.withColumns({n: counted.select(n).scalar() for n in names})
+    counted = issues.agg(*[F.count_if(F.col("type") == t).alias(n) for n, t in COUNTED.items()])
+    stats = totals.withColumns({n: counted.select(n).scalar() for n in COUNTED})
     return Validation(issues, stats, verdict(issues))

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablelift.scale import Limits
 
-
-def report_document(issues: DataFrame, stats: DataFrame, kind: str, database: str) -> DataFrame:
+def report_document(
+    issues: DataFrame, stats: DataFrame, kind: str, database: str, at: Column | None = None
+) -> DataFrame:
     """The report as rows of JSON text, ready for `write.text`.
 
     The first row is the header: type, timestamp, database, the one-row `stats`
     and the number of errors and warnings.  Each issue follows as a row of its
-    own, since a report may hold more issues than one value can carry.
+    own, since a report may hold more issues than one value can carry.  `at`
+    is the time to state, by default now.
     """
     counts = issues.agg(
         F.count_if(F.col("severity") == "error").alias("errors"),
@@ -24,7 +25,7 @@ def report_document(issues: DataFrame, stats: DataFrame, kind: str, database: st
         F.to_json(
             F.struct(
                 F.lit(kind).alias("type"),
-                F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+                _stated(at).alias("timestamp"),
                 F.lit(database).alias("database"),
                 F.struct(*[F.col(c) for c in stats.columns]).alias("stats"),
                 counts.select("errors").scalar().alias("errors"),
@@ -36,14 +37,18 @@ def report_document(issues: DataFrame, stats: DataFrame, kind: str, database: st
     return header.unionByName(body)
 
 
+def _stated(at: Column | None) -> Column:
+    return F.date_format(F.current_timestamp() if at is None else at, "yyyy-MM-dd'T'HH:mm:ss")
+
+
 def write_report(
-    issues: DataFrame, stats: DataFrame, path: str, kind: str, database: str, enabled: bool = True
+    issues: DataFrame, stats: DataFrame, path: str, kind: str, database: str, enabled: bool = True, at: Column | None = None
 ) -> dict | None:
     """Write `<path>/issues` and `<path>/summary` as JSON when enabled.
 
-    Issues are written in parallel whatever their number.  The summary is one
-    JSON object; it carries the errors and warnings themselves too when there
-    are few enough for one list, as a reader of a small report expects.
+    Both have one shape whatever the number of issues: the issues are JSON
+    lines, written in parallel, and the summary is one object with the stats
+    and the numbers of errors and warnings.
     """
     if not enabled:
         return None
@@ -57,16 +62,11 @@ def write_report(
     found = totals.first()
     summary = stats.select(
         F.lit(kind).alias("type"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+        _stated(at).alias("timestamp"),
         F.lit(database).alias("database"),
         F.struct(*[F.col(c) for c in stats.columns]).alias("stats"),
         F.lit(found.n_errors).alias("n_errors"),
         F.lit(found.n_warnings).alias("n_warnings"),
     )
-    if found.n_errors + found.n_warnings <= Limits.of(spark).list_rows:
-        for name, severity in (("errors", "error"), ("warnings", "warning")):
-            chosen = written.where(F.col("severity") == severity)
-            listed = chosen.agg(F.collect_list(F.struct("*")).alias(name))
-            summary = summary.withColumn(name, listed.scalar())
     summary.coalesce(1).write.mode("overwrite").json(f"{path}/summary")
     return {"errors": found.n_errors, "warnings": found.n_warnings, "passed": found.n_errors == 0}

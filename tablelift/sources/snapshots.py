@@ -1,7 +1,8 @@
-"""Tables on disk: one folder per version, one Parquet table per name in it."""
+"""Tables on disk: Parquet tables in folders that are written once, and a marker per version."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from tablelift.scale import local_frame
 
 COMPLETE = "complete"
-MARKER_SCHEMA = "name string, version int"
+MARKER_SCHEMA = "name string, folder string"
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -48,35 +49,55 @@ def run_sql(spark: SparkSession, text: str) -> DataFrame | None:
 
 
 class SnapshotStore:
-    """A chain of snapshots, ``<root>/<version>/<table>``, each finished by a marker.
-
-    The marker lists the tables with the version that wrote them: a table no
-    step has touched is not copied, the new snapshot points at the old files.
-    A version counts as present only once its marker is written, so a run that
-    dies half-way cannot be resumed from a partial folder.
+    """A chain of snapshots below one folder, each finished by a marker.
+
+    Every attempt writes to a folder of its own, ``<root>/data/<version>-<attempt>/<table>``, and
+    nothing in it is ever overwritten; the marker ``<root>/<version>/complete`` lists the tables
+    with the folder that holds them.  So a table no step has touched is not
+    copied, a run may read the snapshot it is about to replace, and a version
+    never mixes files of two runs.  A version counts as present only once its
+    marker is written: a run that dies half-way cannot be resumed from it.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _path(self, version: int, name: str) -> str:
-        return f"{self.root}/{version}/{name}"
+    def _marker(self, version: int) -> str:
+        return f"{self.root}/{version}/{COMPLETE}"
 
-    def _mark(self, version: int, written: Mapping[str, int]) -> None:
+    def _mark(self, version: int, written: Mapping[str, str]) -> None:
         marker = local_frame(self.spark, sorted(written.items()), T.StructType.fromDDL(MARKER_SCHEMA))
-        marker.coalesce(1).write.mode("overwrite").parquet(self._path(version, COMPLETE))
+        marker.coalesce(1).write.mode("overwrite").parquet(self._marker(version))
 
-    def manifest(self, version: int) -> dict[str, int]:
-        """Which version wrote each table; empty if the snapshot is absent or incomplete."""
+    def folders(self, version: int) -> dict[str, str]:
+        """Where each table of a version lies, below the root; empty if there is no complete snapshot.
+
+        Only a missing marker means that; one that cannot be read is an error.
+        """
         try:
-            rows = self.spark.read.schema(MARKER_SCHEMA).parquet(self._path(version, COMPLETE)).collect()
-        except AnalysisException:
-            return {}
-        return {row.name: row.version for row in rows}
+            rows = self.spark.read.schema(MARKER_SCHEMA).parquet(self._marker(version)).collect()
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return {}
+            raise
+        return {row.name: row.folder for row in rows}
+
+    def manifest(self, version: int) -> dict[str, int]:
+        """Which version wrote each table."""
+        return {name: int(folder.split("/")[1].split("-")[0]) for name, folder in self.folders(version).items()}
 
     def exists(self, version: int) -> bool:
-        return bool(self.manifest(version))
+        return bool(self.folders(version))
+
+    def versions(self) -> list[int]:
+        """All versions that have a marker, complete or withdrawn."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(path):
+            return []
+        names = [entry.getPath().getName() for entry in files.listStatus(path)]
+        return sorted(int(name) for name in names if name.isdigit())
 
     def invalidate(self, version: int) -> None:
         """Forget a snapshot, so that nobody resumes from an earlier run's leftovers."""
@@ -84,22 +105,27 @@ class SnapshotStore:
             self._mark(version, {})
 
     def write(
-        self, version: int, tables: Mapping[str, DataFrame], unchanged: Mapping[str, int] | None = None
+        self, version: int, tables: Mapping[str, DataFrame], unchanged: Mapping[str, str] | None = None
     ) -> dict[str, DataFrame]:
-        """Write the changed tables, then the marker; returns all tables as read back."""
-        unchanged = unchanged or {}
-        result = {}
+        """Write the changed tables to a new folder, then the marker; returns all tables as read back.
+
+        ``unchanged`` names the folders of tables that are taken over.
+        """
+        unchanged = dict(unchanged or {})
+        attempt = f"data/{version}-{uuid.uuid4().hex[:12]}"
+        result, folders = {}, {}
         for name, df in tables.items():
             if name in unchanged:
-                result[name] = df
+                result[name], folders[name] = df, unchanged[name]
                 continue
-            df.write.mode("overwrite").parquet(self._path(version, name))
-            result[name] = self.spark.read.schema(df.schema).parquet(self._path(version, name))
-        self._mark(version, {name: unchanged.get(name, version) for name in tables})
+            folders[name] = f"{attempt}/{name}"
+            df.write.mode("errorifexists").parquet(f"{self.root}/{folders[name]}")
+            result[name] = self.spark.read.schema(df.schema).parquet(f"{self.root}/{folders[name]}")
+        self._mark(version, folders)
         return result
 
     def read(self, version: int) -> dict[str, DataFrame]:
-        written = self.manifest(version)
-        if not written:
+        folders = self.folders(version)
+        if not folders:
             raise FileNotFoundError(f"no complete snapshot of version {version} below {self.root}")
-        return {name: self.spark.read.parquet(self._path(v, name)) for name, v in written.items()}
+        return {name: self.spark.read.parquet(f"{self.root}/{folder}") for name, folder in folders.items()}
