@@ -53,13 +53,13 @@ def duplicate_members(spark, sf):
     "duplicate_lists",
     """WITH keys AS (SELECT p_name FROM part GROUP BY p_name HAVING count(*) > 1),
        numbered AS (SELECT p_name, p_partkey,
-                           (row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) - 1) // 1000 AS piece
+                           (row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) - 1) // 5 AS piece
                     FROM part WHERE p_name IN (SELECT p_name FROM keys))
        SELECT p_name, piece, count(*) AS n, string_agg(p_partkey, ',' ORDER BY p_partkey) AS ids
        FROM numbered GROUP BY p_name, piece""",
 )
 def duplicate_lists(spark, sf):
-    lists = dedup.duplicate_lists(table(spark, sf, "part"), "p_name", "p_partkey")
+    lists = dedup.duplicate_lists(table(spark, sf, "part"), "p_name", "p_partkey", entries=5)
     return lists.withColumn("ids", F.array_join(F.col("ids").cast("array<string>"), ","))
 
 
@@ -91,12 +91,19 @@ def redirect_log(spark, sf):
     return dedup.redirect_children(lines, "l_partkey", part_losers(spark, sf), "l_orderkey").log
 
 
-def _deleted(spark, sf):
-    """Order lines still hang below some losers: only those of status F were redirected."""
-    remaining = table(spark, sf, "lineitem").where("l_returnflag = 'N' AND l_quantity > 48")
-    return dedup.delete_losers(
-        table(spark, sf, "part").select("p_partkey", "p_name"), "p_partkey", part_losers(spark, sf), remaining, "l_partkey"
-    )
+HELD = "l_returnflag = 'N' AND l_quantity > 48"
+
+
+def _one_run(spark, sf):
+    """Redirect, then delete: lines that are held keep hanging below their losers, which therefore stay."""
+    lines = table(spark, sf, "lineitem")
+    losers = part_losers(spark, sf)
+    free = lines.where(f"NOT ({HELD})").select("l_orderkey", "l_partkey")
+    moved = dedup.redirect_children(free, "l_partkey", losers, "l_orderkey")
+    held = lines.where(HELD).select("l_orderkey", "l_partkey")
+    part = table(spark, sf, "part").select("p_partkey", "p_name")
+    below = moved.children.unionByName(held)
+    return part, moved, dedup.delete_losers(part, "p_partkey", moved.losers, below, "l_partkey")
 
 
 @query(
@@ -106,7 +113,7 @@ def _deleted(spark, sf):
            OR p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'N' AND l_quantity > 48)""",
 )
 def delete_losers(spark, sf):
-    return _deleted(spark, sf).rows
+    return _one_run(spark, sf)[2].rows
 
 
 @query(
@@ -115,7 +122,7 @@ def delete_losers(spark, sf):
         FROM losers JOIN lineitem ON l_partkey = loser_id WHERE l_returnflag = 'N' AND l_quantity > 48 GROUP BY loser_id""",
 )
 def delete_failures(spark, sf):
-    return _deleted(spark, sf).failures
+    return _one_run(spark, sf)[2].failures
 
 
 @query(
@@ -124,14 +131,13 @@ def delete_failures(spark, sf):
         rest AS (SELECT * FROM part WHERE p_partkey NOT IN (SELECT loser_id FROM losers) OR p_partkey IN (SELECT * FROM held))
         SELECT (SELECT count(*) FROM part) - (SELECT count(*) FROM rest) AS deleted,
                (SELECT count(*) FROM losers WHERE loser_id IN (SELECT * FROM held)) AS failed,
-               (SELECT count(*) FROM lineitem JOIN losers ON loser_id = l_partkey) AS redirected,
+               (SELECT count(*) FROM lineitem JOIN losers ON loser_id = l_partkey
+                WHERE NOT (l_returnflag = 'N' AND l_quantity > 48)) AS redirected,
                (SELECT count(*) FROM (SELECT p_name FROM rest GROUP BY p_name HAVING count(*) > 1)) AS remaining""",
 )
 def dedup_summary(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-    log = dedup.redirect_children(lines, "l_partkey", part_losers(spark, sf), "l_orderkey").log
-    part = table(spark, sf, "part").select("p_partkey", "p_name")
-    return dedup.dedup_summary(part, _deleted(spark, sf), log, "p_name", "p_partkey")
+    part, moved, deleted = _one_run(spark, sf)
+    return dedup.dedup_summary(part, deleted, moved.log, "p_name", "p_partkey")
 
 
 def document_tree(spark, sf):
@@ -144,18 +150,58 @@ def document_tree(spark, sf):
     )
 
 
-TREE = """base AS (SELECT doc_id, md5(text) AS key, nullif(doc_id // 2, doc_id) AS parent_id, lang FROM documents),
-    ranked AS (SELECT *, first_value(doc_id) OVER (PARTITION BY key ORDER BY CASE WHEN lang = 'en' THEN 0 ELSE 1 END, doc_id) AS survivor FROM base),
-    lost AS (SELECT doc_id AS loser, survivor FROM ranked WHERE doc_id <> survivor),
-    looped AS (SELECT loser FROM lost JOIN base ON base.doc_id = survivor WHERE base.parent_id = loser),
-    good AS (SELECT * FROM lost WHERE loser NOT IN (SELECT loser FROM looped)),
-    moved AS (SELECT doc_id, key, coalesce(survivor, parent_id) AS parent_id FROM base LEFT JOIN good ON loser = parent_id)"""
+ROUNDS = 6  # more than these tables need
+
+
+def _round(n: int) -> str:
+    """One round in SQL: redirects whose moved child can reach itself through the new pointers fail."""
+    failed = " UNION ".join(["SELECT -1", *[f"SELECT loser FROM looped{k}" for k in range(n)]])
+    return f"""good{n} AS (SELECT * FROM lost WHERE loser NOT IN ({failed})),
+    moved{n} AS (SELECT id, key, parent_id AS was, coalesce(survivor, parent_id) AS parent_id FROM base LEFT JOIN good{n} ON loser = parent_id),
+    walk{n}(start, node) AS (SELECT id, parent_id FROM moved{n} WHERE was IS DISTINCT FROM parent_id
+                             UNION SELECT w.start, m.parent_id FROM walk{n} w JOIN moved{n} m ON m.id = w.node WHERE m.parent_id IS NOT NULL),
+    looped{n} AS (SELECT DISTINCT was AS loser FROM moved{n} WHERE id IN (SELECT start FROM walk{n} WHERE start = node))"""
+
+
+def _tree(base: str) -> str:
+    """SQL for a hierarchy (id, key, parent_id, preferred): its redirects in rounds, until none closes a loop."""
+    rounds = ",\n    ".join(_round(n) for n in range(ROUNDS))
+    return f"""base AS ({base}),
+    ranked AS (SELECT *, first_value(id) OVER (PARTITION BY key ORDER BY CASE WHEN preferred THEN 0 ELSE 1 END, id) AS survivor FROM base),
+    lost AS (SELECT id AS loser, survivor FROM ranked WHERE id <> survivor),
+    {rounds},
+    good AS (SELECT * FROM good{ROUNDS - 1} WHERE loser NOT IN (SELECT loser FROM looped{ROUNDS - 1})),
+    moved AS (SELECT id, key, coalesce(survivor, parent_id) AS parent_id FROM base LEFT JOIN good ON loser = parent_id)"""
+
+
+TREE = _tree("SELECT doc_id AS id, md5(text) AS key, nullif(doc_id // 2, doc_id) AS parent_id, lang = 'en' AS preferred FROM documents")
 
 
 @query(
     "dedup_hierarchy",
-    f"WITH {TREE} SELECT doc_id, key, parent_id FROM moved WHERE doc_id NOT IN (SELECT loser FROM good)",
+    f"WITH RECURSIVE {TREE} SELECT id AS doc_id, key, parent_id FROM moved WHERE id NOT IN (SELECT loser FROM good)",
 )
 def dedup_hierarchy_query(spark, sf):
     done = dedup_hierarchy(document_tree(spark, sf), "key", "doc_id", "parent_id", F.col("lang") == "en")
     return done.rows.select("doc_id", "key", "parent_id")
+
+
+DEEP = _tree(
+    """SELECT c_custkey AS id, c_nationkey || '|' || (c_custkey % 13) AS key, nullif(c_custkey // 2, 0) AS parent_id,
+              c_acctbal > 7000 AS preferred FROM customer"""
+)
+
+
+@query(
+    "dedup_hierarchy_deep",
+    f"WITH RECURSIVE {DEEP} SELECT id, key, parent_id FROM moved WHERE id NOT IN (SELECT loser FROM good)",
+)
+def dedup_hierarchy_deep(spark, sf):
+    """Customers below the customer of half their number: many survivors lie somewhere below a loser."""
+    tree = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.concat_ws("|", F.col("c_nationkey").cast("string"), (F.col("c_custkey") % 13).cast("string")).alias("key"),
+        F.nullif(F.floor(F.col("c_custkey") / 2), F.lit(0)).alias("parent_id"),
+        (F.col("c_acctbal") > 7000).alias("preferred"),
+    )
+    return dedup_hierarchy(tree, "key", "id", "parent_id", F.col("preferred")).rows.select("id", "key", "parent_id")

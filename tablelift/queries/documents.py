@@ -43,15 +43,19 @@ def xml_wellformed(spark, sf):
 
 
 def part_views(spark, sf):
-    """A view per part below the part whose key is its size: brands and types as field names."""
+    """A view per part: brands and types as field names.
+
+    Parts up to 20 are roots, parts up to 50 hang below the one 20 before, the others below the
+    part whose key is their size.
+    """
     part = table(spark, sf, "part")
     brand, kind = F.replace(F.col("p_brand"), F.lit("#"), F.lit("_")), F.lower("p_type")
     document = F.format_string(
-        '<form><field name="%s" kind="%s"/><field name="id"/><button name="go_%s"/>'
+        '<form n="%d"><field name="%s" kind="%s"/><field name="id"/><button name="go_%s"/>'
         '<group name="%s"><field name="owner.name"/></group>'
         "<xpath expr=\"//field[@name='%s']\"/><xpath expr=\"/form/group\"/>"
-        "<xpath expr=\"//field[contains(@kind, '%s') and @name]\"/></form>",
-        brand, kind, brand, kind, brand, kind,
+        "<xpath expr=\"//field[contains(@kind, '%s') and @name]\"/><xpath expr=\"/form[@n='%d' and not(@m)]\"/></form>",
+        F.col("p_partkey"), brand, kind, brand, kind, brand, kind, F.col("p_size"),
     )
     return part.select(
         "p_partkey",
@@ -59,13 +63,16 @@ def part_views(spark, sf):
         F.col("p_type").alias("model"),
         brand.alias("brand"),
         kind.alias("kind"),
-        F.nullif(F.col("p_size").cast("long"), F.col("p_partkey")).alias("parent_id"),
+        F.when(F.col("p_partkey") > 50, F.col("p_size").cast("long"))
+        .when(F.col("p_partkey") > 20, F.col("p_partkey") - 20)
+        .alias("parent_id"),
         F.when(F.col("p_size") == 13, F.concat(document, F.lit("<"))).otherwise(document).alias("document"),
     )
 
 
 PART_VIEWS = """views AS (SELECT p_partkey, p_type AS model, replace(p_brand, '#', '_') AS brand, lower(p_type) AS kind,
-                                 nullif(CAST(p_size AS BIGINT), p_partkey) AS parent_id, p_size <> 13 AS sound FROM part)"""
+                                 p_size, CASE WHEN p_partkey > 50 THEN CAST(p_size AS BIGINT) WHEN p_partkey > 20 THEN p_partkey - 20 END AS parent_id,
+                                 p_size <> 13 AS sound FROM part)"""
 
 
 @query(
@@ -101,19 +108,22 @@ def field_refs_first(spark, sf):
     "validate_views",
     """WITH RECURSIVE views AS (
            SELECT p_partkey AS id, p_type AS model, replace(p_brand, '#', '_') AS brand, lower(p_type) AS kind,
-                  nullif(p_partkey // 2, p_partkey) AS parent, p_size <> 13 AS sound, p_size <> 20 AS active,
+                  nullif(p_partkey // 2, p_partkey) AS parent, p_size <> 13 AS sound, p_size <> 20 AS active, p_size AS size,
                   p_type = 'PROMO' AS template FROM part),
        fine AS (SELECT id FROM views WHERE sound AND parent IS NULL
                 UNION ALL SELECT v.id FROM views v JOIN fine f ON v.parent = f.id WHERE v.sound),
-       pairs AS (SELECT c.id, c.brand <> p.brand AS other_brand, c.kind <> p.kind AS other_kind
+       pairs AS (SELECT c.id, c.brand <> p.brand AS other_brand, c.kind <> p.kind AS other_kind, c.size <> p.id AS other_size,
+                        CASE WHEN p.parent IS NULL THEN 'orphan_xpath' ELSE 'unchecked_xpath' END AS type,
+                        CASE WHEN p.parent IS NULL THEN 'error' ELSE 'warning' END AS severity
                  FROM views c JOIN views p ON p.id = c.parent WHERE c.sound AND p.sound AND c.active),
        fields AS (SELECT DISTINCT p_type AS model, replace(p_brand, '#', '_') AS name FROM part WHERE p_size > 45),
        names AS (SELECT id, model, brand AS name FROM views WHERE sound AND active AND NOT template
                  UNION ALL SELECT id, model, kind FROM views WHERE sound AND active AND NOT template)
        SELECT 'combination_error' AS type, 'error' AS severity, CAST(id AS VARCHAR) AS entity_id FROM views
        WHERE active AND parent IS NOT NULL AND id NOT IN (SELECT id FROM fine)
-       UNION ALL SELECT 'orphan_xpath', 'error', CAST(id AS VARCHAR) FROM pairs WHERE other_brand
-       UNION ALL SELECT 'orphan_xpath', 'error', CAST(id AS VARCHAR) FROM pairs WHERE other_kind
+       UNION ALL SELECT type, severity, CAST(id AS VARCHAR) FROM pairs WHERE other_brand
+       UNION ALL SELECT type, severity, CAST(id AS VARCHAR) FROM pairs WHERE other_kind
+       UNION ALL SELECT type, severity, CAST(id AS VARCHAR) FROM pairs WHERE other_size
        UNION ALL SELECT 'qweb_error', 'error', CAST(id AS VARCHAR) FROM views WHERE template AND active AND NOT sound
        UNION ALL SELECT 'missing_field', 'warning', CAST(id AS VARCHAR) FROM names
                  WHERE model IN (SELECT model FROM fields) AND (model, name) NOT IN (SELECT (model, name) FROM fields)
@@ -145,15 +155,18 @@ def validate_views_query(spark, sf):
 @query(
     "expr_targets_missing",
     f"""WITH {PART_VIEWS}, pairs AS (
-            SELECT c.p_partkey AS view_id, c.parent_id, c.brand, c.kind, p.brand AS parent_brand, p.kind AS parent_kind
+            SELECT c.p_partkey AS view_id, c.parent_id, c.brand, c.kind, c.p_size, p.brand AS parent_brand, p.kind AS parent_kind,
+                   CASE WHEN p.parent_id IS NOT NULL THEN 'not checkable here: the parent inherits' END AS error
             FROM views c JOIN views p ON p.p_partkey = c.parent_id WHERE c.sound AND p.sound)
-        SELECT view_id, parent_id, '//field[@name=''' || brand || ''']' AS expr FROM pairs WHERE brand <> parent_brand
-        UNION ALL SELECT view_id, parent_id, '//field[contains(@kind, ''' || kind || ''') and @name]'
-                  FROM pairs WHERE kind <> parent_kind""",
+        SELECT view_id, parent_id, '//field[@name=''' || brand || ''']' AS expr, error FROM pairs WHERE brand <> parent_brand
+        UNION ALL SELECT view_id, parent_id, '//field[contains(@kind, ''' || kind || ''') and @name]', error
+                  FROM pairs WHERE kind <> parent_kind
+        UNION ALL SELECT view_id, parent_id, '/form[@n=''' || p_size || ''' and not(@m)]', error
+                  FROM pairs WHERE p_size <> parent_id""",
 )
 def expr_targets_missing(spark, sf):
     views = part_views(spark, sf)
-    return docs.expr_targets_missing(views, "p_partkey", "parent_id", "document").drop("error")
+    return docs.expr_targets_missing(views, "p_partkey", "parent_id", "document")
 
 
 def customer_tree(spark, sf):
@@ -191,6 +204,24 @@ def lineage_check(spark, sf):
     return hierarchy.lineage_check(customer_tree(spark, sf), "c_custkey", "parent_id", F.col("bad"))
 
 
+@query(
+    "lineage_doubled",
+    """WITH doubled AS (SELECT c_custkey AS id, nullif(c_custkey // 2, c_custkey) AS parent FROM customer
+                        UNION ALL SELECT c_custkey, c_custkey - 1 FROM customer WHERE c_nationkey = 3 AND c_custkey > 1),
+       single AS (SELECT id, CASE WHEN count(parent) = count(*) THEN min(parent) END AS parent, count(*) AS n FROM doubled GROUP BY id)
+       SELECT id, parent, n FROM single""",
+)
+def lineage_doubled(spark, sf):
+    """One row per id, with the parent that counts and how many rows share the id."""
+    customer = table(spark, sf, "customer")
+    first = customer.select(F.col("c_custkey").alias("id"), F.nullif(F.floor(F.col("c_custkey") / 2), F.col("c_custkey")).alias("parent"))
+    again = customer.where("c_nationkey = 3 AND c_custkey > 1").select(F.col("c_custkey").alias("id"), (F.col("c_custkey") - 1).alias("parent"))
+    rows = first.unionByName(again)
+    fate = hierarchy.lineage_check(rows, "id", "parent").select("id", "parent")
+    counted = hierarchy.doubled_ids(rows, "id")
+    return fate.join(counted, "id", "left").select("id", "parent", F.coalesce("n", F.lit(1)).alias("n"))
+
+
 @query(
     "implied_closure",
     """WITH RECURSIVE grants AS (SELECT c_custkey AS member, 'nation ' || c_nationkey AS grp FROM customer

@@ -340,13 +340,13 @@ def children_of(spark, sf):
 @query(
     "child_lists",
     """WITH numbered AS (SELECT user_id AS parent_id, event_id,
-                                (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 1000 AS piece
+                                (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 10 AS piece
                          FROM events WHERE user_id IN (SELECT event_id FROM events))
        SELECT parent_id, piece, count(*) AS n, string_agg(event_id, ',' ORDER BY event_id) AS children
        FROM numbered GROUP BY parent_id, piece""",
 )
 def child_lists(spark, sf):
-    lists = joins.child_lists(table(spark, sf, "events"), "event_id", "user_id")
+    lists = joins.child_lists(table(spark, sf, "events"), "event_id", "user_id", entries=10)
     return lists.withColumn("children", F.array_join(F.col("children").cast("array<string>"), ","))
 
 

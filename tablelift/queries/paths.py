@@ -3,12 +3,12 @@
 from pyspark.sql import functions as F
 
 from tablelift.operators import edit
-from tablelift.plans.path import Stage, run_path
+from tablelift.plans.path import Stage, counted, reports, run_path
 from tablelift.plans.renumber import renumber_and_chain
 from tablelift.queries.registry import query, table
 from tablelift.queries.sequences import finished, payload
 from tablelift.scale import new_table_path
-from tablelift.sources import SnapshotStore
+from tablelift.sources import SnapshotStore, read_table, run_sql
 
 
 def _on(name, step):
@@ -57,6 +57,59 @@ def staged_resume(spark, sf):
     return run_path(store, None, 0, 3, stages(), extras=extras(), resume_from=2)["orders"]
 
 
+@query(
+    "staged_rerun",
+    """SELECT 2 AS version, o_orderkey, o_orderstatus FROM (
+           SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'MIGRATED-' || o_orderkey ELSE o_orderstatus END AS o_orderstatus
+           FROM orders WHERE o_orderpriority <> '5-LOW' AND o_orderkey % 2 = 0)
+       UNION ALL SELECT 0, o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0""",
+)
+def staged_rerun(spark, sf):
+    """A full run, then a shorter one over other rows: what can be read belongs to the second alone."""
+    store = SnapshotStore(spark, new_table_path(spark, "path"))
+    run_path(store, sources(spark, sf), 0, 3, stages(), extras=extras())
+    even = {**store.read(0), "orders": store.read(0)["orders"].where("o_orderkey % 2 = 0")}
+    run_path(store, even, 0, 2, stages(), extras=extras())
+    found = [
+        store.read(version)["orders"].select(F.lit(version).alias("version"), "o_orderkey", "o_orderstatus")
+        for version in range(4)
+        if version != 1 and store.exists(version)
+    ]
+    return found[0].unionByName(found[1]) if len(found) == 2 else found[0]
+
+
+@query(
+    "run_report",
+    """SELECT 'lows deleted' AS report, 'orders' AS "table", count(*) AS rows_before, count(*) FILTER (o_orderpriority <> '5-LOW') AS rows_after,
+              count(*) FILTER (o_orderpriority <> '5-LOW' AND o_orderstatus = 'P') AS pending FROM orders
+       UNION ALL SELECT 'renamed', 'orders', count(*), count(*), count(*) FILTER (o_orderstatus = 'P') FROM orders WHERE o_orderpriority <> '5-LOW'""",
+)
+def run_report(spark, sf):
+    """What the steps of a staged run did, as its last snapshot tells it."""
+    low = _on("orders", lambda df: edit.delete_where(df, F.col("o_orderpriority") == "5-LOW"))
+    rename = _on("orders", lambda df: edit.placeholder_rename(df, "o_orderstatus", "P", "MIGRATED-", "o_orderkey"))
+    steps = {
+        1: Stage(before=[counted("lows deleted", "orders", low, pending=F.col("o_orderstatus") == "P")]),
+        2: Stage(after=[counted("renamed", "orders", rename, pending=F.col("o_orderstatus").startswith("MIGRATED-"))]),
+    }
+    store = SnapshotStore(spark, new_table_path(spark, "path"))
+    run_path(store, sources(spark, sf), 0, 2, steps)
+    found = reports(store.read(2))
+    first, second = (found[name].select(F.lit(name).alias("report"), "*") for name in ("lows deleted", "renamed"))
+    return first.unionByName(second)
+
+
+@query("read_and_run_sql", "SELECT p_brand, count(*) AS n, sum(p_size) AS size FROM part WHERE p_size > 10 GROUP BY p_brand")
+def read_and_run_sql(spark, sf):
+    """A table of a snapshot folder read by name, then SQL over it; an empty text does nothing."""
+    root = new_table_path(spark, "tables")
+    table(spark, sf, "part").write.parquet(f"{root}/parts_by_name")
+    read_table(spark, root, "parts_by_name")
+    if run_sql(spark, "  ") is not None:
+        raise ValueError("an empty text must do nothing")
+    return run_sql(spark, "SELECT p_brand, count(*) AS n, sum(p_size) AS size FROM parts_by_name WHERE p_size > 10 GROUP BY p_brand")
+
+
 def _renumbered(spark, sf):
     customer = table(spark, sf, "customer")
     orders = table(spark, sf, "orders").select(

@@ -104,28 +104,32 @@ def ensure_row(spark, sf):
 
 
 def _settings(spark, sf):
-    """A key/value table: the number of customers per segment."""
+    """A key/value table: the number of customers per segment, with an id and when it was changed."""
     counted = table(spark, sf, "customer").groupBy(F.col("c_mktsegment").alias("key"))
-    return counted.agg(F.count(F.lit(1)).cast("string").alias("value"))
+    dated = counted.agg(F.count(F.lit(1)).cast("string").alias("value"), F.min("c_custkey").alias("id"))
+    return dated.withColumn("changed", F.lit("before"))
 
 
 @query(
     "set_setting",
-    """SELECT c_mktsegment AS key, CAST(count(*) AS VARCHAR) AS value FROM customer
-       WHERE c_mktsegment <> 'BUILDING' GROUP BY 1
-       UNION ALL SELECT 'BUILDING', (SELECT CAST(min(s_suppkey) AS VARCHAR) FROM supplier WHERE s_acctbal > 5000)""",
+    """WITH settings AS (SELECT c_mktsegment AS key, CAST(count(*) AS VARCHAR) AS value, min(c_custkey) AS id, 'before' AS changed
+                         FROM customer GROUP BY 1)
+       SELECT * FROM settings WHERE key <> 'BUILDING'
+       UNION ALL SELECT 'BUILDING', (SELECT CAST(min(s_suppkey) AS VARCHAR) FROM supplier WHERE s_acctbal > 5000),
+                        (SELECT max(id) + 1 FROM settings), 'now'""",
 )
 def set_setting(spark, sf):
     plan = upsert.matching_id(table(spark, sf, "supplier"), F.col("s_acctbal") > 5000, "s_suppkey")
-    return upsert.set_setting(_settings(spark, sf), "key", "BUILDING", plan, "value")
+    return upsert.set_setting(_settings(spark, sf), "key", "BUILDING", plan, "value", {"changed": "now"}, "id")
 
 
 @query(
     "retire_placeholder",
-    """SELECT 'row' AS kind, CAST(s_suppkey AS VARCHAR) AS key, s_name AS value FROM supplier
-       UNION ALL SELECT 'setting', c_mktsegment, CAST(count(*) AS VARCHAR) FROM customer
-                 WHERE c_mktsegment <> 'BUILDING' GROUP BY 2
-       UNION ALL SELECT 'setting', 'BUILDING', (SELECT CAST(min(s_suppkey) AS VARCHAR) FROM supplier WHERE s_acctbal < 0)""",
+    """WITH settings AS (SELECT c_mktsegment AS key, CAST(count(*) AS VARCHAR) AS value, min(c_custkey) AS id FROM customer GROUP BY 1)
+       SELECT 'row' AS kind, CAST(s_suppkey AS VARCHAR) AS key, s_name AS value, s_suppkey AS id, NULL AS changed FROM supplier
+       UNION ALL SELECT 'setting', key, value, id, 'before' FROM settings WHERE key <> 'BUILDING'
+       UNION ALL SELECT 'setting', 'BUILDING', (SELECT CAST(min(s_suppkey) AS VARCHAR) FROM supplier WHERE s_acctbal < 0),
+                        (SELECT max(id) + 1 FROM settings), 'now'""",
 )
 def retire_placeholder(spark, sf):
     supplier = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
@@ -139,11 +143,14 @@ def retire_placeholder(spark, sf):
         "key",
         "BUILDING",
         "value",
+        {"changed": "now"},
+        "id",
     )
     kept = rows.select(
-        F.lit("row").alias("kind"), F.col("s_suppkey").cast("string").alias("key"), F.col("s_name").alias("value")
-    )
-    return kept.unionByName(settings.select(F.lit("setting").alias("kind"), "key", "value"))
+        F.lit("row").alias("kind"), F.col("s_suppkey").cast("string").alias("key"), F.col("s_name").alias("value"),
+        F.col("s_suppkey").alias("id"), F.lit(None).cast("string").alias("changed"),
+    )
+    return kept.unionByName(settings.select(F.lit("setting").alias("kind"), "key", "value", "id", "changed"))
 
 
 RENAMES = [("signup", "register"), ("register", "onboard"), ("gone", "found"), ("view", "look"), ("view", "peek"), ("click", "purchase")]
@@ -185,6 +192,28 @@ def rename_collisions(spark, sf):
     return _renamed_events(spark, sf).collisions
 
 
+@query(
+    "rename_from_table",
+    """SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'HOME' WHEN 'MACHINERY' THEN 'HOME 2' ELSE c_mktsegment END AS c_mktsegment
+       FROM customer""",
+)
+def rename_from_table(spark, sf):
+    """Pairs as a table: one per part, most of them about names nobody has, and a few in a chain."""
+    customer = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    old = F.when(F.col("p_partkey") == 1, "BUILDING").when(F.col("p_partkey") == 2, "HOUSE").when(F.col("p_partkey") == 3, "MACHINERY")
+    new = F.when(F.col("p_partkey") == 1, "HOUSE").when(F.col("p_partkey") == 2, "HOME").when(F.col("p_partkey") == 3, "HOME 2")
+    pairs = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("ord"),
+        F.coalesce(old, F.concat(F.lit("part "), F.col("p_partkey").cast("string"))).alias("old"),
+        F.coalesce(new, F.col("p_name")).alias("new"),
+    )
+    segments = customer.select("c_mktsegment").distinct()
+    done = upsert.rename_cascade(
+        {"segments": segments, "customer": customer}, {"segments": "c_mktsegment", "customer": "c_mktsegment"}, "segments", pairs
+    )
+    return done.tables["customer"]
+
+
 def _merged_events(spark, sf):
     events = table(spark, sf, "events").select(
         "event_id", "event_type", F.concat_ws("|", F.col("user_id").cast("string"), "props").alias("name")
