@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelift.functions import is_true
-from tablelift.scale import lookup_join, materialise_counted
+from tablelift.scale import lookup_join, materialise_counted, once
 
 
 def lineage_check(df: DataFrame, row_id: str, parent: str, broken: Column | None = None) -> DataFrame:
@@ -115,18 +115,26 @@ def doubled_ids(df: DataFrame, row_id: str) -> DataFrame:
     return df.groupBy(F.col(row_id).alias("id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def implication_closure(implications: DataFrame, source: str, target: str) -> DataFrame:
-    """Everything each source implies, directly or through others, as distinct pairs.
+def implication_closure(implications: DataFrame, source: str, target: str, starts: DataFrame | None = None) -> DataFrame:
+    """What each source implies, directly or through others, as distinct pairs (source, target).
 
-    A pair found in round k is extended by all pairs known so far, which doubles
-    the length of the paths covered; only pairs not seen before are kept.
+    With `starts` (one column) only these sources are followed, edge by edge, so
+    the pairs are those asked for.  Without it all are: a pair found in round k
+    is extended by all pairs known so far, which doubles the length of the
+    paths covered.  Only pairs not seen before go on to the next round.
     """
     edges = implications.select(F.col(source).alias("source"), F.col(target).alias("target")).dropna()
+    edges = once(edges.where("source <> target").distinct(), "implications")
+    first = edges
+    if starts is not None:
+        wanted = starts.toDF("source").dropna().distinct()
+        first = lookup_join(edges, wanted, "source", "left_semi")
     found = {"pairs": F.lit(True)}
-    frontier, seen = materialise_counted(edges.where("source <> target").distinct(), "closure", found)
+    frontier, seen = materialise_counted(first, "closure", found)
     known = frontier
     while seen["pairs"]:
-        step = known.select(F.col("source").alias("target"), F.col("target").alias("__next"))
+        onward = known if starts is None else edges
+        step = onward.select(F.col("source").alias("target"), F.col("target").alias("__next"))
         reached = lookup_join(frontier, step, "target", "inner").select("source", F.col("__next").alias("target"))
         fresh = reached.where("source <> target").distinct()
         frontier, seen = materialise_counted(fresh.join(known, ["source", "target"], "left_anti"), "closure", found)
@@ -139,12 +147,12 @@ def implied_closure(
 ) -> DataFrame:
     """Memberships that follow from the implications but are not granted yet.
 
-    The closure is taken over the groups alone; the members, of whom there are
-    many more, are joined once.  Adding the result and asking again yields
-    nothing.
+    The closure is taken over the groups alone, and only from those that are
+    granted; the members, of whom there are many more, are joined once.  Adding
+    the result and asking again yields nothing.
     """
-    closure = implication_closure(implications, source, target)
-    held = grants.select(member, group).dropna().distinct()
+    held = once(grants.select(member, group).dropna().distinct(), "grants")
+    closure = implication_closure(implications, source, target, held.select(group))
     follow = closure.select(F.col("source").alias(group), F.col("target").alias("__implied"))
     implied = lookup_join(held, follow, group, "inner").select(member, F.col("__implied").alias(group)).distinct()
     return implied.join(held, [member, group], "left_anti")

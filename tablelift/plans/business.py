@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablelift.functions import build_label, counter_name, json_scalar
-from tablelift.operators import edit, joins, upsert
+from tablelift.operators import edit, hierarchy, joins, upsert
 from tablelift.operators.checks import assertions
 from tablelift.operators.dedup import duplicate_keys
 from tablelift.plans.cleanup import Deduplicated, dedup_hierarchy
@@ -488,10 +488,19 @@ def _after_18() -> list[Step]:
         ),
         needs(_make_counters, "stock_picking", "stock_picking_type", "stock_warehouse", "ir_sequence"),
         needs(_check_pickings, "stock_picking", "stock_picking_type", "stock_warehouse"),
+        needs(_follow_implied_groups, "res_groups_users_rel", "res_groups_implied_rel"),
         _signal,
     ]
 
 
+def _follow_implied_groups(tables: Tables) -> Tables:
+    """Members of a group become members of the groups it implies; who was added is reported."""
+    grants = tables["res_groups_users_rel"]
+    added = hierarchy.implied_closure(grants, "uid", "gid", tables["res_groups_implied_rel"], "gid", "hid")
+    result = {**tables, "res_groups_users_rel": grants.unionByName(added.select(*grants.columns))}
+    return with_report(result, "groups.added", added)
+
+
 def _check_pickings(tables: Tables) -> Tables:
     if not has_column(tables["stock_warehouse"], "pos_type_id"):
         return tables

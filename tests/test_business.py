@@ -306,6 +306,14 @@ def test_an_unreadable_marker_is_not_an_absent_one(spark, frame, tmp_path):
         store.folders(3)
 
 
+def test_implied_groups_follow(frame, rows):
+    users = frame("uid int, gid int", (1, 10), (2, 20), (3, None))
+    implied = frame("gid int, hid int", (10, 11), (11, 12), (12, 10), (20, 11), (30, 31))
+    out = business._follow_implied_groups({"res_groups_users_rel": users, "res_groups_implied_rel": implied})
+    assert rows(reports(out)["groups.added"]) == [(1, 11), (1, 12), (2, 10), (2, 11), (2, 12)]
+    assert out["res_groups_users_rel"].count() == 8
+
+
 def test_settings_are_whole_rows(spark, frame, rows):
     plans = frame("id int, name string, complete_name string, default_applicability string, create_date timestamp, write_date timestamp", (4, "Projects", "Projects", None, None, None))
     settings = frame("id int, key string, value string, create_date timestamp, write_date timestamp", (7, "analytic.project_plan", "1", None, None), (8, "web.base.url", "u", None, None))
