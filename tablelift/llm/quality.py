@@ -29,6 +29,7 @@ from tablelift.llm.common import Words, mix, one_value, slices
 
 BITS = 18
 TRAIN_ROWS = 4000
+UPDATES = 16_000  # documents learnt from, repeats counted
 SCALE = 10.0
 FOLDS = 5  # rows whose crc32(doc_id) divides by this are held out
 THRESHOLD = 0.3
@@ -106,9 +107,9 @@ def sparse_scores(index: np.ndarray, bounds: np.ndarray, weights: np.ndarray, sc
 
 def ftrl(
     rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, alpha: float = 0.3, beta: float = 1.0,
-    l1: float = 0.02, l2: float = 1e-4, epochs: int = 4,
+    l1: float = 0.02, l2: float = 1e-4, updates: int = UPDATES,
 ) -> tuple[np.ndarray, float]:
-    """Weights and intercept after `epochs` passes over (columns, values, label) in the given order."""
+    """Weights and intercept after passes over (columns, values, label) in the given order, `updates` in all."""
     size = (1 << bits) + 1  # the last column is the intercept
     z, squares = np.zeros(size), np.zeros(size)
 
@@ -117,7 +118,7 @@ def ftrl(
         active = np.sign(part) * np.maximum(np.abs(part) - l1, 0.0)
         return -active / ((beta + np.sqrt(squares[index])) / alpha + l2)
 
-    for _ in range(epochs):
+    for _ in range(-(-updates // max(len(rows), 1))):
         for index, values, label in rows:
             w = weights_at(index)
             p = 1.0 / (1.0 + np.exp(-np.clip(w @ values, -35.0, 35.0)))

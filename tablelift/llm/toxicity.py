@@ -7,12 +7,13 @@ may be toxic too.  With `prior` the share of toxic documents, the risk of a clas
 
 with sigmoid loss.  Where the second part falls below zero, the model has begun to memorise the
 toxic texts, and the step goes up that part instead, as the non-negative estimator prescribes.
-The classifier is linear over hashed words and their first bytes, present or not; it is fitted in numpy by Adam.  Only
-words that the toxic texts hold far oftener than the unlabelled ones (SURPLUS standard deviations)
-get a column: thousands of words without evidence would add up to noise in long texts.
+The classifier is linear over hashed words and their first bytes, present or not, twice or not; it is fitted in numpy by Adam.  Only
+words that the toxic texts hold far oftener than the unlabelled ones (SURPLUS standard deviations,
+fewer where there are few toxic texts), and that mark a toxic text with probability PURITY by the
+class prior, get a column: thousands of words without evidence would add up to noise in long texts.
 
 Training takes at most POSITIVES toxic and UNLABELLED other documents, both by smallest hash of
-doc_id and none from the held-out fold; the prior is the share of toxic rows among the labelled
+doc_id and none from the held-out fold, copies of a text once; the prior is the share of toxic rows among the labelled
 ones unless given.  Scoring reads every whole text, in slices, without a shuffle.
 
 Defined results: null, empty or wordless texts score the intercept; null labels and doc_ids are
@@ -36,19 +37,25 @@ BITS = 18
 POSITIVES = 2000
 UNLABELLED = 6000
 SURPLUS = 10.0
+PURITY = 0.75
+TWICE = 1 << 40  # what tells "twice" columns from the others
 STEMS = (4, 6)  # bytes of a word that count as its beginning
 STEPS = 400
+BANDS, BAND = 3, 4  # training texts that share all values of a band are copies
 THRESHOLD = 0.5
 SEPARATORS = bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 
 
 def columns(texts: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct hashed words and word beginnings of every text, and their n + 1 bounds."""
+    """The distinct hashed words and word beginnings of every text, again if they occur twice, and their n + 1 bounds."""
     words = Words(texts, SEPARATORS)
     sums = prefix_hash(words.data, lower=True)
     stems = [range_hash(sums, words.start, np.minimum(words.end, words.start + k)) + np.uint64(k) for k in STEMS]
     index = (mix(np.concatenate([words.hash, *stems])) >> np.uint64(64 - bits)).astype(np.int64)
-    key = np.unique(np.tile(words.text_of.astype(np.int64), 1 + len(STEMS)) << bits | index)
+    key, counts = np.unique(np.tile(words.text_of.astype(np.int64), 1 + len(STEMS)) << bits | index, return_counts=True)
+    text, index = key >> bits, key & ((1 << bits) - 1)
+    again = (mix(index[counts > 1].astype(np.uint64) + np.uint64(TWICE)) >> np.uint64(64 - bits)).astype(np.int64)
+    key = np.unique(np.concatenate([key, text[counts > 1] << bits | again]))
     bounds = np.searchsorted(key, np.arange(len(texts) + 1, dtype=np.int64) << bits)
     return key & ((1 << bits) - 1), bounds
 
@@ -58,6 +65,25 @@ def row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return sums[bounds[1:]] - sums[bounds[:-1]]
 
 
+def once_per_text(rows: list[np.ndarray]) -> list[int]:
+    """Indexes of rows without the copies of earlier ones, edited copies too, by bands of MinHash values.
+
+    Many copies of one toxic text would make all its words look toxic.
+    """
+    seen: set[tuple[int, int, int]] = set()
+    kept = []
+    for i, row in enumerate(rows):
+        values = row.astype(np.uint64)
+        keys = []
+        for band in range(BANDS):
+            least = [int(mix(values * np.uint64(2 * (band * BAND + k) + 1) + np.uint64(k)).min()) if len(values) else 0 for k in range(BAND)]
+            keys.append((band, len(least), hash(tuple(least))))
+        if len(values) == 0 or seen.isdisjoint(keys):
+            kept.append(i)
+        seen.update(keys)
+    return kept
+
+
 def fit(
     index: np.ndarray, bounds: np.ndarray, toxic: np.ndarray, prior: float, bits: int = BITS,
     steps: int = STEPS, rate: float = 0.05, l2: float = 1e-5,
@@ -71,7 +97,9 @@ def fit(
         return w, -35.0
     held = np.bincount(index[toxic[rows]], minlength=size)
     expected = np.bincount(index[~toxic[rows]], minlength=size) * (n_toxic / n_other)
-    columns_used = np.flatnonzero(held - expected >= SURPLUS * np.sqrt(expected + 1.0))
+    surplus = min(SURPLUS, 1.0 + 0.5 * np.sqrt(n_toxic))
+    purity = prior * held / np.maximum(np.maximum(expected, prior * held), 1e-9)  # share of toxic texts among all that hold the column
+    columns_used = np.flatnonzero((held - expected >= surplus * np.sqrt(expected + 1.0)) & (purity >= PURITY))
     place = np.full(size, -1)
     place[columns_used] = np.arange(len(columns_used))
     used = place[index] >= 0
@@ -121,6 +149,7 @@ def train(
             toxic += part.column("label").to_pylist()
             order += part.column("order").to_pylist()
         ranked = sorted(range(len(order)), key=lambda i: (order[i], len(parts[i]), int(parts[i].sum())))
+        ranked = [ranked[i] for i in once_per_text([parts[i] for i in ranked])]
         rows = [parts[i] for i in ranked]
         bounds = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
         flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
