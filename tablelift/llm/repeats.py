@@ -17,8 +17,8 @@ A key with more than TEXTS distinct texts (a passage in very many documents, wit
 it) is divided further, into places 8 apart and then one by one, where equal keys are equal windows.  So
 no key, however frequent, goes to one task whole, and none is left out.
 
-Two passes over the documents find the pieces: one counts anchors, and the other keeps pieces whose
-anchor occurs more than once according to a bit table of fixed size.  Only texts of undecided parts and
+Two passes over the documents find the parts: one counts keys, and the other keeps parts whose
+key occurs more than once according to a bit table of fixed size.  Only texts of undecided parts and
 of documents with repeats are shuffled.
 
 Defined results: null and empty texts have 0 bytes, no spans and the hash of nothing; matches never
@@ -44,7 +44,8 @@ LENGTH = 100
 GRAM = 24
 PLACES = LENGTH - GRAM + 1  # where an anchor may stand in a window
 TEXTS = 8  # distinct texts of one key that are sorted together
-BITS = 27  # bit tables of 16 MB
+BITS = 27  # a bit table of 16 MB
+VALUE_BITS = 40  # of a key, by which keys are counted; collisions only let more through
 SORT_BYTES = 1 << 20  # text whose suffixes are sorted in step
 BROADCAST_IDS = 2_000_000
 # Levels: how wide the groups of anchor places are that share a key.
@@ -100,11 +101,10 @@ def part_keys(sums: np.ndarray, place: np.ndarray, group: np.ndarray, width: int
 
 
 def bit_table(values: DataFrame) -> np.ndarray:
-    """A table of 2**BITS bits with those of the non-negative longs in column `value` set."""
-    at = F.shiftright("value", 63 - BITS)
-    words = values.groupBy(F.shiftright(at, 5).cast("int").alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast((shiftright(value, {63 - BITS}) & 31) as int))")).alias("bits")
-    )
+    """A table of 2**BITS bits with those of the VALUE_BITS-bit numbers in column `value` set, by their first bits."""
+    at = F.shiftright("value", VALUE_BITS - BITS)
+    bit = F.expr(f"shiftleft(1L, cast((shiftright(value, {VALUE_BITS - BITS}) & 31) as int))")
+    words = values.groupBy(F.shiftright(at, 5).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << (BITS - 5), np.uint32)
@@ -116,17 +116,25 @@ def bit_table(values: DataFrame) -> np.ndarray:
     return np.zeros(1 << (BITS - 5), np.uint32) if made is None else np.frombuffer(made, np.uint32)
 
 
-def has_bit(table: np.ndarray, values: np.ndarray) -> np.ndarray:
-    at = values >> np.uint64(63 - BITS)
+def has_bit(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes >> np.uint64(64 - BITS)
     return (table[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32) & np.uint32(1)).astype(bool)
 
 
-def anchor_counts(docs: DataFrame) -> DataFrame:
-    """(value) of the anchors that occur more than once."""
+def keyed_parts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(key, anchor place, first and last window) of the halves of all pieces, and the running hash of the bytes."""
+    _, place, first, last = anchors(data, offsets)
+    sums = prefix_hash(data, 2)
+    piece, group, first, last = divide(place, first, last, HALVES)
+    return part_keys(sums, place[piece], group, HALVES), place[piece], first, last, sums
+
+
+def repeated_keys(docs: DataFrame) -> DataFrame:
+    """(value): the first VALUE_BITS bits of the keys that occur more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            found, counts = np.unique(anchors(*flat(part.column("text")))[0] >> np.uint64(1), return_counts=True)
+            found, counts = np.unique(keyed_parts(*flat(part.column("text")))[0] >> np.uint64(64 - VALUE_BITS), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(counts.astype(np.int64))], ["value", "n"])
 
     counted = docs.select("text").mapInArrow(run, "value long, n long").groupBy("value").agg(F.sum("n").alias("n"))
@@ -134,7 +142,7 @@ def anchor_counts(docs: DataFrame) -> DataFrame:
 
 
 def repeated_parts(docs: DataFrame, table: np.ndarray) -> DataFrame:
-    """Parts of the pieces whose anchor may occur twice: (key, same, doc, place, first, last, own).
+    """Parts whose key may occur twice: (key, same, doc, place, first, last, own).
 
     Positions count from the document's start.  `same` is the hash of the part's text.  Within one document the
     first of equal parts is passed on and the others are repeats already (`own`).
@@ -145,13 +153,9 @@ def repeated_parts(docs: DataFrame, table: np.ndarray) -> DataFrame:
         table = shared.value
         for batch in slices(batches, "text"):
             data, offsets = flat(batch.column("text"))
-            value, place, first, last = anchors(data, offsets)
-            known = has_bit(table, value >> np.uint64(1))
-            place, first, last = place[known], first[known], last[known]
-            sums = prefix_hash(data, 2)
-            piece, group, first, last = divide(place, first, last, HALVES)
-            place = place[piece]
-            key = part_keys(sums, place, group, HALVES)
+            key, place, first, last, sums = keyed_parts(data, offsets)
+            known = has_bit(table, key)
+            key, place, first, last = key[known], place[known], first[known], last[known]
             same = range_hash(sums, first, last + LENGTH)
             row = np.searchsorted(offsets, first, "right") - 1
             order = np.lexsort((first, same, key, row))
@@ -391,7 +395,7 @@ def cut(docs: DataFrame, spans: DataFrame, texts: bool) -> DataFrame:
 def remove_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, the removed spans and, if wanted, the kept bytes."""
     numbered = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
-    table = bit_table(written(anchor_counts(numbered), "anchors"))
+    table = bit_table(written(repeated_keys(numbered), "keys"))
     parts = written(repeated_parts(numbered, table), "repeated")
     leads = parts.where("NOT own")
     classes = leads.groupBy("key", "same").agg(F.min("doc").alias("lead"), F.count(F.lit(1)).alias("n"))
