@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 1 << 20  # text handled at once inside a task; one longer text makes a slice of its own
+SLICE_BYTES = 1 << 19  # text handled at once inside a task; one longer text makes a slice of its own
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)

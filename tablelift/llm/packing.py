@@ -35,7 +35,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: the pattern that belongs to the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LENGTH = 2048
-HORIZON = 4 << 20  # ids packed together
+HORIZON = 2 << 20  # ids packed together
 SCHEMA = "pack_id long, n_tokens int, ids binary, cu_seqlens array<int>, resets array<int>, doc_ids array<long>, piece_at array<long>"
 
 
