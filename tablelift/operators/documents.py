@@ -74,6 +74,37 @@ def xml_wellformed(df: DataFrame, column: str, out: str = "error") -> DataFrame:
     return df.withColumn(out, shorten(xml_error(F.col(column)), ERROR_LENGTH))
 
 
+def parse_once(views: DataFrame, document: str, tag: str = "xpath") -> DataFrame:
+    """`views` with, in place of the document, what the checks ask of it: error, names and exprs.
+
+    `error` is the parser's message (NULL for sound and empty documents),
+    `names` the (tag, name) of elements with a name, `exprs` the expressions of
+    `<tag expr="…">`.  Documents that declare a type yield no names or expressions.
+    """
+    kept = [c for c in views.columns if c != document]
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in views.schema.fields if f.name != document]
+    schema = ", ".join([*fields, "error string, names array<struct<tag:string,name:string>>, exprs array<string>"])
+    pair = pa.struct([("tag", pa.string()), ("name", pa.string())])
+
+    def facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            errors, names, exprs = [], [], []
+            for text in batch.column(document).to_pylist():
+                error, root = None, None
+                try:
+                    root = ET.fromstring(text) if text else None
+                except (ET.ParseError, ValueError) as problem:
+                    error = str(problem)
+                elements = [] if root is None or "<!DOCTYPE" in text.upper() else list(root.iter())
+                errors.append(error)
+                names.append([{"tag": e.tag, "name": e.get("name")} for e in elements if e.get("name")])
+                exprs.append([e.get("expr") for e in elements if e.tag == tag and e.get("expr")])
+            made = [pa.array(errors, pa.string()), pa.array(names, pa.list_(pair)), pa.array(exprs, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *made], [*kept, "error", "names", "exprs"])
+
+    return views.select(*kept, document).mapInArrow(facts, schema)
+
+
 def field_names(views: DataFrame, view_id: str, model: str, document: str) -> DataFrame:
     """(view, model, tag, name) for every element with a name attribute."""
     columns = views.select(
@@ -115,6 +146,7 @@ def field_refs_missing(
     document: str,
     fields: DataFrame,
     first_per_model: bool = False,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """References to fields their model does not have.
 
@@ -122,8 +154,10 @@ def field_refs_missing(
     are special names, dotted paths, buttons and links.  By default all views
     are checked; ``first_per_model`` looks at the lowest id of each model only.
     Documents are parsed where they are read; only names travel through joins.
+    `names` (view_id, model, tag, name) may come from an earlier parse.
     """
-    names = field_names(views.where(F.col(model).isNotNull()), view_id, model, document)
+    if names is None:
+        names = field_names(views.where(F.col(model).isNotNull()), view_id, model, document)
     names = names.where(
         ~F.col("name").isin(*SPECIAL_NAMES) & ~F.col("tag").isin(*ACTION_TAGS) & ~F.col("name").contains(".")
     )
@@ -319,7 +353,7 @@ def _evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def expr_targets_missing(
     views: DataFrame, view_id: str, parent: str, document: str, tag: str = "xpath", where: Column | None = None,
-    entries: int = 1000,
+    entries: int = 1000, found: DataFrame | None = None,
 ) -> DataFrame:
     """Expressions of a document that find nothing in its parent's document.
 
@@ -333,11 +367,13 @@ def expr_targets_missing(
     Each distinct (parent, expression) is evaluated once, inside the tasks and
     only on its own document; a parent's document travels once per list of at
     most `entries` expressions.  The number of jobs does not depend on the data.
+    The expressions `found` (view_id, parent_id, expr) may come from an earlier parse.
     """
-    children = views if where is None else views.where(where)
     usable = F.col(document).isNotNull() & (F.col(document) != "") & ~has_doctype(F.col(document))
-    rows = _document_exprs(children.where(F.col(parent).isNotNull() & usable), view_id, parent, document, tag)
-    rows = materialise(rows, "exprs")
+    if found is None:
+        children = views if where is None else views.where(where)
+        found = _document_exprs(children.where(F.col(parent).isNotNull() & usable), view_id, parent, document, tag)
+    rows = materialise(found, "exprs")
     pairs = rows.select("parent_id", "expr").distinct()
     lists = collect_in_pieces(pairs, "parent_id", "expr", "exprs", entries=entries).select("parent_id", "exprs")
     documents = views.where(usable).select(

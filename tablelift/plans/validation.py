@@ -7,15 +7,15 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablelift.functions import is_true
+from tablelift.functions import is_true, shorten
 from tablelift.operators.checks import issue_report, issues_from, verdict
 from tablelift.operators.documents import (
+    ERROR_LENGTH,
     expr_targets_missing,
     field_refs_missing,
     has_doctype,
     missing_paths,
-    xml_error,
-    xml_wellformed,
+    parse_once,
 )
 from tablelift.operators.hierarchy import lineage_check
 from tablelift.scale import materialise
@@ -60,18 +60,21 @@ def validate_views(
     here and documents that declare a type are warnings, the rest are errors.
     """
     active = F.col("active") if active is None else active
-    shown = views.where(active)
-    inherited = is_true(active) & F.col(parent).isNotNull()
+    shown = is_true(active)
+    inherited = shown & F.col(parent).isNotNull()
+    columns = views.select(
+        F.col(row_id).alias("id"), F.col(parent).alias("parent"), F.col(kind).alias("kind"), F.col(model).alias("model"),
+        shown.alias("shown"), inherited.alias("inherited"), has_doctype(F.col(document)).alias("declared"), F.col(document).alias("document"),
+    )
+    facts = materialise(parse_once(columns, "document"), "facts")  # every document is parsed here
 
-    broken = xml_error(F.col(document)).isNotNull()
     # an inactive row is a valid ancestor, so lineage is traced over all rows
-    lineage = lineage_check(views.withColumn("__broken", broken), row_id, parent, F.col("__broken"))
-    unsound = lineage.where(F.col("status") != "ok").join(
-        views.where(inherited).select(F.col(row_id).alias("id")), "id", "left_semi"
-    )
+    lineage = lineage_check(facts, "id", "parent", F.col("error").isNotNull())
+    unsound = lineage.where(F.col("status") != "ok").join(facts.where("inherited").select("id"), "id", "left_semi")
     combination = issues_from(unsound, "combination_error", "error", "id", {"parent": "parent", "error": "status"})
 
-    targets = expr_targets_missing(views, row_id, parent, document, where=inherited)
+    asked = facts.where("inherited").select(F.col("id").alias("view_id"), F.col("parent").alias("parent_id"), F.explode("exprs").alias("expr"))
+    targets = expr_targets_missing(views, row_id, parent, document, found=asked)
     orphans = issues_from(
         targets.where("error IS NULL"), "orphan_xpath", "error", "view_id", {"parent": "parent_id", "xpath": "expr"}
     )
@@ -79,15 +82,15 @@ def validate_views(
         targets.where("error IS NOT NULL"), "unchecked_xpath", "warning", "view_id",
         {"parent": "parent_id", "xpath": "expr", "reason": "error"},
     )
-    declared = issues_from(shown.where(has_doctype(F.col(document))), "document_type", "warning", row_id)
+    declared = issues_from(facts.where("shown AND declared"), "document_type", "warning", "id")
 
-    templates = xml_wellformed(shown.where(F.col(kind) == TEMPLATE_KIND), document, "error")
-    qweb = issues_from(
-        templates.where(F.col("error").isNotNull()), "qweb_error", "error", row_id, {"error": "error"}
-    )
+    templates = facts.where(F.col("shown") & (F.col("kind") == TEMPLATE_KIND) & F.col("error").isNotNull())
+    templates = templates.withColumn("error", shorten(F.col("error"), ERROR_LENGTH))
+    qweb = issues_from(templates, "qweb_error", "error", "id", {"error": "error"})
 
-    checked = shown.where(F.col(kind).isin(*FIELD_VIEW_KINDS))
-    refs = field_refs_missing(checked, row_id, model, document, fields, first_per_model)
+    checked = facts.where(F.col("shown") & F.col("kind").isin(*FIELD_VIEW_KINDS) & F.col("model").isNotNull())
+    names = checked.select(F.col("id").alias("view_id"), "model", F.inline("names"))
+    refs = field_refs_missing(checked, "id", "model", "document", fields, first_per_model, names)
     missing_fields = issues_from(
         refs, "missing_field", "warning", "view_id", {"model": "model", "field": "name", "tag": "tag"}
     )
@@ -98,10 +101,10 @@ def validate_views(
         parts.append(issues_from(lost, "missing_asset", "warning", "id", {"path": "path", "bundle": "bundle"}))
     issues = materialise(issue_report(*parts), "issues")
 
-    totals = views.agg(
-        F.count_if(active).alias("total_views"),
-        F.count_if(inherited).alias("inherited_views"),
-        F.count_if(is_true(active) & (F.col(kind) == TEMPLATE_KIND)).alias("qweb_views"),
+    totals = facts.agg(
+        F.count_if("shown").alias("total_views"),
+        F.count_if("inherited").alias("inherited_views"),
+        F.count_if(F.col("shown") & (F.col("kind") == TEMPLATE_KIND)).alias("qweb_views"),
     )
     counted = issues.agg(*[F.count_if(F.col("type") == t).alias(n) for n, t in COUNTED.items()])
     stats = totals.withColumns({n: counted.select(n).scalar() for n in COUNTED})
