@@ -75,6 +75,7 @@ def read_page(source: str) -> Page:
     page = Page([-1], [BLOCK_ID["html"]], [()], [""], [0])
     stack = [0]
     names = ["html"]
+    opened: dict[str, int] = {}  # how often an element is open, the root aside
     words: list[str] = []  # pieces of the open text block
     linked = 0
     in_link = False
@@ -95,6 +96,8 @@ def read_page(source: str) -> Page:
     def pop_to(families: tuple[str, ...], stops: tuple[str, ...]) -> None:
         for depth in range(len(names) - 1, 0, -1):
             if names[depth] in families:
+                for name in names[depth:]:
+                    opened[name] -= 1
                 del names[depth:], stack[depth:]
                 return
             if names[depth] in stops:
@@ -121,7 +124,7 @@ def read_page(source: str) -> Page:
             if name == "a":
                 in_link = False
             elif name in BLOCK_ID:
-                if name in names[1:]:
+                if opened.get(name):
                     flush()
                     pop_to((name,), ())
                     in_link = False
@@ -147,9 +150,10 @@ def read_page(source: str) -> Page:
             words.append(" ")
         elif name in BLOCK_ID:
             flush()
-            if name in ("html", "body") and name in names:
+            if name == "html" or (name == "body" and opened.get(name)):
                 continue
             if names[-1] == "p" or (names[-1] in HEADINGS and name in HEADINGS):
+                opened[names[-1]] -= 1
                 del names[-1], stack[-1]
             if name in CLOSED_BY:
                 pop_to(*CLOSED_BY[name])
@@ -160,6 +164,7 @@ def read_page(source: str) -> Page:
             page.linked.append(0)
             stack.append(len(page.parent) - 1)
             names.append(name)
+            opened[name] = opened.get(name, 0) + 1
             in_link = False
     flush()
     return page

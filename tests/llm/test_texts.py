@@ -126,3 +126,11 @@ def test_matching_statistics_against_all_substrings():
                     maximal.add((start, end))
         assert {(m.start, m.end) for m in matches} == maximal
         assert all(held[m.template][m.at : m.at + m.end - m.start + 1] == words[m.start : m.end + 1] for m in matches)
+
+
+def test_pages_with_thousands_of_open_elements_are_read():
+    from tablelift.llm.html_tree import read_page
+
+    page = read_page("<html><html><body><body>" + "<div><span><ul><li>" * 3000 + "deep" + "</div>" * 4000 + "<p>end")
+    assert [t for t in page.text if t] == ["deep", "end"]
+    assert page.parent[-1] == page.parent[-2] == 1 or page.tag[page.parent[-1]] >= 0
