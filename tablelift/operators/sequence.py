@@ -23,6 +23,7 @@ from tablelift.scale import (
     Limits,
     as_list,
     groups_fit,
+    input_bytes,
     largest_group,
     lookup_join,
     materialise,
@@ -89,7 +90,8 @@ def number_rows(
     """
     part, order = as_list(part), _columns(order)
     columns_in = df.columns
-    df = once(df, "numbering")
+    if input_bytes(df) > Limits.of(df.sparkSession).small_input:
+        df = once(df, "numbering")  # it is counted, and then numbered
     if groups_fit(df, part):
         window = Window.partitionBy(*[F.col(p) for p in part]).orderBy(*order)
         columns = {out: F.row_number().over(window).cast("long")}
