@@ -259,6 +259,26 @@ def test_neighbours_recall(spark):
     assert hits / (20 * len(queries)) >= 0.93
 
 
+def test_neighbours_in_crowds_and_of_varied_lengths():
+    rng = np.random.RandomState(4)
+    plain = rng.randn(4000, 64)
+    plain /= np.linalg.norm(plain, axis=1, keepdims=True)
+    shapes = {}
+    for noise in (0.05, 0.01, 0.001):
+        shapes[f"crowd {noise}"] = plain.copy()
+        shapes[f"crowd {noise}"][:1300] = plain[0] + noise * plain[:1300]
+    for sigma in (0.25, 0.5):
+        shapes[f"lengths {sigma}"] = plain * np.exp(sigma * rng.randn(4000, 1))
+    shapes["ties"] = np.repeat(rng.randint(-1, 2, (4000, 4)), 16, axis=1).astype(float) + 0.5
+    for name, vectors in shapes.items():
+        index = neighbours.PermutationIndex(vectors, rng.permutation(4000))
+        queries = vectors[:1300:40]
+        for query, (rows, scores) in zip(queries, index.search(queries, 21), strict=True):
+            exact = (vectors * query).sum(axis=1)
+            assert len(set(rows.tolist())) == len(rows) and (scores == exact[rows]).all()
+            assert set(np.flatnonzero(exact >= np.partition(exact, -21)[-21])) <= set(rows.tolist()), name
+
+
 def labelled_texts(seed, n, spoil):
     rng = random.Random(seed)
     rows, marks = [], []
