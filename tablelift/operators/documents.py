@@ -13,12 +13,12 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablelift.functions import all_matches, path_without_root, shorten
-from tablelift.operators.sequence import collect_in_pieces
+from tablelift.operators.sequence import collect_in_pieces, surrogate_keys
 from tablelift.scale import lookup_join, materialise
 
 # fixed values: names and tags that are not field references
@@ -28,6 +28,7 @@ ACTION_TAGS = ("button", "a")
 # fixed values: where expressions stand in a document, and how much of an error is kept
 XPATH_ATTRIBUTE = r"<xpath[^>]+expr=\"([^\"]+)\""
 ERROR_LENGTH = 200
+EXPRESSIONS_PER_JOB = 50
 
 
 def extract_exprs(
@@ -254,10 +255,10 @@ def _path(expression: str) -> list[tuple[bool, str, list]]:
 
 def _matches(root: ET.Element, parents: dict, expression: str) -> bool:
     """Does the expression find anything, starting at the root element?  ValueError if it is beyond the tasks."""
-    for alternative in _pieces(expression, r"\|"):
+    for path in [_path(alternative.strip()) for alternative in _pieces(expression, r"\|")]:
         holder = parents[root]
         nodes = [root]
-        for deep, name, tests in _path(alternative.strip()):
+        for deep, name, tests in path:
             if name == "/":
                 nodes = [holder]
                 continue
@@ -284,6 +285,8 @@ def _matches(root: ET.Element, parents: dict, expression: str) -> bool:
 
 
 NOT_CHECKABLE = "not checkable here"
+INHERITS = f"{NOT_CHECKABLE}: the parent inherits"
+INVALID = "invalid expression"
 
 
 def has_doctype(document: Column) -> Column:
@@ -321,9 +324,12 @@ def _document_exprs(views: DataFrame, view_id: str, parent: str, document: str,
 
 
 def _evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One parsed parent document per row against its own list of expressions; hits are left out."""
+    """One parsed parent document per row against its own list of expressions; hits are left out.
+
+    Expressions beyond the tasks come as one list `rest` with the document they are to be evaluated on.
+    """
     for batch in batches:
-        origin, exprs, errors = [], [], []
+        origin, exprs, errors, rests, documents = [], [], [], [], []
         lists, inherits = batch.column("exprs").to_pylist(), batch.column("inherits").to_pylist()
         for row, text in enumerate(batch.column("document").to_pylist()):
             root = _parse(text)
@@ -332,25 +338,124 @@ def _evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             holder = ET.Element("document")
             holder.append(root)
             parents = {child: node for node in holder.iter() for child in node}
+            missed, rest = [], []
             for expression in lists[row]:
-                error = None
                 try:
-                    if _matches(root, parents, expression):
-                        continue
-                    if inherits[row]:
-                        error = f"{NOT_CHECKABLE}: the parent inherits"
+                    if not _matches(root, parents, expression):
+                        missed.append(expression)
                 except ValueError:
-                    error = f"{NOT_CHECKABLE}: beyond the steps and tests evaluated"
-                origin.append(row)
-                exprs.append(expression)
-                errors.append(error)
+                    rest.append(expression)
+            origin += [row] * (len(missed) + bool(rest))
+            exprs += missed + [None] * bool(rest)
+            errors += [INHERITS if inherits[row] else None] * len(missed) + [None] * bool(rest)
+            rests += [None] * len(missed) + [rest] * bool(rest)
+            documents += [None] * len(missed) + [text] * bool(rest)
         taken = pa.array(origin, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("parent_id").take(taken), pa.array(exprs, pa.string()), pa.array(errors, pa.string())],
-            ["parent_id", "expr", "error"],
+            [
+                batch.column("parent_id").take(taken),
+                batch.column("inherits").take(taken),
+                pa.array(exprs, pa.string()),
+                pa.array(errors, pa.string()),
+                pa.array(rests, pa.list_(pa.string())),
+                pa.array(documents, pa.string()),
+            ],
+            ["parent_id", "inherits", "expr", "error", "rest", "document"],
         )
 
 
+def _standard(expression: str) -> str:
+    """The expression with `hasclass` written in XPath 1.0."""
+
+    def classes(call: re.Match) -> str:
+        if call["names"] is None:
+            return call[0]
+        names = [name[1:-1] for name in re.findall(_QUOTED, call["names"])]
+        quoted = [f"'{name}'" if '"' in name else f'"{name}"' for name in (f" {n} " for n in names)]
+        held = [f"contains(concat(' ', normalize-space(@class), ' '), {name})" for name in quoted]
+        return "(" + " and ".join(held if all(n.split() == [n] for n in names) else ["false()"]) + ")"
+
+    return re.sub(rf"{_QUOTED}|\bhasclass\(\s*(?P<names>(?:{_QUOTED})(?:\s*,\s*(?:{_QUOTED}))*)\s*\)", classes, expression)
+
+
+def _reason(query: DataFrame) -> str | None:
+    """Why the query fails, in one line; None if it does not."""
+    try:
+        query.collect()
+    except Exception as error:  # the class differs between analysis and evaluation
+        return str(error).splitlines()[0]
+    return None
+
+
+def _rejected(spark: SparkSession, expressions: list[str]) -> dict[str, str]:
+    """Why XPath 1.0 rejects some of these expressions; valid ones are left out.
+
+    All are tried together on a tiny document, and one by one only if that fails.
+    """
+
+    def failure(tried: list[str]) -> str | None:
+        return _reason(spark.range(1).select(*[F.xpath_boolean(F.lit("<a/>"), F.lit(_standard(e))) for e in tried]))
+
+    if failure(expressions) is None:
+        return {}
+    reasons = {e: failure([e]) for e in expressions}
+    return {e: reason for e, reason in reasons.items() if reason}
+
+
+def _judged(rest: DataFrame, expressions: list[str]) -> DataFrame:
+    """(parent_id, expr, error) for those of the expressions that find nothing on a row that asks for them.
+
+    Spark starts at the document; inside the test of its root element the expression starts there.
+    """
+    hits = [
+        F.when(
+            F.array_contains("rest", F.lit(e)),
+            F.struct(F.lit(e).alias("expr"), F.xpath_boolean("document", F.lit(f"/*[boolean({_standard(e)})]")).alias("hit")),
+        )
+        for e in expressions
+    ]
+    asking = rest.where(F.arrays_overlap("rest", F.array(*[F.lit(e) for e in expressions])))
+    found = asking.select("parent_id", "inherits", F.inline(F.filter(F.array(*hits), lambda judged: judged.isNotNull())))
+    return found.where(~F.col("hit")).select("parent_id", "expr", F.when(F.col("inherits"), INHERITS).alias("error"))
+
+
+def _evaluate_rest(rest: DataFrame) -> list[DataFrame]:
+    """(parent_id, expr, error) of what needs full XPath 1.0, in written parts.
+
+    Spark's `xpath` wants a literal path, so the distinct expressions are numbered and taken in jobs
+    of a fixed number each, however many there are.  One that fails on the documents only is
+    `INVALID` too, unless it is the documents that Spark's parser does not take.
+    """
+    spark = rest.sparkSession
+    asked = rest.select("parent_id", F.explode("rest").alias("expr"))
+    distinct = materialise(surrogate_keys(asked.select("expr").distinct(), ["expr"], "__no"), "rest")
+    parts = []
+
+    def failed(expression: str, error: str) -> DataFrame:
+        return asked.where(F.col("expr") == F.lit(expression)).select("parent_id", "expr", F.lit(error).alias("error"))
+
+    for start in range(0, distinct.count(), EXPRESSIONS_PER_JOB):
+        within = (F.col("__no") > start) & (F.col("__no") <= start + EXPRESSIONS_PER_JOB)
+        listed = [row.expr for row in distinct.where(within).collect()]
+        errors = _rejected(spark, listed)
+        parts += [failed(e, f"{INVALID}: {reason}") for e, reason in errors.items()]
+        valid = [e for e in listed if e not in errors]
+        if not valid:
+            continue
+        try:
+            parts.append(materialise(_judged(rest, valid), "judged"))
+        except Exception:  # the class differs by cause; found expression by expression
+            for e in valid:
+                reason = _reason(_judged(rest, [e]).agg(F.count(F.lit(1))))
+                if reason is None:
+                    parts.append(materialise(_judged(rest, [e]), "judged"))
+                else:
+                    asking = rest.where(F.array_contains("rest", F.lit(e)))
+                    readable = _reason(asking.agg(F.count_if(F.xpath_boolean("document", F.lit("true()"))))) is None
+                    parts.append(failed(e, f"{INVALID if readable else NOT_CHECKABLE}: {reason}"))
+    return parts
+
+
 def expr_targets_missing(
     views: DataFrame, view_id: str, parent: str, document: str, tag: str = "xpath", where: Column | None = None,
     entries: int = 1000, found: DataFrame | None = None,
@@ -358,15 +463,17 @@ def expr_targets_missing(
     """Expressions of a document that find nothing in its parent's document.
 
     (view_id, parent_id, expr, error).  `error` is NULL where the expression was
-    evaluated and found nothing.  It says "not checkable here" where that
-    cannot be told: the expression uses more than steps with attribute, text
-    and position tests, or the parent inherits itself, so that the target may
-    lie in what it inherits.  Pairs where either document does not parse or
-    declares a document type are skipped; other checks report those.
+    evaluated and found nothing, and says "invalid expression" where XPath 1.0
+    rejects it.  It says "not checkable here" where a miss cannot be told: the
+    parent inherits itself, so that the target may lie in what it inherits.
+    Pairs where either document does not parse or declares a document type are
+    skipped; other checks report those.
 
     Each distinct (parent, expression) is evaluated once, inside the tasks and
     only on its own document; a parent's document travels once per list of at
-    most `entries` expressions.  The number of jobs does not depend on the data.
+    most `entries` expressions.  Expressions that use more than steps with
+    attribute, text and position tests are left to Spark's `xpath_boolean`,
+    `EXPRESSIONS_PER_JOB` distinct ones in a job.
     The expressions `found` (view_id, parent_id, expr) may come from an earlier parse.
     """
     usable = F.col(document).isNotNull() & (F.col(document) != "") & ~has_doctype(F.col(document))
@@ -380,11 +487,18 @@ def expr_targets_missing(
         F.col(view_id).alias("parent_id"), F.col(document).alias("document"), F.col(parent).isNotNull().alias("inherits")
     )
     parent_type = rows.schema["parent_id"].dataType.simpleString()
-    misses = (
+    judged = (
         lookup_join(lists, documents, "parent_id", "inner")
         .select("parent_id", "exprs", "document", "inherits")
-        .mapInArrow(_evaluate, f"parent_id {parent_type}, expr string, error string")
+        .mapInArrow(
+            _evaluate,
+            f"parent_id {parent_type}, inherits boolean, expr string, error string, rest array<string>, document string",
+        )
     )
+    judged = materialise(judged, "judged")
+    misses = judged.where(F.col("rest").isNull()).select("parent_id", "expr", "error")
+    for part in _evaluate_rest(judged.where(F.col("rest").isNotNull()).select("parent_id", "inherits", "rest", "document")):
+        misses = misses.unionByName(part)
     misses = materialise(misses.distinct(), "misses")
     return lookup_join(rows, misses, ["parent_id", "expr"], "inner").select("view_id", "parent_id", "expr", "error")
 

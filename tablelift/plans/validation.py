@@ -11,6 +11,7 @@ from tablelift.functions import is_true, shorten
 from tablelift.operators.checks import issue_report, issues_from, verdict
 from tablelift.operators.documents import (
     ERROR_LENGTH,
+    INVALID,
     expr_targets_missing,
     field_refs_missing,
     has_doctype,
@@ -78,8 +79,13 @@ def validate_views(
     orphans = issues_from(
         targets.where("error IS NULL"), "orphan_xpath", "error", "view_id", {"parent": "parent_id", "xpath": "expr"}
     )
+    invalid = F.startswith("error", F.lit(INVALID))
+    rejected = issues_from(
+        targets.where(invalid), "orphan_xpath", "error", "view_id",
+        {"parent": "parent_id", "xpath": "expr", "xpath_error": "error"},
+    )
     unchecked = issues_from(
-        targets.where("error IS NOT NULL"), "unchecked_xpath", "warning", "view_id",
+        targets.where(~invalid), "unchecked_xpath", "warning", "view_id",
         {"parent": "parent_id", "xpath": "expr", "reason": "error"},
     )
     declared = issues_from(facts.where("shown AND declared"), "document_type", "warning", "id")
@@ -95,7 +101,7 @@ def validate_views(
         refs, "missing_field", "warning", "view_id", {"model": "model", "field": "name", "tag": "tag"}
     )
 
-    parts = [combination, orphans, unchecked, declared, qweb, missing_fields]
+    parts = [combination, orphans, rejected, unchecked, declared, qweb, missing_fields]
     if assets is not None and files is not None:
         lost = missing_paths(assets, "path", files, "path", "normal")
         parts.append(issues_from(lost, "missing_asset", "warning", "id", {"path": "path", "bundle": "bundle"}))

@@ -247,6 +247,16 @@ def test_validation_and_report(spark, database, frame, rows):
     assert spark.read.json(f"{path}/issues").count() == 5
 
 
+def test_expressions_that_xpath_rejects_fail_the_validation(frame, rows):
+    doc = "<d><xpath expr='//field['/><xpath expr='count(//field) = 1'/><xpath expr='(//field)[2]'/></d>"
+    views = frame("id int, inherit_id int, arch_db string, type string, model string, active boolean",
+                  (1, None, "<f><field name='a'/></f>", "form", "m", True), (2, 1, doc, "form", "m", True))
+    done = validate_views(views, frame("model string, name string", ("m", "a")))
+    found = done.issues.selectExpr("type", "severity", "get_json_object(detail, '$.xpath')", "get_json_object(detail, '$.xpath_error') IS NOT NULL")
+    assert rows(found) == [("orphan_xpath", "error", "//field[", True), ("orphan_xpath", "error", "(//field)[2]", False)]
+    assert done.stats.first().broken_xpath == 2
+
+
 def test_reports_have_one_shape_whatever_their_length(spark, frame):
     stats = frame("total long", (1,))
     shapes = set()

@@ -397,6 +397,29 @@ def test_expression_targets(frame, rows, both):
     assert {e for e, error in found.items() if error} == {e for e, hit in wanted.items() if hit is None}
 
 
+def test_expression_targets_beyond_the_tasks(frame, rows, both, monkeypatch):
+    monkeypatch.setattr(documents, "EXPRESSIONS_PER_JOB", 5)
+    parent = "<form><sheet class=' x  oe '><!-- c --><field name='a'/><group><field name='b' k='1'/></group></sheet></form>"
+    wanted = {
+        "count(//field) > 1": True, "count(//field)": True, "count(//field) - 2": False, "count(//field) > 2": False, "sheet[position()=1]": True,
+        "//group[field]": True, "//sheet[group/field]": True, "//sheet[nosuch]": False, "(//field)[1]": True, "(//field)[3]": False,
+        "//field/ancestor::sheet": True, "//group/following-sibling::field": False, "//group/preceding-sibling::field": True, "following-sibling::x": False,
+        "sheet[hasclass('oe', 'x')][group]": True, "//sheet[hasclass('o')][group]": False, "//sheet[@class='hasclass(1)'][group]": False,
+        "sheet/@class": True, "field/@name": False, "//field[position()=last() and @k]": True, "//x/.. | (//y)": False, "self::form": True, "/": True,
+        "//field[": None, "nosuch(//field)": None, "//form | //field[": None, "//sheet[count('x')]": None, "//": None, "a)] | /*[(b": None, "$x": None,
+    }
+    child = "<data>" + "".join(f'<xpath expr="{e.replace("<", "&lt;")}"/>' for e in wanted) + "</data>"
+    views = frame("id int, parent int, doc string", (1, None, parent), (2, 1, child), (3, None, "<!DOCTYPE a><a/>"), (4, 3, child),
+                  (5, None, "<broken"), (6, 5, child), (7, 1, "<form/>"), (8, 7, "<d><xpath expr='//a['/><xpath expr='(//a)[1]'/><xpath expr='(//form)[1]'/></d>"))
+    out = documents.expr_targets_missing(views, "id", "parent", "doc", entries=4)
+    found = {r.expr: r.error for r in out.where("view_id = 2").collect()}
+    assert set(found) == {e for e, hit in wanted.items() if not hit}
+    assert {e for e, error in found.items() if error and error.startswith("invalid expression: ")} == {e for e, hit in wanted.items() if hit is None}
+    assert all(error is None for e, error in found.items() if wanted[e] is False)
+    assert rows(out.where("view_id <> 2").selectExpr("view_id", "expr", "substring_index(error, ':', 1)")) == [
+        (8, "//a[", "invalid expression"), (8, "(//a)[1]", "not checkable here")]
+
+
 def test_targets_in_what_a_parent_inherits_are_not_errors(frame, rows, both):
     doc = "<d><xpath expr=\"//field[@name='a']\"/></d>"
     views = frame("id int, parent int, doc string", (1, None, "<f><field name='a'/></f>"), (2, 1, "<d/>"), (3, 2, doc), (4, 3, doc), (5, 1, doc),
