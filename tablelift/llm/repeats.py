@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelift.llm.common import class_join, flat, mix, one_value, partitions, prefix_hash, range_hash, slices, written
@@ -166,27 +166,32 @@ def repeated_parts(docs: DataFrame, table: np.ndarray) -> DataFrame:
             start = offsets[row]
             ids = batch.column("doc_id").take(pa.array(row))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.astype(np.int64)), pa.array(same.astype(np.int64)), ids.cast(pa.int64())]
+                [pa.array(key.astype(np.int64)), pa.array(same.astype(np.int64)), ids.cast(pa.int64()), batch.column("row").take(pa.array(row))]
                 + [pa.array((x - start).astype(np.int32)) for x in (place, first, last)] + [pa.array(own)],
-                ["key", "same", "doc", "place", "first", "last", "own"],
+                ["key", "same", "doc", "row", "place", "first", "last", "own"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "key long, same long, doc long, place int, first int, last int, own boolean")
+    return docs.select("doc_id", "text", row_hash()).mapInArrow(run, "key long, same long, doc long, row long, place int, first int, last int, own boolean")
+
+
+def row_hash() -> Column:
+    """What tells rows of one doc_id apart; rows of equal text are one."""
+    return F.xxhash64("text").alias("row")
 
 
 def spans_of(parts: DataFrame) -> DataFrame:
-    """(doc, start, end) of the bytes of parts that are repeats as a whole."""
-    return parts.select("doc", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("end"))
+    """(doc, row, start, end) of the bytes of parts that are repeats as a whole."""
+    return parts.select("doc", "row", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("end"))
 
 
 def with_texts(docs: DataFrame, parts: DataFrame) -> DataFrame:
-    """(key, doc, place, first, texts, text) of the parts: their bytes, cut out of the documents."""
-    lists = written(parts.groupBy("doc").agg(F.collect_list(F.struct("key", "place", "first", "last", "texts")).alias("parts")), "parts")
+    """(key, doc, row, place, first, texts, text) of the parts: their bytes, cut out of the documents."""
+    lists = written(parts.groupBy("doc", "row").agg(F.collect_list(F.struct("key", "place", "first", "last", "texts")).alias("parts")), "parts")
     lists = lists.withColumnRenamed("doc", "doc_id")  # one document's parts, fewer than its bytes
-    ids = lists.select("doc_id")
-    chosen = docs.select("doc_id", "text")
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:  # 8 bytes each
-        chosen = chosen.join(F.broadcast(ids), "doc_id", "left_semi")
+    ids = lists.select("doc_id", "row")
+    chosen = docs.select("doc_id", "text", row_hash())
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:  # 16 bytes each
+        chosen = chosen.join(F.broadcast(ids), ["doc_id", "row"], "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -197,19 +202,18 @@ def with_texts(docs: DataFrame, parts: DataFrame) -> DataFrame:
             fields = lists.flatten()
             key, place, first, last, number = (fields.field(i) for i in range(5))
             start, end = offsets[row] + first.to_numpy(), offsets[row] + last.to_numpy() + LENGTH
-            fits = end <= offsets[row + 1]  # of rows that share a doc_id, one may be shorter
-            texts = [raw[a:b] for a, b in zip(start[fits].tolist(), end[fits].tolist(), strict=True)]
-            kept = pa.array(fits)
+            texts = [raw[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+            taken = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [key.filter(kept), part.column("doc_id").cast(pa.int64()).take(pa.array(row[fits])), place.filter(kept), first.filter(kept), number.filter(kept), pa.array(texts, pa.binary())],
-                ["key", "doc", "place", "first", "texts", "text"],
+                [key, part.column("doc_id").cast(pa.int64()).take(taken), part.column("row").take(taken), place, first, number, pa.array(texts, pa.binary())],
+                ["key", "doc", "row", "place", "first", "texts", "text"],
             )
 
-    return chosen.join(lists, "doc_id").mapInArrow(run, "key long, doc long, place int, first int, texts long, text binary")
+    return chosen.join(lists, ["doc_id", "row"]).mapInArrow(run, "key long, doc long, row long, place int, first int, texts long, text binary")
 
 
 def subdivide(parts: DataFrame, width: int) -> DataFrame:
-    """The parts (key, doc, place, first, text) of crowded keys, divided into groups of `width` places."""
+    """The parts (key, doc, row, place, first, text) of crowded keys, divided into groups of `width` places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -218,43 +222,49 @@ def subdivide(parts: DataFrame, width: int) -> DataFrame:
             first = offsets[:-1]
             last = offsets[1:] - LENGTH
             place = part.column("place").to_numpy() + shift
-            row, group, first, last = divide(place, first, last, width)
+            row, group, first, last = divide(place, first, last, width)  # `row` counts within the batch
             key = mix(part.column("key").to_numpy().astype(np.uint64)[row] ^ part_keys(prefix_hash(data, 3), place[row], group, width))
             raw = data.tobytes()
             texts = [raw[a : b + LENGTH] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
             taken = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.astype(np.int64)), part.column("doc").take(taken), part.column("place").take(taken), pa.array((first - shift[row]).astype(np.int32)), pa.array(texts, pa.binary())],
-                ["key", "doc", "place", "first", "text"],
+                [pa.array(key.astype(np.int64)), part.column("doc").take(taken), part.column("row").take(taken), part.column("place").take(taken), pa.array((first - shift[row]).astype(np.int32)), pa.array(texts, pa.binary())],
+                ["key", "doc", "row", "place", "first", "text"],
             )
 
-    return parts.select("key", "doc", "place", "first", "text").mapInArrow(run, "key long, doc long, place int, first int, text binary")
+    return parts.select("key", "doc", "row", "place", "first", "text").mapInArrow(run, "key long, doc long, row long, place int, first int, text binary")
 
 
 def collapse(parts: DataFrame, go_on: bool) -> tuple[DataFrame, DataFrame | None]:
     """(spans of repeats, parts still open with the number of texts of their key), equal texts of a key being one.
 
-    A class's first occurrence goes on, if its key has other texts; later ones are repeats as a whole.
-    Both groupings combine before they shuffle.
+    A class's first occurrence goes on, if its key has other texts, in each row of the smallest doc; all
+    others are repeats as a whole.  The groupings combine before they shuffle.
     """
     parts = parts.withColumn("same", F.xxhash64("text"))
     marked = written(parts, "divided")
-    start = F.struct("doc", "first")
-    classes = marked.groupBy("key", "same").agg(F.min(start).alias("lead"), F.count(F.lit(1)).alias("n"))
+    classes = marked.groupBy("key", "same").agg(F.min("doc").alias("lead"), F.count(F.lit(1)).alias("n"))
     classes = written(classes, "classes")
-    copied = marked.select("key", "same", "doc", "first", F.length("text").alias("size"))
-    copied = class_join(copied, classes.where("n > 1"), ["key", "same"], ["lead"], "n", ["doc", "first"]).where(start > F.col("lead"))
-    spans = copied.select("doc", F.col("first").alias("start"), (F.col("first") + F.col("size")).cast("int").alias("end"))
+    copied = marked.select("key", "same", "doc", "row", "first", F.length("text").alias("size"))
+    copied = written(class_join(copied, classes.where("n > 1"), ["key", "same"], ["lead"], "n", ["doc", "first"]), "copied")
+    begun = copied.where("doc = lead").groupBy("key", "same", "doc", "row").agg(F.min("first").alias("begun"))
+    later = copied.where("doc = lead").join(begun, ["key", "same", "doc", "row"]).where("first > begun").drop("begun")
+    copied = copied.where("doc > lead").unionByName(later)
+    spans = copied.select("doc", "row", F.col("first").alias("start"), (F.col("first") + F.col("size")).cast("int").alias("end"))
     if not go_on:
         return spans, None
-    texts = classes.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
-    firsts = classes.join(texts, "key").select("key", "same", "texts", F.col("lead.doc").alias("doc"), F.col("lead.first").alias("first"))
-    still = marked.join(firsts, ["key", "same", "doc", "first"]).dropDuplicates(["key", "same"])
-    return spans, written(still.select("key", "doc", "place", "first", "text", "texts"), "open")
+    several = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1").select("key")
+    leads = marked.join(classes.join(several, "key").select("key", "same", F.col("lead").alias("doc")), ["key", "same", "doc"])
+    firsts = written(leads.groupBy("key", "same", "doc", "row").agg(F.min("first").alias("first")), "firsts")
+    texts = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("texts"))
+    still = marked.join(firsts.join(texts, "key"), ["key", "same", "doc", "row", "first"]).dropDuplicates(["key", "same", "row"])
+    return spans, written(still.select("key", "doc", "row", "place", "first", "text", "texts"), "open")
+
 
+def equal_windows(texts: list[bytes], keys: np.ndarray, doc: np.ndarray, first: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, row, start, end) of windows that equal one of a smaller doc or an earlier one of their row, under the same key.
 
-def equal_windows(texts: list[bytes], keys: np.ndarray, doc: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, start, end) of windows that equal an earlier one of the same key; rows come ordered by key.
+    The texts come ordered by key; `rows` tells rows of one doc apart.
 
     The texts of a key are one string with separators; neighbours in suffix order with LENGTH equal bytes are equal windows.
     """
@@ -271,7 +281,7 @@ def equal_windows(texts: list[bytes], keys: np.ndarray, doc: np.ndarray, first:
     whole = (np.arange(len(symbols)) - begins[row] + LENGTH) <= sizes[row]  # positions that begin a window
     order = order[whole[order]]
     if len(order) < 2:
-        return doc[:0], first[:0], first[:0]
+        return doc[:0], rows[:0], first[:0], first[:0]
     # Suffixes between two equal windows are equal to them too, so leaving out the others loses no neighbours.
     same = keys[row[order[1:]]] == keys[row[order[:-1]]]
     a, b = order[:-1][same], order[1:][same]
@@ -284,30 +294,32 @@ def equal_windows(texts: list[bytes], keys: np.ndarray, doc: np.ndarray, first:
     joined = np.zeros(len(order), bool)  # equal to the suffix before
     joined[np.flatnonzero(same)[alike] + 1] = True
     class_of = np.cumsum(~joined)
-    at_doc, at = doc[row[order]], first[row[order]] + (order - begins[row[order]])
-    by = np.lexsort((at, at_doc, class_of))
-    later = np.zeros(len(by), bool)
-    later[1:] = class_of[by][1:] == class_of[by][:-1]
-    leads = np.maximum.accumulate(np.where(later, 0, np.arange(len(by))))
-    later &= (at_doc[by] != at_doc[by][leads]) | (at[by] != at[by][leads])
-    found = by[later]
-    found_doc, found_at = at_doc[found], at[found]
-    rank = np.lexsort((found_at, found_doc))
-    found_doc, found_at = found_doc[rank], found_at[rank]
+    at_doc, at_row, at = doc[row[order]], rows[row[order]], first[row[order]] + (order - begins[row[order]])
+    by = np.lexsort((at, at_row, at_doc, class_of))
+    set_of, by_doc, by_row, by_at = class_of[by], at_doc[by], at_row[by], at[by]
+    fresh = np.ones(len(by), bool)
+    fresh[1:] = set_of[1:] != set_of[:-1]
+    leads = np.maximum.accumulate(np.where(fresh, np.arange(len(by)), 0))
+    fresh[1:] |= (by_doc[1:] != by_doc[:-1]) | (by_row[1:] != by_row[:-1])
+    begun = np.maximum.accumulate(np.where(fresh, np.arange(len(by)), 0))
+    found = by[(by_doc != by_doc[leads]) | (by_at != by_at[begun])]
+    found_doc, found_row, found_at = at_doc[found], at_row[found], at[found]
+    rank = np.lexsort((found_at, found_row, found_doc))
+    found_doc, found_row, found_at = found_doc[rank], found_row[rank], found_at[rank]
     begin = np.ones(len(rank), bool)
-    begin[1:] = (found_doc[1:] != found_doc[:-1]) | (found_at[1:] > found_at[:-1] + 1)
+    begin[1:] = (found_doc[1:] != found_doc[:-1]) | (found_row[1:] != found_row[:-1]) | (found_at[1:] > found_at[:-1] + 1)
     starts = np.flatnonzero(begin)
     ends = np.append(starts[1:], len(rank)) - 1
-    return found_doc[starts], found_at[starts], found_at[ends] + LENGTH
+    return found_doc[starts], found_row[starts], found_at[starts], found_at[ends] + LENGTH
 
 
 def sorted_windows(parts: DataFrame) -> DataFrame:
-    """(doc, start, end) of repeats among the different texts of each key, at most TEXTS per key."""
-    dealt = parts.select("key", "doc", "first", "text").repartition(partitions(parts.sparkSession), "key").sortWithinPartitions("key", "doc", "first")
+    """(doc, row, start, end) of repeats among the different texts of each key, at most TEXTS per key."""
+    dealt = parts.select("key", "doc", "row", "first", "text").repartition(partitions(parts.sparkSession), "key").sortWithinPartitions("key", "doc", "row", "first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def judge(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            keys, doc, first = (table.column(c).to_numpy() for c in ("key", "doc", "first"))
+            keys, doc, first, row = (table.column(c).to_numpy() for c in ("key", "doc", "first", "row"))
             texts = table.column("text").to_pylist()
             # Keys of about equal size go through the rounds together.
             new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -317,8 +329,8 @@ def sorted_windows(parts: DataFrame) -> DataFrame:
             lot = np.cumsum(size[ranked]) // SORT_BYTES
             for chosen in np.split(ranked, np.flatnonzero(np.diff(lot)) + 1):
                 rows = np.concatenate([np.arange(new[g], stop[g]) for g in chosen])
-                found = equal_windows([texts[r] for r in rows], keys[rows], doc[rows], first[rows].astype(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1].astype(np.int32)), pa.array(found[2].astype(np.int32))], ["doc", "start", "end"])
+                found = equal_windows([texts[r] for r in rows], keys[rows], doc[rows], first[rows].astype(np.int64), row[rows])
+                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])] + [pa.array(x.astype(np.int32)) for x in found[2:]], ["doc", "row", "start", "end"])
 
         held: list[pa.RecordBatch] = []
         rows = 0
@@ -340,7 +352,7 @@ def sorted_windows(parts: DataFrame) -> DataFrame:
         if held:
             yield from judge(pa.Table.from_batches(held))
 
-    return dealt.mapInArrow(run, "doc long, start int, end int")
+    return dealt.mapInArrow(run, "doc long, row long, start int, end int")
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
@@ -358,17 +370,17 @@ OUT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans arr
 
 def cut(docs: DataFrame, spans: DataFrame, texts: bool) -> DataFrame:
     """Every document with what is removed and what is left; `texts` adds the bytes left."""
-    lists = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # within one document
+    lists = spans.groupBy("doc", "row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # within one document
     lists = written(lists.withColumnRenamed("doc", "doc_id"), "spans")
-    ids = lists.select("doc_id")
-    chosen = docs.select("doc_id", "text")
+    ids = lists.select("doc_id", "row")
+    chosen = docs.select("doc_id", "text", row_hash())
     kind = lists.schema["spans"].dataType
     if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:  # only documents with repeats are shuffled
-        touched = chosen.join(F.broadcast(ids), "doc_id", "left_semi").join(lists, "doc_id")
-        clean = chosen.join(F.broadcast(ids), "doc_id", "left_anti").withColumn("spans", F.lit(None).cast(kind))
-        rows = touched.select("doc_id", "text", "spans").unionByName(clean)
+        touched = chosen.join(F.broadcast(ids), ["doc_id", "row"], "left_semi").join(lists, ["doc_id", "row"])
+        clean = chosen.join(F.broadcast(ids), ["doc_id", "row"], "left_anti").withColumn("spans", F.lit(None).cast(kind))
+        rows = touched.select("doc_id", "text", "spans").unionByName(clean.select("doc_id", "text", "spans"))
     else:
-        rows = chosen.join(lists, "doc_id", "left")
+        rows = chosen.join(lists, ["doc_id", "row"], "left").select("doc_id", "text", "spans")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,7 +393,7 @@ def cut(docs: DataFrame, spans: DataFrame, texts: bool) -> DataFrame:
             for i in range(part.num_rows):
                 raw = data[offsets[i] : offsets[i + 1]].tobytes()
                 a, b = starts[bounds[i] : bounds[i + 1]], ends[bounds[i] : bounds[i + 1]]
-                runs = merged(a[b <= len(raw)], b[b <= len(raw)]) if len(a) and lists[i].is_valid else []
+                runs = merged(a, b) if len(a) and lists[i].is_valid else []
                 left = b"".join(raw[x:y] for x, y in zip([0, *[r[1] for r in runs]], [*[r[0] for r in runs], len(raw)], strict=True))
                 row = (len(raw), len(raw) - len(left), len(runs), hashlib.sha256(left).hexdigest(), [{"start": x, "end": y} for x, y in runs], left if texts else None)
                 for column, value in zip(out, row, strict=True):
@@ -400,14 +412,15 @@ def remove_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
     leads = parts.where("NOT own")
     classes = leads.groupBy("key", "same").agg(F.min("doc").alias("lead"), F.count(F.lit(1)).alias("n"))
     classes = written(classes, "classes")
-    keys = classes.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
-    keys = written(keys, "keys")
-    flagged = classes.join(keys, "key", "left").withColumn("open", F.col("texts").isNotNull()).where("n > 1 OR open")
-    placed = class_join(leads, written(flagged, "flagged"), ["key", "same"], ["lead", "texts"], "n", ["doc", "first"])
-    placed = written(placed.where("doc > lead OR (doc = lead AND texts IS NOT NULL)"), "placed")
+    several = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    flagged = classes.join(written(several, "keys"), "key", "left").withColumn("open", F.col("classes").isNotNull()).where("n > 1 OR open")
+    placed = class_join(leads, written(flagged, "flagged"), ["key", "same"], ["lead", "open"], "n", ["doc", "first"])
+    placed = written(placed.where("doc > lead OR (doc = lead AND open)"), "placed")
     copies = placed.where("doc > lead")
-    firsts = placed.where("doc = lead").dropDuplicates(["key", "same"])
-    halves = written(with_texts(numbered, firsts.select("key", "doc", "place", "first", "last", "texts")), "halves")
+    firsts = written(placed.where("doc = lead").dropDuplicates(["key", "same", "row"]), "firsts")
+    counted = written(firsts.groupBy("key").agg(F.count(F.lit(1)).alias("texts")), "texts")
+    firsts = class_join(firsts.select("key", "doc", "row", "place", "first", "last"), counted, ["key"], ["texts"], "texts", ["doc", "first"])
+    halves = written(with_texts(numbered, firsts.select("key", "doc", "row", "place", "first", "last", "texts")), "halves")
     few = F.col("texts") <= TEXTS
     eighths_spans, eighths = collapse(subdivide(halves.where(~few), EIGHTHS), True)
     singles_spans, _ = collapse(subdivide(eighths.where(~few), SINGLES), False)

@@ -129,6 +129,25 @@ def test_repeats_with_repeated_and_null_ids(documents):
     assert sorted((r.doc_id or -1, r.n_removed) for r in found) == [(-1, 0), (1, 0), (2, len(text)), (2, len(text))]
 
 
+def test_repeats_of_rows_that_share_an_id(documents):
+    rng = random.Random(12)
+    a, b, c = (babble(rng, 40)[:150].ljust(150, "x") for _ in range(3))
+    fresh = [babble(rng, 60, 4000) for _ in range(4)]
+    rows = [(1, f"{a} {fresh[0]}", "s"), (2, f"{a} {b} {fresh[1]}", "s"), (2, f"{fresh[2]} {b} {c} {a}", "s"), (2, f"{c}|{c}", "s"), (3, f"{b} {fresh[3]} {c}", "s")]
+    rows += [(k, f"{fresh[k % 4][:50]}{k} {a} {k}", "s") for k in range(20, 50) for _ in range(2)] + [(20, f"{a} other {fresh[3]}", "s")]
+    found = repeats.remove_repeats(documents(rows), texts=True).collect()
+
+    def kept(i, text):
+        earlier = [t for j, t, _ in rows if j < i]
+        gone = [False] * len(text)
+        for at in range(len(text) - 99):
+            if any(text[at : at + 100] in t for t in earlier) or text.find(text[at : at + 100]) < at:
+                gone[at : at + 100] = [True] * 100
+        return "".join(x for x, g in zip(text, gone, strict=True) if not g)
+
+    assert sorted((r.doc_id, r.kept.decode()) for r in found) == sorted((i, kept(i, t)) for i, t, _ in rows)
+
+
 def test_items_in_documents_against_sets(spark, documents):
     rng = random.Random(8)
     items = [(k, babble(rng, rng.choice([2, 5, 9, 40, 200])), "x") for k in range(30)] + [(40, None, "x"), (41, "", "x"), (None, "a b c d e f", "x")]
