@@ -375,10 +375,10 @@ EXPRESSIONS = {
     ".//form": False, "//field[@name='c']": False, "//group/field[1]": True, "//sheet/field[2]": False, "//field[last()]": True,
     "//field[@name='b'][@k='1']": True, "//field[@name='b' and @k='1']": True, "//field[@name='a' and @k='1']": False,
     "sheet/field[contains(@name, 'a')]": True, "field[contains(@name, 'a')]": False, "//*[@k]": True, "//x | //group": True,
-    "count(//field) > 1": None, "//field[": None, "nosuch(//field)": None, ".": True, "//group/..": True,
+    "count(//field) > 1": True, "//field[": None, "nosuch(//field)": None, ".": True, "//group/..": True,
     "//field[not(@k)]": True, "//field[@name!='a' and @name!='b']": False, "//field[@name='z' or starts-with(@name, 'b')]": True,
     "//sheet[@name='a|b'] | //field[1]": True, "/form//field[@k=\"1\"]": True, "..": True, "//group[text()='x']": False,
-    "//sheet/*[last()]/field": True, "//field[2][@k]": False, "following-sibling::x": None, "//": None, "": None,
+    "//sheet/*[last()]/field": True, "//field[2][@k]": False, "following-sibling::x": False, "//": None, "": None,
 }
 
 
