@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.llm import decontam, html_content, licences, mixing, neardup, neighbours, packing, quality, repeats, toxicity
+from tablelift.llm import decontam, html_content, licences, mixing, neardup, neighbours, packing, quality, repeats, toxicity, url_filter
 from tablelift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of repeated 100-byte strings, removed from all documents."""
     found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op13_url_filter", url_filter.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of the listed rules on the URL of every page."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.listed_rules(spark))
