@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.llm import decontam, html_content, licences, mixing, neardup, neighbours, packing, quality, repeats, toxicity, url_filter
+from tablelift.llm import decontam, html_content, lexical, licences, mixing, neardup, neighbours, packing, quality, repeats, toxicity, url_filter
 from tablelift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +99,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of the listed rules on the URL of every page."""
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.listed_rules(spark))
+
+
+@query("op12_lexical", lexical.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -1,10 +1,14 @@
 """URL filter, lexical search and hard negatives against brute force on small fixtures."""
 
+import math
+import random
 import re
+from collections import Counter
 
+import numpy as np
 import pytest
 
-from tablelift.llm import url_filter
+from tablelift.llm import lexical, url_filter
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -86,3 +90,94 @@ def test_url_filter_is_right_behind_a_filter_that_passes_everything(spark, monke
     pages = spark.createDataFrame([(i, f"http://w.h{i}.com/x") for i in range(0, 600, 7)], "page_id long, url string")
     found = url_filter.judge(pages, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()
     assert sorted((r.page_id, r.rule, r.verdict) for r in found) == [(i, f"h{i}.com/" if i < 300 else "com/", "block" if i < 300 else "allow") for i in range(0, 600, 7)]
+
+
+# ---------------------------------------------------------------- lexical search
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms_of(text):
+    return [t.translate(LOWER) for t in TERM.findall(text or "")]
+
+
+def ranked(docs, items, top=10):
+    """(item_id, rank, doc_id, score) by the formula, over all pairs."""
+    counts = [(i, Counter(terms_of(t))) for i, t in docs if terms_of(t)]
+    n_docs, n_words = len(counts), sum(c.total() for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    asked = {}
+    for item, text in items:
+        if item is not None:
+            asked.setdefault(item, set()).update(terms_of(text))
+    out = []
+    for item, terms in asked.items():
+        scored = []
+        for doc_id, c in counts:
+            m = 100 - 90 + (90 * c.total() * n_docs) // n_words
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 8 * m)) for t in terms if c[t])
+            if score > 0:
+                scored.append((-score, doc_id is None, doc_id or 0))
+        out += [(item, k + 1, None if none else i, -s) for k, (s, none, i) in enumerate(sorted(scored)[:top])]
+    return sorted(out, key=repr)
+
+
+def lexical_tables(spark, docs, items):
+    d = spark.createDataFrame([(i, t, 1.0, "x", 3, 4, "y") for i, t in docs], "doc_id long, text string, score double, Terms string, N int, `a.b` int, task string")
+    q = spark.createDataFrame([(i, t, 1, "x") for i, t in items], "item_id long, text string, w int, Block string")
+    return d.repartition(3), q
+
+
+def lexical_corpus(seed):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(150)] + ["Élan", "ÉLAN", "naïve", "x2", "日本"]
+    weights = [1 / (k + 1) for k in range(len(words))]
+
+    def text(n):
+        return "".join(w.upper() + ", " if rng.random() < 0.3 else w + " _" for w in rng.choices(words, weights, k=n))
+
+    docs = [(i, text(rng.choice([0, 1, 2, 5, 30, 80]))) for i in range(250)]
+    docs += [(i, docs[40][1]) for i in range(250, 330)] + [(7, docs[41][1]), (7, docs[41][1]), (None, docs[41][1]), (None, docs[40][1])]  # copies, repeated and missing ids
+    docs += [(400, None), (401, ""), (402, " \t.;"), (403, text(20_000)), (404, "A" * 700_000 + " w1 w2"), (405, "w1 " * 250_000), (-3, docs[40][1])]
+    items = [(i, text(rng.choice([1, 3, 12, 40]))) for i in range(40)] + [(1, "w149 x2"), (None, "w1"), (50, None), (51, ""), (52, "nowhere else"), (53, docs[40][1])]
+    return docs, items + [(54, "w1 " * 10), (55, "a" * 700_000)]
+
+
+@pytest.mark.parametrize("block, leaf, query_terms", [(8192, 8, 1 << 20), (16, 1, 100), (50, 3, 40)])
+def test_lexical_search_against_all_pairs(spark, block, leaf, query_terms):
+    docs, items = lexical_corpus(block)
+    found = lexical.search(*lexical_tables(spark, docs, items), block=block, leaf=leaf, query_terms=query_terms)
+    assert found.columns == ["item_id", "rank", "doc_id", "score"]
+    assert sorted(map(tuple, found.collect()), key=repr) == ranked(docs, items)
+
+
+def test_lexical_search_of_nothing(spark):
+    docs, items = lexical_corpus(1)
+    for d, q in ((docs, []), ([], items), ([], []), ([(1, None)], items), (docs, [(1, "nowhere")])):
+        assert lexical.search(*lexical_tables(spark, d, q)).collect() == []
+    assert [tuple(r) for r in lexical.search(*lexical_tables(spark, [(5, "a b")], [(1, "B c")])).collect()] == ranked([(5, "a b")], [(1, "B c")])
+
+
+def test_ball_trees_prune_and_lose_nothing(spark):
+    rng = np.random.default_rng(3)
+    width, n = 60, 2000
+    sets = [np.unique(rng.integers(0, width, 8) // (1 + rng.integers(0, 4))) for _ in range(n)]
+    ptr = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    rows = lexical.Rows(ptr, np.concatenate(sets), rng.integers(1, 10**6, ptr[-1]))
+    weight = rng.integers(1, 9000, width)
+    tree = lexical.BallTree(rows, weight, 8)
+    full = np.zeros((n, width), np.int64)
+    full[np.repeat(np.arange(n), np.diff(ptr)), rows.term] = rows.value * weight[rows.term]
+    assert sorted(tree.order.tolist()) == list(range(n))
+    looked = 0
+    for _ in range(50):
+        query = np.unique(rng.integers(0, width, 6))
+        bounds = tree.bounds(query)
+        scores = full[:, query].sum(axis=1)[tree.order]
+        assert all(scores[a:b].max() <= bounds[k] for k, (a, b, _) in enumerate(tree.nodes))
+        best, dense = lexical.Best(10), np.zeros(width, np.int64)
+        dense[query] = weight[query]
+        looked += tree.search(query, dense, list(range(n)), best)
+        want = sorted(((-s, i) for i, s in enumerate(full[:, query].sum(axis=1).tolist()) if s), key=lambda x: x)[:10]
+        assert sorted((-s, -i) for s, _, i in best.held) == want
+    assert looked < 0.8 * 50 * n
