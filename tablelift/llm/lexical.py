@@ -247,9 +247,9 @@ class BallTree:
 class Best:
     """The TOP best (score, id) seen; ties go to the smaller id, none comes last."""
 
-    def __init__(self, top: int):
-        self.top, self.held = top, []
-        self.floor = 1  # a score that is worth offering
+    def __init__(self, top: int, least: int = 1):
+        self.top, self.least, self.held = top, least, []
+        self.floor = least  # a score that is worth offering
 
     def offer(self, score: int, doc_id: int | None) -> None:
         entry = (score, doc_id is not None, -(doc_id or 0))
@@ -258,7 +258,7 @@ class Best:
         elif entry > self.held[0]:
             heapq.heapreplace(self.held, entry)
         if len(self.held) == self.top:
-            self.floor = max(1, self.held[0][0])
+            self.floor = max(self.least, self.held[0][0])
 
 
 class Queries:

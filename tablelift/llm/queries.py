@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.llm import decontam, html_content, lexical, licences, mixing, neardup, neighbours, packing, quality, repeats, toxicity, url_filter
+from tablelift.llm import decontam, hard_negatives, html_content, lexical, licences, mixing, neardup, neighbours, packing, quality, repeats, toxicity, url_filter
 from tablelift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,3 +105,9 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_hard_negatives", hard_negatives.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five hardest negatives of every anchor and positive."""
+    return hard_negatives.mine(hard_negatives.quantised(table(spark, sf_dir, "embeddings")))

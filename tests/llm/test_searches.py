@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tablelift.llm import lexical, url_filter
+from tablelift.llm import hard_negatives, lexical, url_filter
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -181,3 +181,91 @@ def test_ball_trees_prune_and_lose_nothing(spark):
         want = sorted(((-s, i) for i, s in enumerate(full[:, query].sum(axis=1).tolist()) if s), key=lambda x: x)[:10]
         assert sorted((-s, -i) for s, _, i in best.held) == want
     assert looked < 0.8 * 50 * n
+
+
+# ---------------------------------------------------------------- hard negatives
+
+
+def mined(rows, every=100, count=5, low=80, high=100):
+    """All (anchor, positive, rank, negative, scores) by looking at every pair."""
+    once = {}
+    for i, label, x in rows:
+        if i is None or label is None or x is None or any(v is None or abs(v) > hard_negatives.LARGEST for v in x):
+            continue
+        once[i] = min(once.get(i, (label, x)), (label, x))
+    out = []
+    for a, (label, x) in once.items():
+        if a % every:
+            continue
+        scored = sorted((-sum(p * q for p, q in zip(x, y, strict=True)), i, m == label) for i, (m, y) in once.items() if i != a and len(y) == len(x))
+        for ps, positive, _ in [s for s in scored if s[2]][:count]:
+            fitting = [s for s in scored if not s[2] and low * -ps <= high * -s[0] <= high * -ps][:count]
+            out += [(a, positive, k + 1, i, -ps, -s) for k, (s, i, _) in enumerate(fitting)]
+    return sorted(out)
+
+
+def clustered_vectors(seed, n, dim=12, spread=25):
+    rng = np.random.default_rng(seed)
+    centres = rng.integers(-200, 200, (6, dim))
+    rows = []
+    for i in range(n):
+        crowd = i % 3 == 0  # a third of all rows in one place
+        x = centres[0 if crowd else rng.integers(0, 6)] + rng.integers(-2 if crowd else -spread, 3 if crowd else spread, dim)
+        rows.append((i - 50, int(rng.integers(0, 2 if crowd else 4)), x.tolist()))
+    return rows
+
+
+AWKWARD = [
+    (None, 1, [1] * 12), (4000, None, [1] * 12), (4001, 1, None), (4002, 1, [1, None] * 6), (4100, 0, [0] * 12), (4003, 0, [0] * 12), (4004, 1, [0] * 12),
+    (4200, 2, [5, 5]), (4201, 2, [5, 4]), (4202, 3, [5, 4]), (4203, 3, [4, 4]), (4300, 1, []), (4301, 1, []), (4302, 2, []), (4400, 9, [7] * 12),
+    (4500, 1, [1 << 26, 1 << 26, 3]), (4501, 1, [1 << 26, 1 << 26, 2]), (4502, 2, [1 << 26, 1 << 26, 1]), (4503, 1, [1 << 27, 0, 0]), (4600, 1, [-9, 3]), (4601, 1, [8, 1]), (4602, 4, [8, 1]),
+]
+
+
+@pytest.mark.parametrize("block, clusters, members", [(8192, 64, 512), (40, 3, 2), (7, 1, 1)])
+def test_hard_negatives_against_all_pairs(spark, monkeypatch, block, clusters, members):
+    monkeypatch.setattr(hard_negatives, "MEMBERS", members)
+    monkeypatch.setattr(hard_negatives, "LEAST_BLOCK", 5)
+    monkeypatch.setattr(hard_negatives, "STEP", 9)
+    rows = clustered_vectors(block, 700) + AWKWARD
+    rows += [(i, 1, rows[60][2]) for i in range(800, 900)] + [(50, 0, rows[61][2]), (50, 0, rows[61][2]), (51, 3, rows[62][2])]  # copies and repeated ids
+    named = [(*r, "b", 1, 2, "k") for r in rows]
+    table = spark.createDataFrame(named, "vec_id long, label int, x array<long>, Block string, dim int, `a.b` int, chunk string").repartition(4)
+    found = hard_negatives.mine(table, every=50, block=block, clusters=clusters)
+    assert found.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    want = mined(rows, every=50)
+    assert len(want) > 100
+    assert sorted(map(tuple, found.collect())) == want
+
+
+def test_hard_negatives_of_few_rows(spark):
+    schema = "vec_id long, label int, x array<long>"
+    for rows in ([], [(100, 1, [1, 2])], [(100, 1, [1, 2]), (1, 1, [1, 1])], [(100, 1, [1, 2]), (1, 2, [1, 1])], [(100, 1, [1, 2]), (1, 1, [1, 1]), (2, 2, [3, 0])]):
+        assert sorted(map(tuple, hard_negatives.mine(spark.createDataFrame(rows, schema)).collect())) == mined(rows)
+
+
+def test_components_as_the_query_wants_them(spark):
+    rows = [(1, 3, [0.5, -0.001]), (7, 9, [1.0]), (14, 3, [0.1]), (3, 1, [float("nan")]), (4, 1, [float("inf")]), (5, 1, [None, 1.0]), (6, 1, None), (8, None, [1.0]), (None, 1, [2.0])]
+    found = hard_negatives.quantised(spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>")).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted([(1, 3, [128, -1]), (7, 0, [256]), (14, 4, [25]), (8, None, [256]), (None, 1, [512])], key=repr)
+
+
+def test_lists_are_left_early_in_clustered_vectors():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(20, 32))
+    x = np.floor(256 * (centres[rng.integers(0, 20, 4000)] + 0.1 * rng.normal(size=(4000, 32)))).astype(int)
+    mine = np.floor(256 * (centres[3] + 0.1 * rng.normal(size=(30, 32)))).astype(int)
+
+    def rows(vectors, first):
+        return pa.table({"vec_id": range(first, first + len(vectors)), "label": rng.integers(0, 2, len(vectors)), "x": vectors.tolist(), "wanted": [[]] * len(vectors)})
+
+    members, block = hard_negatives.Members(rows(mine, 10_000), 32), hard_negatives.Block(rows(x, 0), 32)
+    found, shown = hard_negatives.best_positives(members, block, 5)
+    scores = mine @ x.T
+    for i in range(30):
+        same = np.flatnonzero(block.labels == members.labels[i])
+        want = sorted((-int(scores[i, k]), int(k)) for k in same)[:5]
+        assert sorted((-s, p) for a, p, s in found if a == 10_000 + i) == want
+    assert shown < 0.5 * 0.5 * 30 * 4000  # half of the rows have a member's label
