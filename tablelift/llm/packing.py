@@ -13,14 +13,20 @@ A row has: the ids as little-endian numbers padded with the end id to `length` (
 matrix), cumulative segment lengths from 0 to the ids used, the places where positions restart at
 0, and for each segment its doc_id and first id within the document.
 
-Defined results: null and empty texts have the end id alone; null doc_ids stay null in the lists;
-repeated documents are packed each; an empty table packs to no rows; texts that hold the name of a
+The pattern's engine recurses once per character of white space, and would overflow in a run of a million.
+Runs of more than WHITE_RUN characters are therefore taken out before it sees the text, but for the last
+character, which belongs to the next word, and are encoded WHITE_RUN characters at a time: the ids of
+such a run are not the fewest, and nothing is lost.  All other texts have the ids of the pattern as it is.
+
+Defined results: null and empty texts have the end id alone; ids may be of any plain type, and null ones
+stay null in the lists; repeated documents are packed each; an empty table packs to no rows; texts that hold the name of a
 special token are ordinary text; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from array import array
 from collections.abc import Iterator
 from pathlib import Path
@@ -36,7 +42,11 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LENGTH = 2048
 HORIZON = 2 << 20  # ids packed together
-SCHEMA = "pack_id long, n_tokens int, ids binary, cu_seqlens array<int>, resets array<int>, doc_ids array<long>, piece_at array<long>"
+SCHEMA = "pack_id long, n_tokens int, ids binary, cu_seqlens array<int>, resets array<int>, doc_ids array<{}>, piece_at array<long>"
+WHITE_RUN = 4096
+# Fixed value: the characters that the pattern's `\s` stands for.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_WHITE = re.compile(f"[{WHITE}]{{{WHITE_RUN + 1},}}")
 
 
 def encoder(ranks_file: bytes):
@@ -47,6 +57,19 @@ def encoder(ranks_file: bytes):
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), max(ranks.values()) + 1
 
 
+def token_ids(encoding, text: str) -> array:
+    """The ids of a text; long white space goes past the pattern in pieces."""
+    ids, start = array("I"), 0
+    for run in LONG_WHITE.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids.extend(encoding.encode_ordinary(text[start : run.start()]))
+        for at in range(run.start(), end, WHITE_RUN):
+            ids.extend(encoding.encode_ordinary(text[at : min(end, at + WHITE_RUN)]))
+        start = end
+    ids.extend(encoding.encode_ordinary(text[start:]))
+    return ids
+
+
 class Capacities:
     """Open rows by free capacity; a segment tree answers which least capacity suffices."""
 
@@ -100,7 +123,7 @@ def best_fit(sizes: list[int], length: int) -> list[list[int]]:
     return rows
 
 
-def pack_pieces(pieces: list[tuple[int | None, int, np.ndarray]], length: int, pad: int, first_id: int) -> pa.RecordBatch:
+def pack_pieces(pieces: list[tuple[object, int, np.ndarray]], length: int, pad: int, first_id: int, id_type: pa.DataType) -> pa.RecordBatch:
     """Packed rows of the (doc_id, place in the document, ids) pieces."""
     rows = best_fit([len(p[2]) for p in pieces], length)
     kind = np.uint16 if pad < 1 << 16 else np.uint32
@@ -118,7 +141,7 @@ def pack_pieces(pieces: list[tuple[int | None, int, np.ndarray]], length: int, p
         [
             pa.array(range(first_id, first_id + len(rows)), pa.int64()), pa.array(used, pa.int32()), pa.array(ids, pa.binary()),
             pa.array(lengths, pa.list_(pa.int32())), pa.array([x[:-1] for x in lengths], pa.list_(pa.int32())),
-            pa.array(docs, pa.list_(pa.int64())), pa.array(at, pa.list_(pa.int64())),
+            pa.array(docs, pa.list_(id_type)), pa.array(at, pa.list_(pa.int64())),
         ],
         ["pack_id", "n_tokens", "ids", "cu_seqlens", "resets", "doc_ids", "piece_at"],
     )
@@ -135,23 +158,25 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGTH, ho
         encoding, end = encoder(ranks.value)
         kind = np.uint16 if end < 1 << 16 else np.uint32
         pieces, held = [], 0
-        next_id = TaskContext.get().partitionId() << 40
+        next_id, id_type = TaskContext.get().partitionId() << 40, pa.null()
         for part in slices(batches, "text"):
+            id_type = part.schema.field("doc_id").type
             for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                tokens = array("I", encoding.encode_ordinary(text or ""))
+                tokens = token_ids(encoding, text or "")
                 tokens.append(end)
                 ids = np.frombuffer(tokens, np.uint32).astype(kind)
                 pieces += [(doc_id, at, ids[at : at + length]) for at in range(0, len(ids), length)]
                 held += len(ids)
             if held >= horizon:
-                packed = pack_pieces(pieces, length, end, next_id)
+                packed = pack_pieces(pieces, length, end, next_id, id_type)
                 next_id += packed.num_rows
                 pieces, held = [], 0
                 yield packed
         if pieces:
-            yield pack_pieces(pieces, length, end, next_id)
+            yield pack_pieces(pieces, length, end, next_id, id_type)
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    chosen = docs.select("doc_id", "text")
+    return chosen.mapInArrow(run, SCHEMA.format(chosen.schema["doc_id"].dataType.simpleString()))
 
 
 def documents_of(packed: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -163,6 +188,7 @@ def documents_of(packed: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         kind = "<u2" if end < 1 << 16 else "<u4"
         for batch in batches:
             out: tuple[list, list, list] = ([], [], [])
+            id_type = batch.schema.field("doc_ids").type.value_type
             for ids, bounds, docs, at in zip(*(batch.column(c).to_pylist() for c in ("ids", "cu_seqlens", "doc_ids", "piece_at")), strict=True):
                 row = np.frombuffer(ids, kind)
                 for k, doc_id in enumerate(docs):
@@ -171,7 +197,8 @@ def documents_of(packed: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                     out[1].append(at[k])
                     out[2].append(encoding.decode_bytes(tokens[tokens != end].tolist()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], ["doc_id", "piece_at", "piece"]
+                [pa.array(out[0], id_type), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], ["doc_id", "piece_at", "piece"]
             )
 
-    return packed.mapInArrow(run, "doc_id long, piece_at long, piece binary")
+    id_kind = packed.schema["doc_ids"].dataType.elementType.simpleString()
+    return packed.mapInArrow(run, f"doc_id {id_kind}, piece_at long, piece binary")

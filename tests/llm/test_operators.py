@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -214,6 +215,35 @@ def test_mix_runs_no_python(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_long_white_space_goes_past_the_pattern():
+    encoding, _ = packing.encoder(Path(packing.VOCABULARY).read_bytes())
+    for white in (" ", "\n", "\u3000", " \t"):
+        for n in (1, 2, 3000, packing.WHITE_RUN // len(white)):  # the pattern alone
+            for text in ("x" + white * n + "y", white * n, white * n + "?", "x" + white * n, "a  b" + white * n + " c" + white * n + "\nd"):
+                if not packing.LONG_WHITE.search(text):
+                    assert packing.token_ids(encoding, text).tolist() == encoding.encode_ordinary(text)
+        for n in (packing.WHITE_RUN + 1, 3 * packing.WHITE_RUN + 2, 1_000_000):
+            for text in ("x" + white * n + "y", white * n, white * n + "7", "x" + white * n, "é" + white * n + "z" + white * n + "!"):
+                assert encoding.decode_bytes(packing.token_ids(encoding, text).tolist()).decode() == text
+    text = "x" + " " * 5000 + "word"  # the last space belongs to the word, as ever
+    assert packing.token_ids(encoding, text).tolist()[-1:] == encoding.encode_ordinary(" word")[-1:]
+
+
+def test_packing_of_very_long_texts_of_one_class(documents):
+    kinds = [" ", "\n", "a", "7", "!", "\0", "日", "😀", "\u0301", "ab ", "\u3000 "]
+    rows = [(i, "x" + kind * (1_000_000 // len(kind)) + "y", "s") for i, kind in enumerate(kinds)] + [(99, " " * 10_000_000, "s"), (98, "b" * 10_000_000, "s")]
+    texts = {}
+    for r in sorted(packing.documents_of(packing.pack(documents(rows))).collect(), key=lambda r: r.piece_at):
+        texts[r.doc_id] = texts.get(r.doc_id, b"") + bytes(r.piece)
+    assert {i: t.decode() for i, t in texts.items()} == {i: t for i, t, _ in rows}
+
+
+def test_packing_keeps_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("a", "one two"), (None, "three"), ("a", None)], "doc_id string, text string")
+    found = packing.documents_of(packing.pack(docs)).collect()
+    assert sorted((r.doc_id or "", bytes(r.piece)) for r in found) == [("", b"three"), ("a", b""), ("a", b"one two")]
+
+
 def test_packing_round_trip(documents):
     rows = corpus() + [(None, "no id", "s"), (3, "again three", "s"), (300, "<|endoftext|> <s>", "s")]
     packed = packing.pack(documents(rows), length=64, horizon=4096)
