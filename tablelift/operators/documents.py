@@ -7,18 +7,19 @@ travel through a join only where two of them have to meet.
 
 from __future__ import annotations
 
-import re
 import xml.etree.ElementTree as ET
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from xml.parsers.expat import ExpatError
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablelift.functions import all_matches, path_without_root, shorten
-from tablelift.operators.sequence import collect_in_pieces, surrogate_keys
+from tablelift.operators.sequence import collect_in_pieces
+from tablelift.operators.xpath import Document, finds, read
 from tablelift.scale import lookup_join, materialise
 
 # fixed values: names and tags that are not field references
@@ -28,7 +29,6 @@ ACTION_TAGS = ("button", "a")
 # fixed values: where expressions stand in a document, and how much of an error is kept
 XPATH_ATTRIBUTE = r"<xpath[^>]+expr=\"([^\"]+)\""
 ERROR_LENGTH = 200
-EXPRESSIONS_PER_JOB = 50
 
 
 def extract_exprs(
@@ -170,120 +170,6 @@ def field_refs_missing(
     return lookup_join(names, known, ["model", "name"], "left_anti").select("view_id", "model", "tag", "name")
 
 
-# What the tasks evaluate themselves: steps down or up, with attribute, position and text tests.
-# fixed values: the form of one step and of one test
-_STEP = re.compile(r"(?P<name>\.\.|\.|\*|[A-Za-z_][\w.-]*)(?P<tests>(?:\[(?:[^\[\]'\"]|'[^']*'|\"[^\"]*\")*\])*)$")
-_TEST = re.compile(
-    r"@(?P<has>[\w:.-]+)$"
-    r"|@(?P<left>[\w:.-]+)\s*(?P<sign>!?=)\s*(?P<value>'[^']*'|\"[^\"]*\")$"
-    r"|(?P<call>contains|starts-with)\(\s*@(?P<arg>[\w:.-]+)\s*,\s*(?P<part>'[^']*'|\"[^\"]*\")\s*\)$"
-    r"|text\(\)\s*=\s*(?P<text>'[^']*'|\"[^\"]*\")$"
-    r"|hasclass\(\s*(?P<cls>'[^']*'|\"[^\"]*\")\s*\)$"
-)
-_QUOTED = r"'[^']*'|\"[^\"]*\""
-
-
-def _pieces(text: str, separator: str) -> list[str]:
-    """The text cut at a separator that stands outside quotes and brackets."""
-    pieces, depth, start = [], 0, 0
-    for token in re.finditer(rf"{_QUOTED}|[\[(]|[\])]|{separator}", text):
-        if token[0] in "[(":
-            depth += 1
-        elif token[0] in "])":
-            depth -= 1
-        elif depth == 0 and token[0][0] not in "'\"":
-            pieces.append(text[start : token.start()])
-            start = token.end()
-    return [*pieces, text[start:]]
-
-
-def _condition(test: str) -> Callable[[ET.Element], bool]:
-    """One test on an element; ValueError for what the tasks do not evaluate."""
-    for word, combine in ((r"\sor\s", any), (r"\sand\s", all)):
-        parts = _pieces(test, word)
-        if len(parts) > 1:
-            checks = [_condition(part) for part in parts]
-            return lambda e: combine(check(e) for check in checks)
-    test = test.strip()
-    if test.startswith("not(") and test.endswith(")"):
-        check = _condition(test[4:-1])
-        return lambda e: not check(e)
-    found = _TEST.match(test)
-    if found is None:
-        raise ValueError(test)
-    if found["has"]:
-        return lambda e: found["has"] in e.attrib
-    if found["left"]:
-        equal, value = found["sign"] == "=", found["value"][1:-1]
-        return lambda e: found["left"] in e.attrib and (e.get(found["left"]) == value) == equal
-    if found["call"]:
-        part = found["part"][1:-1]
-        held = str.__contains__ if found["call"] == "contains" else str.startswith
-        return lambda e: held(e.get(found["arg"], ""), part)
-    if found["cls"]:
-        return lambda e: found["cls"][1:-1] in e.get("class", "").split()
-    return lambda e: found["text"][1:-1] in [e.text, *[child.tail for child in e]]
-
-
-def _path(expression: str) -> list[tuple[bool, str, list]]:
-    """Steps (deep, name, tests) of one path; ValueError for what the tasks do not evaluate."""
-    steps = []
-    for n, piece in enumerate(_pieces(expression, "/")):
-        if piece == "":
-            if n == 0:
-                steps.append((False, "/", []))
-            elif steps and steps[-1][1] != "//":
-                steps.append((True, "//", []))
-            else:
-                raise ValueError(expression)
-            continue
-        found = _STEP.match(piece.strip())
-        if found is None:
-            raise ValueError(expression)
-        tests = []
-        for token in re.findall(rf"\[((?:[^\[\]'\"]|{_QUOTED})*)\]", found["tests"]):
-            token = token.strip()
-            tests.append(int(token) if token.isdigit() else -1 if token == "last()" else _condition(token))
-        deep = bool(steps) and steps[-1][1] == "//"
-        if deep:
-            steps.pop()
-        steps.append((deep, found["name"], tests))
-    if steps and steps[-1][1] in ("/", "//"):
-        raise ValueError(expression)
-    return steps
-
-
-def _matches(root: ET.Element, parents: dict, expression: str) -> bool:
-    """Does the expression find anything, starting at the root element?  ValueError if it is beyond the tasks."""
-    for path in [_path(alternative.strip()) for alternative in _pieces(expression, r"\|")]:
-        holder = parents[root]
-        nodes = [root]
-        for deep, name, tests in path:
-            if name == "/":
-                nodes = [holder]
-                continue
-            reached, seen = [], set()
-            starts = [below for node in nodes for below in node.iter()] if deep else nodes
-            for node in dict.fromkeys(starts):
-                if name in (".", ".."):
-                    chosen = [node] if name == "." else [parents[node]] if node in parents else []
-                else:
-                    chosen = [child for child in node if name in ("*", child.tag)]
-                for test in tests:
-                    if isinstance(test, int):
-                        chosen = chosen[-1:] if test < 0 else chosen[test - 1 : test] if test else []
-                    else:
-                        chosen = [e for e in chosen if test(e)]
-                for e in chosen:
-                    if e not in seen:
-                        seen.add(e)
-                        reached.append(e)
-            nodes = reached
-        if nodes:
-            return True
-    return False
-
-
 NOT_CHECKABLE = "not checkable here"
 INHERITS = f"{NOT_CHECKABLE}: the parent inherits"
 INVALID = "invalid expression"
@@ -324,136 +210,27 @@ def _document_exprs(views: DataFrame, view_id: str, parent: str, document: str,
 
 
 def _evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One parsed parent document per row against its own list of expressions; hits are left out.
+    """One parent document per row against its own list of expressions; hits are left out.
 
-    Expressions beyond the tasks come as one list `rest` with the document they are to be evaluated on.
+    A task reads each distinct expression once and each document once.
     """
     for batch in batches:
-        origin, exprs, errors, rests, documents = [], [], [], [], []
+        origin, missed, errors = [], [], []
         lists, inherits = batch.column("exprs").to_pylist(), batch.column("inherits").to_pylist()
         for row, text in enumerate(batch.column("document").to_pylist()):
-            root = _parse(text)
-            if root is None:
+            try:
+                document = Document(text)
+            except (ExpatError, ValueError):
                 continue
-            holder = ET.Element("document")
-            holder.append(root)
-            parents = {child: node for node in holder.iter() for child in node}
-            missed, rest = [], []
             for expression in lists[row]:
-                try:
-                    if not _matches(root, parents, expression):
-                        missed.append(expression)
-                except ValueError:
-                    rest.append(expression)
-            origin += [row] * (len(missed) + bool(rest))
-            exprs += missed + [None] * bool(rest)
-            errors += [INHERITS if inherits[row] else None] * len(missed) + [None] * bool(rest)
-            rests += [None] * len(missed) + [rest] * bool(rest)
-            documents += [None] * len(missed) + [text] * bool(rest)
+                expr = read(expression)
+                if isinstance(expr, str) or not finds(expr, document):
+                    origin.append(row)
+                    missed.append(expression)
+                    errors.append(f"{INVALID}: {expr}" if isinstance(expr, str) else INHERITS if inherits[row] else None)
         taken = pa.array(origin, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("parent_id").take(taken),
-                batch.column("inherits").take(taken),
-                pa.array(exprs, pa.string()),
-                pa.array(errors, pa.string()),
-                pa.array(rests, pa.list_(pa.string())),
-                pa.array(documents, pa.string()),
-            ],
-            ["parent_id", "inherits", "expr", "error", "rest", "document"],
-        )
-
-
-def _standard(expression: str) -> str:
-    """The expression with `hasclass` written in XPath 1.0."""
-
-    def classes(call: re.Match) -> str:
-        if call["names"] is None:
-            return call[0]
-        names = [name[1:-1] for name in re.findall(_QUOTED, call["names"])]
-        quoted = [f"'{name}'" if '"' in name else f'"{name}"' for name in (f" {n} " for n in names)]
-        held = [f"contains(concat(' ', normalize-space(@class), ' '), {name})" for name in quoted]
-        return "(" + " and ".join(held if all(n.split() == [n] for n in names) else ["false()"]) + ")"
-
-    return re.sub(rf"{_QUOTED}|\bhasclass\(\s*(?P<names>(?:{_QUOTED})(?:\s*,\s*(?:{_QUOTED}))*)\s*\)", classes, expression)
-
-
-def _reason(query: DataFrame) -> str | None:
-    """Why the query fails, in one line; None if it does not."""
-    try:
-        query.collect()
-    except Exception as error:  # the class differs between analysis and evaluation
-        return str(error).splitlines()[0]
-    return None
-
-
-def _rejected(spark: SparkSession, expressions: list[str]) -> dict[str, str]:
-    """Why XPath 1.0 rejects some of these expressions; valid ones are left out.
-
-    All are tried together on a tiny document, and one by one only if that fails.
-    """
-
-    def failure(tried: list[str]) -> str | None:
-        return _reason(spark.range(1).select(*[F.xpath_boolean(F.lit("<a/>"), F.lit(_standard(e))) for e in tried]))
-
-    if failure(expressions) is None:
-        return {}
-    reasons = {e: failure([e]) for e in expressions}
-    return {e: reason for e, reason in reasons.items() if reason}
-
-
-def _judged(rest: DataFrame, expressions: list[str]) -> DataFrame:
-    """(parent_id, expr, error) for those of the expressions that find nothing on a row that asks for them.
-
-    Spark starts at the document; inside the test of its root element the expression starts there.
-    """
-    hits = [
-        F.when(
-            F.array_contains("rest", F.lit(e)),
-            F.struct(F.lit(e).alias("expr"), F.xpath_boolean("document", F.lit(f"/*[boolean({_standard(e)})]")).alias("hit")),
-        )
-        for e in expressions
-    ]
-    asking = rest.where(F.arrays_overlap("rest", F.array(*[F.lit(e) for e in expressions])))
-    found = asking.select("parent_id", "inherits", F.inline(F.filter(F.array(*hits), lambda judged: judged.isNotNull())))
-    return found.where(~F.col("hit")).select("parent_id", "expr", F.when(F.col("inherits"), INHERITS).alias("error"))
-
-
-def _evaluate_rest(rest: DataFrame) -> list[DataFrame]:
-    """(parent_id, expr, error) of what needs full XPath 1.0, in written parts.
-
-    Spark's `xpath` wants a literal path, so the distinct expressions are numbered and taken in jobs
-    of a fixed number each, however many there are.  One that fails on the documents only is
-    `INVALID` too, unless it is the documents that Spark's parser does not take.
-    """
-    spark = rest.sparkSession
-    asked = rest.select("parent_id", F.explode("rest").alias("expr"))
-    distinct = materialise(surrogate_keys(asked.select("expr").distinct(), ["expr"], "__no"), "rest")
-    parts = []
-
-    def failed(expression: str, error: str) -> DataFrame:
-        return asked.where(F.col("expr") == F.lit(expression)).select("parent_id", "expr", F.lit(error).alias("error"))
-
-    for start in range(0, distinct.count(), EXPRESSIONS_PER_JOB):
-        within = (F.col("__no") > start) & (F.col("__no") <= start + EXPRESSIONS_PER_JOB)
-        listed = [row.expr for row in distinct.where(within).collect()]
-        errors = _rejected(spark, listed)
-        parts += [failed(e, f"{INVALID}: {reason}") for e, reason in errors.items()]
-        valid = [e for e in listed if e not in errors]
-        if not valid:
-            continue
-        try:
-            parts.append(materialise(_judged(rest, valid), "judged"))
-        except Exception:  # the class differs by cause; found expression by expression
-            for e in valid:
-                reason = _reason(_judged(rest, [e]).agg(F.count(F.lit(1))))
-                if reason is None:
-                    parts.append(materialise(_judged(rest, [e]), "judged"))
-                else:
-                    asking = rest.where(F.array_contains("rest", F.lit(e)))
-                    readable = _reason(asking.agg(F.count_if(F.xpath_boolean("document", F.lit("true()"))))) is None
-                    parts.append(failed(e, f"{INVALID if readable else NOT_CHECKABLE}: {reason}"))
-    return parts
+        columns = [batch.column("parent_id").take(taken), pa.array(missed, pa.string()), pa.array(errors, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["parent_id", "expr", "error"])
 
 
 def expr_targets_missing(
@@ -470,10 +247,9 @@ def expr_targets_missing(
     skipped; other checks report those.
 
     Each distinct (parent, expression) is evaluated once, inside the tasks and
-    only on its own document; a parent's document travels once per list of at
-    most `entries` expressions.  Expressions that use more than steps with
-    attribute, text and position tests are left to Spark's `xpath_boolean`,
-    `EXPRESSIONS_PER_JOB` distinct ones in a job.
+    only on its own document, by all of XPath 1.0 (`xpath.py`), starting at the
+    root element; a parent's document travels once per list of at most `entries`
+    expressions.  No job depends on how many expressions there are.
     The expressions `found` (view_id, parent_id, expr) may come from an earlier parse.
     """
     usable = F.col(document).isNotNull() & (F.col(document) != "") & ~has_doctype(F.col(document))
@@ -490,16 +266,9 @@ def expr_targets_missing(
     judged = (
         lookup_join(lists, documents, "parent_id", "inner")
         .select("parent_id", "exprs", "document", "inherits")
-        .mapInArrow(
-            _evaluate,
-            f"parent_id {parent_type}, inherits boolean, expr string, error string, rest array<string>, document string",
-        )
+        .mapInArrow(_evaluate, f"parent_id {parent_type}, expr string, error string")
     )
-    judged = materialise(judged, "judged")
-    misses = judged.where(F.col("rest").isNull()).select("parent_id", "expr", "error")
-    for part in _evaluate_rest(judged.where(F.col("rest").isNotNull()).select("parent_id", "inherits", "rest", "document")):
-        misses = misses.unionByName(part)
-    misses = materialise(misses.distinct(), "misses")
+    misses = materialise(judged.distinct(), "misses")
     return lookup_join(rows, misses, ["parent_id", "expr"], "inner").select("view_id", "parent_id", "expr", "error")
 
 

@@ -1,4 +1,5 @@
 import sys
+import uuid
 from pathlib import Path
 
 import pytest
@@ -56,6 +57,22 @@ def both(request):
     return request.param
 
 
+@pytest.fixture
+def jobs(spark):
+    """How many Spark jobs a call runs."""
+
+    def count(call):
+        group = uuid.uuid4().hex
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            call()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    return count
+
+
 class Bag(list):
     """A list of rows that compares without regard to order."""
 

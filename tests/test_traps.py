@@ -397,8 +397,7 @@ def test_expression_targets(frame, rows, both):
     assert {e for e, error in found.items() if error} == {e for e, hit in wanted.items() if hit is None}
 
 
-def test_expression_targets_beyond_the_tasks(frame, rows, both, monkeypatch):
-    monkeypatch.setattr(documents, "EXPRESSIONS_PER_JOB", 5)
+def test_expression_targets_of_all_forms(frame, rows, both):
     parent = "<form><sheet class=' x  oe '><!-- c --><field name='a'/><group><field name='b' k='1'/></group></sheet></form>"
     wanted = {
         "count(//field) > 1": True, "count(//field)": True, "count(//field) - 2": False, "count(//field) > 2": False, "sheet[position()=1]": True,
@@ -420,6 +419,17 @@ def test_expression_targets_beyond_the_tasks(frame, rows, both, monkeypatch):
         (8, "//a[", "invalid expression"), (8, "(//a)[1]", "not checkable here")]
 
 
+def test_jobs_do_not_grow_with_the_expressions(frame, jobs):
+    def targets(n):
+        forms = [f"//group[field][{i}]" for i in range(n)] + [f"count(//field) > {i}" for i in range(n)] + [f"//a[{i}" for i in range(n)]
+        child = "<data>" + "".join(f'<xpath expr="{e.replace(">", "&gt;")}"/>' for e in forms) + "</data>"
+        views = frame("id int, parent int, doc string", (1, None, PARENT), (2, 1, child))
+        found = documents.expr_targets_missing(views, "id", "parent", "doc", entries=50)
+        assert found.count() == (n - 1) + (n - 2) + n
+
+    assert jobs(lambda: targets(5)) == jobs(lambda: targets(300))
+
+
 def test_targets_in_what_a_parent_inherits_are_not_errors(frame, rows, both):
     doc = "<d><xpath expr=\"//field[@name='a']\"/></d>"
     views = frame("id int, parent int, doc string", (1, None, "<f><field name='a'/></f>"), (2, 1, "<d/>"), (3, 2, doc), (4, 3, doc), (5, 1, doc),
