@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelift.functions import is_true
+from tablelift.operators.chains import merges_from, renames_from
 from tablelift.operators.edit import delete_where
 from tablelift.operators.joins import one_per_key, update_from
 from tablelift.operators.sequence import surrogate_keys
@@ -178,50 +179,41 @@ class Renamed(NamedTuple):
 Pairs = Sequence[tuple[str, str]] | DataFrame
 
 
-def _live_pairs(master: DataFrame, column: str, pairs: Pairs) -> tuple[list[tuple[str, str]], set[str]]:
-    """The pairs that can count, in order, and which of their old names occur in the master table.
-
-    ``pairs`` is a list or a table (ord, old, new) of any length.  A pair can
-    count only if its old name occurs or is made by another pair that can, so
-    only those reach the driver: no more than the table has names to rename.
-    """
-    if not isinstance(pairs, DataFrame):
-        rows = [(n, old, new) for n, (old, new) in enumerate(pairs)]
-        pairs = listed_frame(master.sparkSession, rows, "ord long, old string, new string")
-    pairs = pairs.select("ord", "old", "new").where("old IS NOT NULL AND new IS NOT NULL AND old <> new")
+def _present(master: DataFrame, column: str, pairs: Sequence[tuple[str, str]]) -> set[str]:
+    """Which old names of a driver-held list occur in the master table: no more than the list has."""
+    old = listed_frame(master.sparkSession, [(n,) for n in sorted({old for old, _ in pairs if old is not None})], "old string")
     names = master.select(F.col(column).alias("old"))
-    hits = lookup_join(names, pairs.select("old").distinct(), "old", "left_semi").distinct()
-    present = {row.old for row in hits.collect()}
-    live: set[tuple[int, str, str]] = set()
-    reached = present
-    while reached:
-        frontier = listed_frame(master.sparkSession, [(n,) for n in sorted(reached)], "old string")
-        found = pairs.join(frontier, "old", "left_semi").select("ord", "old", "new").collect()
-        fresh = {tuple(row) for row in found} - live
-        live |= fresh
-        reached = {new for _, _, new in fresh}
-    return [(old, new) for _, old, new in sorted(live)], present
+    return {row.old for row in lookup_join(names, old, "old", "left_semi").distinct().collect()}
 
 
 def resolve_renames(pairs: Sequence[tuple[str, str]], present: set[str]) -> dict[str, str]:
     """Apply ordered pairs to a set of names; a pair counts only while its old name exists."""
     names, final = set(present), {}
+    carriers: dict[str, list[str]] = {}  # first names by the name they have now
     for old, new in pairs:
-        if old not in names or old == new:
+        if old not in names or old == new or new is None:
             continue
-        for start in [s for s, current in final.items() if current == old]:
-            final[start] = new
-        final.setdefault(old, new)
+        moved = carriers.pop(old, [])
+        if old not in final:
+            moved.append(old)
+        final.update(dict.fromkeys(moved, new))
+        carriers.setdefault(new, []).extend(moved)
         names.discard(old)
         names.add(new)
     return final
 
 
-def _map_values(df: DataFrame, column: str, final: Mapping[str, str]) -> DataFrame:
-    if not final:
-        return df
-    lookup = listed_frame(df.sparkSession, sorted(final.items()), "__old string, __final string")
-    joined = df.join(lookup, F.col(column) == F.col("__old"), "left")
+def _renames(master: DataFrame, column: str, pairs: Pairs) -> DataFrame | None:
+    """(old, new) of every renamed name; None if a list of pairs renames nothing."""
+    if isinstance(pairs, DataFrame):
+        return renames_from(pairs, master.select(F.col(column).alias("old")))
+    final = resolve_renames(pairs, _present(master, column, pairs))
+    return listed_frame(master.sparkSession, sorted(final.items()), "old string, new string") if final else None
+
+
+def _map_values(df: DataFrame, column: str, final: DataFrame) -> DataFrame:
+    lookup = final.select(F.col("old").alias("__old"), F.col("new").alias("__final"))
+    joined = lookup_join(df.withColumn("__old", F.col(column)), lookup, "__old")
     return joined.withColumn(column, F.coalesce("__final", column)).select(*df.columns)
 
 
@@ -233,22 +225,20 @@ def rename_cascade(
 ) -> Renamed:
     """Apply ordered renames in a master table and in its dependants.
 
-    ``columns`` names the column that holds the name in each table.  The pairs,
-    a list or a table (ord, old, new), are resolved first, so each table is
-    read once however many pairs there are.  Names that two master rows would share
-    afterwards come back as `collisions`.
+    ``columns`` names the column that holds the name in each table.  The pairs
+    are resolved first, so each table is read once however many there are: a
+    list in the driver, a table (ord, old, new) of any length by Spark.  Names
+    that two master rows would share afterwards come back as `collisions`.
     """
-    final = resolve_renames(*_live_pairs(tables[master], columns[master], pairs))
-    renamed = {
-        name: _map_values(df, columns[name], final) if name in columns else df
-        for name, df in tables.items()
-    }
-    targets = listed_frame(tables[master].sparkSession, [(n,) for n in sorted(set(final.values()))], "name string")
-    after = renamed[master].select(F.col(columns[master]).alias("name"))
-    collisions = (
-        after.join(targets, "name", "left_semi").groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    )
-    return Renamed(renamed, collisions)
+    names, spark = columns[master], tables[master].sparkSession
+    final = _renames(tables[master], names, pairs)
+    if final is None:
+        return Renamed(dict(tables), spark.createDataFrame([], "name string, n long"))
+    renamed = {name: _map_values(df, columns[name], final) if name in columns else df for name, df in tables.items()}
+    targets = final.select(F.col("new").alias("name")).distinct()
+    after = renamed[master].select(F.col(names).alias("name"))
+    collisions = lookup_join(after, targets, "name", "left_semi").groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    return Renamed(renamed, collisions.where("n > 1"))
 
 
 class Merged(NamedTuple):
@@ -264,7 +254,7 @@ def resolve_merges(pairs: Sequence[tuple[str, str]], present: set[str]) -> tuple
     """
     names, order, gone = set(present), {}, set()
     for old, new in pairs:
-        if old not in names or old == new:
+        if old not in names or old == new or new is None:
             continue
         arriving = order.pop(old, [] if old in gone else [old])
         order.setdefault(new, [] if new in gone else [new]).extend(arriving)
@@ -273,6 +263,18 @@ def resolve_merges(pairs: Sequence[tuple[str, str]], present: set[str]) -> tuple
     return order, gone
 
 
+def _merges(master: DataFrame, column: str, pairs: Pairs) -> tuple[DataFrame, DataFrame] | None:
+    """(member, target, rank) and the names (old) that are gone; None if a list of pairs merges nothing."""
+    if isinstance(pairs, DataFrame):
+        return merges_from(pairs, master.select(F.col(column).alias("old")))
+    order, gone = resolve_merges(pairs, _present(master, column, pairs))
+    if not gone:
+        return None
+    spark = master.sparkSession
+    ranks = [(member, target, rank) for target, members in order.items() for rank, member in enumerate(members)]
+    return listed_frame(spark, ranks, "member string, target string, rank long"), listed_frame(spark, [(g,) for g in sorted(gone)], "old string")
+
+
 def merge_namespace(
     tables: Mapping[str, DataFrame],
     master: tuple[str, str],
@@ -289,47 +291,34 @@ def merge_namespace(
     which is reported and not repaired.
 
     All pairs are applied in one pass: each namespace gets a target and a rank,
-    rank 0 being the target itself and later arrivals higher ranks, and of the
-    rows sharing a name the lowest rank stays.
+    the target's own rows the lowest and later arrivals higher ranks, and of
+    the rows sharing a name the lowest rank stays.
     """
     master_table, master_name = master
     owned_table, namespace, name = owned
     links_table, link_name, link_keys = links
-    spark = tables[master_table].sparkSession
-    order, gone = resolve_merges(*_live_pairs(tables[master_table], master_name, pairs))
-    ranks = [
-        (member, target, rank) for target, members in order.items() for rank, member in enumerate(members)
-    ]
-    final = {member: target for member, target, _ in ranks if member != target}
-
-    rows = tables[owned_table]
-    if ranks:
-        lookup = listed_frame(spark, ranks, "__ns string, __target string, __rank int")
-        placed = rows.join(lookup, F.col(namespace) == F.col("__ns"), "left")
-        affected = placed.where(F.col("__target").isNotNull())
-        winners = (
-            affected.where(F.col(name).isNotNull()).groupBy("__target", name).agg(F.min("__rank").alias("__first"))
-        )
-        judged = lookup_join(affected, winners, ["__target", name], "left")
-        loses = F.col("__rank") > F.coalesce("__first", "__rank")
-        kept = judged.where(~loses).withColumn(namespace, F.col("__target")).select(*rows.columns)
-        dropped = judged.where(loses).select(*rows.columns)
-        moved = placed.where(F.col("__target").isNull()).select(*rows.columns).unionByName(kept)
-    else:
-        moved, dropped = rows, rows.limit(0)
-
-    relinked = _map_values(tables[links_table], link_name, final)
-    targets = listed_frame(spark, [(t,) for t in sorted(set(final.values()))], f"{link_name} string")
-    double = (
-        relinked.join(targets, link_name, "left_semi")
-        .groupBy(*link_keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-    )
-    slim = tables[master_table]
-    if gone:
-        removed = listed_frame(spark, [(g,) for g in sorted(gone)], f"{master_name} string")
-        slim = slim.join(removed, master_name, "left_anti").select(*slim.columns)
+    rows, linked = tables[owned_table], tables[links_table]
+    found = _merges(tables[master_table], master_name, pairs)
+    if found is None:
+        double = linked.limit(0).groupBy(*link_keys).agg(F.count(F.lit(1)).alias("n"))
+        return Merged(dict(tables), rows.limit(0), double)
+    ranks, gone = found
+    lookup = ranks.select(F.col("member").alias("__ns"), F.col("target").alias("__target"), F.col("rank").alias("__rank"))
+    placed = lookup_join(rows.withColumn("__ns", F.col(namespace)), lookup, "__ns")
+    affected = placed.where(F.col("__target").isNotNull())
+    winners = affected.where(F.col(name).isNotNull()).groupBy("__target", name).agg(F.min("__rank").alias("__first"))
+    judged = lookup_join(affected, winners, ["__target", name], "left")
+    loses = F.col("__rank") > F.coalesce("__first", "__rank")
+    kept = judged.where(~loses).withColumn(namespace, F.col("__target")).select(*rows.columns)
+    dropped = judged.where(loses).select(*rows.columns)
+    moved = placed.where(F.col("__target").isNull()).select(*rows.columns).unionByName(kept)
+
+    final = ranks.where("member <> target").select(F.col("member").alias("old"), F.col("target").alias("new"))
+    relinked = _map_values(linked, link_name, final)
+    targets = final.select(F.col("new").alias(link_name)).distinct()
+    double = lookup_join(relinked, targets, link_name, "left_semi").groupBy(*link_keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    removed = gone.select(F.col("old").alias(master_name))
+    slim = lookup_join(tables[master_table], removed, master_name, "left_anti").select(*tables[master_table].columns)
     result = {**tables, master_table: slim, owned_table: moved, links_table: relinked}
     return Merged(result, dropped, double)
 

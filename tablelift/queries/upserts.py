@@ -214,7 +214,7 @@ def rename_from_table(spark, sf):
     return done.tables["customer"]
 
 
-def _merged_events(spark, sf):
+def _merged_events(spark, sf, pairs=(("error", "view"), ("nothing", "view"), ("click", "view"))):
     events = table(spark, sf, "events").select(
         "event_id", "event_type", F.concat_ws("|", F.col("user_id").cast("string"), "props").alias("name")
     )
@@ -225,7 +225,7 @@ def _merged_events(spark, sf):
         ("types", "event_type"),
         ("events", "event_type", "name"),
         ("links", "event_type", ["user_id", "event_type"]),
-        [("error", "view"), ("nothing", "view"), ("click", "view")],
+        pairs,
     )
 
 
@@ -236,6 +236,19 @@ MERGED = """WITH named AS (SELECT event_id, event_type, user_id || '|' || props
             FROM one WHERE NOT (event_type = 'click' AND name IN (SELECT name FROM one WHERE event_type = 'view')))"""
 
 
+@query("merge_from_table", f"{MERGED} SELECT event_id, event_type FROM two UNION ALL SELECT NULL, event_type FROM (SELECT DISTINCT event_type FROM events) WHERE event_type NOT IN ('error', 'click')")
+def merge_from_table(spark, sf):
+    """Pairs as a table: one per document, most of them a long chain of names nobody has; the names left come with the rows."""
+    doc = F.col("doc_id")
+    old = F.when(doc == 3, "error").when(doc == 5, "nothing").when(doc == 8, "click").otherwise(F.concat(F.lit("doc "), doc.cast("string")))
+    new = F.when(doc.isin(3, 5, 8), "view").otherwise(F.concat(F.lit("doc "), (doc + 1).cast("string")))
+    pairs = table(spark, sf, "documents").select(doc.alias("ord"), old.alias("old"), new.alias("new"))
+    done = _merged_events(spark, sf, pairs)
+    return done.tables["events"].select("event_id", "event_type").unionByName(
+        done.tables["types"].select(F.lit(None).cast("long").alias("event_id"), "event_type")
+    )
+
+
 @query("merge_namespace", f"{MERGED} SELECT event_id, event_type FROM two")
 def merge_namespace(spark, sf):
     return _merged_events(spark, sf).tables["events"].select("event_id", "event_type")
