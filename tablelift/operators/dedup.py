@@ -150,6 +150,28 @@ class Deleted(NamedTuple):
     failures: DataFrame  # id, reason
 
 
+def _blocked_above(blocked: DataFrame, waiting: DataFrame) -> DataFrame:
+    """`blocked` (loser_id) and all losers above that wait for one of them, directly or through others.
+
+    After a round everything within 2, 4, 8, … levels is marked, and the
+    pointers lead as many levels up.  Where they lead from no marked loser, none
+    has that many levels above it, and all are marked.  Ids that several rows
+    share have several pointers.
+    """
+    marked, jump, some = blocked, waiting, {"rows": F.lit(True)}
+    while True:
+        struck = lookup_join(jump, marked.select(F.col("loser_id").alias("child_id")).distinct(), "child_id", "left_semi")
+        struck, seen = materialise_counted(struck.select("loser_id").distinct(), "blocked", some)
+        if not seen["rows"]:
+            return marked.distinct()
+        marked = marked.unionByName(struck)
+        onward = jump.select(F.col("child_id").alias("loser_id"), F.col("loser_id").alias("__next"))
+        further = lookup_join(jump, onward, "loser_id", "inner").select("child_id", F.col("__next").alias("loser_id"))
+        jump, seen = materialise_counted(further.distinct(), "jumps", some)
+        if not seen["rows"]:
+            return marked.distinct()
+
+
 def delete_losers(
     df: DataFrame, row_id: str, losers: DataFrame, children: DataFrame, parent: str, child_id: str | None = None
 ) -> Deleted:
@@ -157,8 +179,9 @@ def delete_losers(
 
     With `child_id` the children live in the same table: a child that is itself
     a deletable loser with a higher id is gone by the time its parent's turn
-    comes.  What blocks a parent is then found in rounds, one per level of
-    losers below losers.
+    comes.  What is blocked blocks all losers above it that wait for it; their
+    pointers are doubled, so the rounds grow with the logarithm of the longest
+    line of losers below losers.
     """
     doomed = losers.select(F.col("loser_id")).distinct()
     columns = [F.col(parent).alias("loser_id")] + ([F.col(child_id).alias("child_id")] if child_id else [])
@@ -175,16 +198,7 @@ def delete_losers(
         blocked = edges.where(~goes_first).select("loser_id").distinct()
         waiting = edges.where(goes_first)
         if seen["waiting"]:
-            blocked = materialise(blocked, "blocked")
-            frontier = blocked
-            while True:
-                stuck = frontier.select(F.col("loser_id").alias("child_id"))
-                above = lookup_join(waiting, stuck, "child_id", "left_semi").select("loser_id").distinct()
-                fresh = above.join(blocked, "loser_id", "left_anti")
-                frontier, seen = materialise_counted(fresh, "frontier", {"rows": F.lit(True)})
-                if not seen["rows"]:
-                    break
-                blocked = materialise(blocked.unionByName(frontier), "blocked")
+            blocked = _blocked_above(materialise(blocked, "blocked"), waiting.select("child_id", "loser_id"))
         stays = blocked.select(F.col("loser_id").alias("child_id"), F.lit(True).alias("child_stays"))
         judged = lookup_join(edges, stays, "child_id", "left")
         remaining = judged.where(~goes_first | F.coalesce(F.col("child_stays"), F.lit(False)))
