@@ -13,6 +13,7 @@ from tablelift.functions import is_true
 from tablelift.scale import lookup_join, materialise_counted, once
 
 SHORTCUTS = 4  # longer steps kept per source and length
+DEEP = 4  # rounds that go by edges alone
 
 
 def lineage_check(df: DataFrame, row_id: str, parent: str, broken: Column | None = None) -> DataFrame:
@@ -127,11 +128,11 @@ def implication_closure(implications: DataFrame, source: str, target: str, start
 
     With `starts` (one column) only these sources are followed, so the pairs
     are those asked for.  Pairs found in one round are extended in the next by
-    every edge, so nothing is missed, and by shortcuts over 2, 4, 8, … edges.
-    Each round makes the next shortcuts from the last; a source keeps
-    SHORTCUTS of them, so there are never many more than edges.  A chain or a
-    cycle of n groups so takes about log2(n) rounds.  Only pairs not seen
-    before go on to the next round.
+    every edge, so nothing is missed, and from the DEEP-th round on by
+    shortcuts over 2, 4, 8, … edges.  Each round makes the next shortcuts from
+    the last; a source keeps SHORTCUTS of them, so there are never many more
+    than edges.  A chain or a cycle of n groups so takes about log2(n) rounds.
+    Only pairs not seen before go on to the next round.
     """
     edges = implications.select(F.col(source).alias("source"), F.col(target).alias("target")).dropna()
     edges = once(edges.where("source <> target").distinct(), "implications")
@@ -141,12 +142,13 @@ def implication_closure(implications: DataFrame, source: str, target: str, start
         first = lookup_join(edges, wanted, "source", "left_semi")
     found = {"pairs": F.lit(True)}
     frontier, seen = materialise_counted(first, "closure", found)
-    known, steps, shortcuts = frontier, edges, _few_per_source(edges)
+    known, steps, shortcuts, rounds = frontier, edges, _few_per_source(edges), 0
     while seen["pairs"]:
+        rounds += 1
         fresh = _then(frontier, steps).join(known, ["source", "target"], "left_anti")
         frontier, seen = materialise_counted(fresh, "closure", found)
         known = known.unionByName(frontier)
-        if seen["pairs"] and shortcuts is not None:
+        if seen["pairs"] and rounds >= DEEP and shortcuts is not None:
             shortcuts, longer = materialise_counted(_few_per_source(_then(shortcuts, shortcuts)), "shortcuts", found)
             steps = steps.unionByName(shortcuts)
             shortcuts = shortcuts if longer["pairs"] else None
