@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from tablelift.operators import checks
 from tablelift.operators.joins import missing_in_target
+from tablelift.operators.sequence import number_rows
 from tablelift.queries.registry import query, table
 from tablelift.scale import new_table_path
-from tablelift.sources import report_document
+from tablelift.sources import report_document, write_report_object
 
 
 @query("count_where", """SELECT count(*) AS n FROM events WHERE nullif(event_type, 'click') = 'error'""")
@@ -154,3 +155,23 @@ def report_json(spark, sf):
     stats = table(spark, sf, "orders").agg(F.count(F.lit(1)).alias("total"))
     at = F.to_timestamp(F.lit("2024-01-02 03:04:05"))
     return report_document(issues(spark, sf), stats, "views", "orders", at)
+
+
+@query(
+    "report_object",
+    f"""WITH {ISSUES}, listed AS (
+            SELECT CASE WHEN severity = 'error' THEN 1 ELSE 3 END AS section, type, entity_id,
+                   '{{"type":"' || type || '","severity":"' || severity || '","entity_id":"' || entity_id || '"' || coalesce(',' || detail[2:], '}}') AS value FROM issues),
+        numbered AS (SELECT section, row_number() OVER (PARTITION BY section ORDER BY type, entity_id, value) AS nth, value FROM listed),
+        lines AS (SELECT section, nth, CASE WHEN nth > 1 THEN ',' ELSE '' END || value AS value FROM numbered
+            UNION ALL SELECT 0, 0, '{{"type":"views","timestamp":"2024-01-02T03:04:05","database":"orders","stats":{{"total":' || (SELECT count(*) FROM orders) || '}},"errors":['
+            UNION ALL SELECT 2, 0, '],"warnings":[' UNION ALL SELECT 4, 0, ']}}')
+        SELECT row_number() OVER (ORDER BY section, nth) AS line, value FROM lines""",
+)
+def report_object(spark, sf):
+    """One JSON document over several files, read back line by line in the order of the files."""
+    stats = table(spark, sf, "orders").agg(F.count(F.lit(1)).alias("total"))
+    path = new_table_path(spark, "report")
+    write_report_object(issues(spark, sf), stats, path, "views", "orders", at=F.to_timestamp(F.lit("2024-01-02 03:04:05")))
+    lines = spark.read.option("lineSep", "\n").text(path).withColumn("file", F.input_file_name()).withColumn("place", F.monotonically_increasing_id())
+    return number_rows(lines, None, ["file", "place"], "line").select("line", "value")

@@ -3,7 +3,7 @@
 from tablelift.sources.changes import change_catalog, change_lists, invalid_changes, read_change_files
 from tablelift.sources.guards import has_column, has_table, run_if
 from tablelift.sources.mirror import apply_mirror, mirror_plan
-from tablelift.sources.report import report_document, write_report
+from tablelift.sources.report import report_document, report_lines, write_report, write_report_object
 from tablelift.sources.snapshots import SnapshotStore, read_declared, read_jdbc, read_table, run_sql
 
 __all__ = [
@@ -20,7 +20,9 @@ __all__ = [
     "read_jdbc",
     "read_table",
     "report_document",
+    "report_lines",
     "run_if",
     "run_sql",
     "write_report",
+    "write_report_object",
 ]

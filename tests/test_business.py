@@ -2,6 +2,9 @@
 
 import hashlib
 
+import json
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +12,7 @@ from tablelift.plans import business
 from tablelift.plans.path import Stage, reports, run_path, version_path
 from tablelift.plans.validation import validate_views
 from tablelift.scale import new_table_path
-from tablelift.sources import SnapshotStore, change_lists, has_table, read_change_files, read_table, run_sql, write_report
+from tablelift.sources import SnapshotStore, change_lists, has_table, read_change_files, read_table, run_sql, write_report, write_report_object
 
 
 @pytest.fixture(scope="module")
@@ -268,6 +271,28 @@ def test_reports_have_one_shape_whatever_their_length(spark, frame):
     assert len(shapes) == 1
 
 
+@pytest.mark.parametrize("n", [0, 1, 7, 2500])
+def test_a_report_object_is_one_document(spark, frame, both, n):
+    detail = "CASE id % 4 WHEN 0 THEN NULL WHEN 1 THEN '{}' WHEN 2 THEN concat('{\"path\":\"a', id, '\\\\n\"}') ELSE 'plain \"text\"' END"
+    issues = spark.range(n).repartition(5).selectExpr("concat('t', id % 3) AS type", "CASE WHEN id % 2 = 0 THEN 'error' ELSE 'warning' END AS severity", "cast(id AS string) AS entity_id", f"{detail} AS detail")
+    path = new_table_path(spark, "report").removeprefix("file:")
+    stats = frame("total long, broken long", (n, 2))
+    assert not write_report_object(issues, stats, path, "views", "db", enabled=False)
+    assert write_report_object(issues, stats, path, "views", 'd"b', at=F.to_timestamp(F.lit("2024-01-02 03:04:05")))
+    parts = sorted(Path(path).glob("part-*"))
+    report = json.loads("".join(p.read_text() for p in parts))
+    assert list(report) == ["type", "timestamp", "database", "stats", "errors", "warnings"]
+    assert (report["type"], report["timestamp"], report["database"], report["stats"]) == ("views", "2024-01-02T03:04:05", 'd"b', {"total": n, "broken": 2})
+    found = report["errors"] + report["warnings"]
+    assert all(e["severity"] == "error" for e in report["errors"]) and all(e["severity"] == "warning" for e in report["warnings"])
+    assert sorted(int(e["entity_id"]) for e in found) == list(range(n))
+    for e in found:
+        i = int(e["entity_id"])
+        own = [{}, {}, {"path": f"a{i}\n"}, {"detail": 'plain "text"'}][i % 4]
+        assert e == {"type": f"t{i % 3}", "severity": e["severity"], "entity_id": str(i), **own}
+    assert n < 2500 or len(parts) > 1
+
+
 def test_path_rules():
     assert version_path(12, 15) == [13, 14, 15]
     assert version_path(12, 15, "13") == [14, 15]
