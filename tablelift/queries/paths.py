@@ -8,7 +8,7 @@ from tablelift.plans.renumber import renumber_and_chain
 from tablelift.queries.registry import query, table
 from tablelift.queries.sequences import finished, payload
 from tablelift.scale import new_table_path
-from tablelift.sources import SnapshotStore, read_table, run_sql
+from tablelift.sources import SnapshotStore, file_manifest, mirror_files, read_table, run_sql, write_files
 
 
 def _on(name, step):
@@ -172,3 +172,30 @@ def renumber_run(spark, sf):
 )
 def renumber_counters(spark, sf):
     return _renumbered(spark, sf).counters
+
+
+MIRRORED = """WITH old AS (SELECT page_id % 5 || '/' || page_id || '.html' AS path, CASE WHEN page_id % 3 = 0 THEN url ELSE html END AS content FROM pages WHERE page_id % 4 <> 0
+                         UNION ALL SELECT 'extra/' || page_id, url FROM pages WHERE page_id % 7 = 0),
+    new AS (SELECT page_id % 5 || '/' || page_id || '.html' AS path, html AS content FROM pages),
+    did AS (SELECT coalesce(new.path, old.path) AS path, new.content, CASE WHEN old.path IS NULL THEN 'copy' WHEN new.path IS NULL THEN 'delete'
+                WHEN new.content = old.content THEN 'keep' ELSE 'update' END AS action
+            FROM old FULL JOIN new ON new.path = old.path)"""
+
+
+@query(
+    "mirror_files",
+    f"""{MIRRORED} SELECT path, action, CASE WHEN action IN ('copy', 'update') THEN strlen(content) ELSE 0 END AS bytes,
+            CASE WHEN content IS NOT NULL THEN sha256(content) END AS fingerprint FROM did""",
+)
+def mirror_tree(spark, sf):
+    """Every page as a file; a folder with some of them, some old and some too many, made the same; what the folder holds then."""
+    root = new_table_path(spark, "tree")
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    page = F.concat((F.col("page_id") % 5).cast("string"), F.lit("/"), F.col("page_id").cast("string"), F.lit(".html"))
+    write_files(pages, f"{root}/new", page, "html")
+    held = pages.where("page_id % 4 <> 0").select(page.alias("path"), F.when(F.col("page_id") % 3 == 0, F.col("url")).otherwise(F.col("html")).alias("content"))
+    extra = pages.where("page_id % 7 = 0").select(F.concat(F.lit("extra/"), F.col("page_id").cast("string")).alias("path"), F.col("url").alias("content"))
+    write_files(held.unionByName(extra), f"{root}/old", "path", "content")
+    done = mirror_files(spark, f"{root}/new", f"{root}/old")
+    left = file_manifest(spark, f"{root}/old").select("path", "fingerprint")
+    return done.join(left, "path", "full_outer").select("path", "action", "bytes", "fingerprint")

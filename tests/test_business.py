@@ -12,7 +12,7 @@ from tablelift.plans import business
 from tablelift.plans.path import Stage, reports, run_path, version_path
 from tablelift.plans.validation import validate_views
 from tablelift.scale import new_table_path
-from tablelift.sources import SnapshotStore, change_lists, has_table, read_change_files, read_table, run_sql, write_report, write_report_object
+from tablelift.sources import SnapshotStore, change_lists, file_manifest, has_table, mirror_files, read_change_files, read_table, run_sql, write_files, write_report, write_report_object
 
 
 @pytest.fixture(scope="module")
@@ -293,6 +293,29 @@ def test_a_report_object_is_one_document(spark, frame, both, n):
     assert n < 2500 or len(parts) > 1
 
 
+def test_files_are_mirrored(spark, frame, rows, tmp_path):
+    src, dst = tmp_path / "a b%20ü", tmp_path / "dst"
+    files = frame("path string, text string", ("x.txt", "one"), ("deep/er/y z.txt", "zwei ü"), ("deep/%41.txt", ""), ("n.txt", None), (None, "lost"), ("twice", "b"), ("twice", "a"))
+    assert rows(write_files(files, str(src), "path", "text")) == [("x.txt", 3), ("deep/er/y z.txt", 7), ("deep/%41.txt", 0), ("n.txt", 0), ("twice", 1)]
+    found = {r.path: (r.length, r.fingerprint) for r in file_manifest(spark, str(src)).collect()}
+    assert found == {p: (len(t), hashlib.sha256(t).hexdigest()) for p, t in (("x.txt", b"one"), ("deep/er/y z.txt", "zwei ü".encode()), ("deep/%41.txt", b""), ("n.txt", b""), ("twice", b"a"))}
+    assert rows(file_manifest(spark, str(src), "*.txt", content=False), "path", "fingerprint") == [("x.txt", "3"), ("deep/er/y z.txt", "7"), ("deep/%41.txt", "0"), ("n.txt", "0")]
+    assert file_manifest(spark, str(dst)).count() == 0
+
+    first = mirror_files(spark, str(src), str(dst))
+    assert rows(first, "path", "action") == [(p, "copy") for p in found]
+    (dst / "x.txt").write_text("two")
+    (dst / "more").mkdir()
+    (dst / "more" / "extra").write_bytes(b"0" * 10)
+    (dst / "n.txt").unlink()
+    again = mirror_files(spark, str(src), str(dst))
+    assert rows(again) == [("x.txt", "update", 3), ("more/extra", "delete", 0), ("n.txt", "copy", 0), ("deep/er/y z.txt", "keep", 0), ("deep/%41.txt", "keep", 0), ("twice", "keep", 0)]
+    assert {r.path: (r.length, r.fingerprint) for r in file_manifest(spark, str(dst)).collect()} == found
+    assert rows(mirror_files(spark, str(src), str(dst)).where("action <> 'keep'")) == []
+    plan = file_manifest(spark, str(src), content=False)._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+
+
 def test_path_rules():
     assert version_path(12, 15) == [13, 14, 15]
     assert version_path(12, 15, "13") == [14, 15]
