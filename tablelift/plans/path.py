@@ -85,6 +85,7 @@ def run_path(
     upgrade: Callable[[int, Tables], Tables] | None = None,
     finish: Sequence[Step] = (),
     resume_from: int | str | None = None,
+    prune: bool = False,
 ) -> Tables:
     """Run every stage from origin to final and return the last snapshot's tables.
 
@@ -94,7 +95,8 @@ def run_path(
     restart point.  All snapshots after the starting point are withdrawn first,
     so that no version left over from an earlier run can be mistaken for this
     run's; files are never overwritten, so the source may come from this store.  ``prepare`` runs on a fresh start only; ``finish`` runs on
-    the final version and is written with it.
+    the final version and is written with it.  ``prune`` deletes what earlier runs have left, once
+    this one is complete.
     """
     versions = version_path(origin, final, resume_from)
     extras = extras or {}
@@ -103,10 +105,10 @@ def run_path(
             raise ValueError("a fresh run needs source tables")
         withdraw(store, origin)
         tables = store.write(origin, _apply(dict(source), prepare))
-        folders = store.folders(origin)
+        entries = store.entries(origin)
     else:
         tables = store.read(int(resume_from))
-        folders = store.folders(int(resume_from))
+        entries = store.entries(int(resume_from))
         withdraw(store, int(resume_from) + 1)
 
     for version in versions:
@@ -117,9 +119,11 @@ def run_path(
         result = _apply(result, [*stage.after, *extra.after])
         if version == final:
             result = _apply(result, finish)
-        unchanged = {name: folders[name] for name, df in result.items() if df is tables.get(name)}
-        tables = store.write(version, result, unchanged)
-        folders = store.folders(version)
+        unchanged = {name: entries[name] for name, df in result.items() if df is tables.get(name)}
+        tables = store.write(version, result, unchanged, entries)
+        entries = store.entries(version)
+    if prune:
+        store.prune()
     return tables
 
 

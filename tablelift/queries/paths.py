@@ -199,3 +199,21 @@ def mirror_tree(spark, sf):
     done = mirror_files(spark, f"{root}/new", f"{root}/old")
     left = file_manifest(spark, f"{root}/old").select("path", "fingerprint")
     return done.join(left, "path", "full_outer").select("path", "action", "bytes", "fingerprint")
+
+
+@query(
+    "staged_parts",
+    """SELECT o_orderkey, CASE WHEN o_orderkey // 1000 = 3 AND o_orderstatus = 'O' THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+              CASE o_orderkey // 1000 WHEN 0 THEN 2 WHEN 3 THEN 1 ELSE 0 END AS written_by
+       FROM orders WHERE o_orderkey >= 500""",
+)
+def staged_parts(spark, sf):
+    """A run that keeps orders in parts of 1,000 keys; every row with the version that wrote its part."""
+    part = F.floor(F.col("o_orderkey") / 1000)
+    store = SnapshotStore(spark, new_table_path(spark, "path"), {"orders": part})
+    change = _on("orders", lambda df: edit.update_where(df, (part == 3) & (F.col("o_orderstatus") == "O"), {"o_orderstatus": "X"}))
+    steps = {1: Stage(before=[change]), 2: Stage(after=[_on("orders", lambda df: edit.delete_where(df, F.col("o_orderkey") < 500))])}
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    last = run_path(store, {"orders": orders}, 0, 2, steps)["orders"]
+    parts = spark.createDataFrame([(int(p[1:]), v) for p, v in store.parts(2, "orders").items()], "part long, written_by int")
+    return last.withColumn("part", part).join(parts, "part").select("o_orderkey", "o_orderstatus", "written_by")

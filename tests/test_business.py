@@ -324,6 +324,70 @@ def test_path_rules():
             version_path(12, 15, bad)
 
 
+def _bytes_of(store, version):
+    """Bytes of the folders that this version wrote."""
+    root = Path(store.root.removeprefix("file:"))
+    return sum(p.stat().st_size for d in (root / "data").glob(f"{version}-*") for p in d.rglob("*.parquet"))
+
+
+def test_only_changed_parts_are_written(spark, rows):
+    part = F.floor(F.col("id") / 100)
+    store = SnapshotStore(spark, new_table_path(spark, "store"), {"t": part})
+    source = spark.range(10_000).selectExpr("id", "concat('text ', id * 7919 % 10007, repeat('x', cast(id % 50 AS int))) AS text", "cast(NULL AS int) AS none")
+
+    def one_part(t):
+        return {**t, "t": t["t"].withColumn("text", F.when(part == 17, "new").otherwise(F.col("text")))}
+
+    def drop_and_add(t):
+        more = t["t"].where("id < 3").withColumn("id", F.col("id") + 20_000)
+        return {**t, "t": t["t"].where(part != 5).unionByName(more)}
+
+    steps = {1: Stage(before=[one_part]), 2: Stage(before=[drop_and_add]), 3: Stage(before=[lambda t: t]), 4: Stage(before=[lambda t: {"t": t["t"].repartition(3)}])}
+    last = run_path(store, {"t": source}, 0, 4, steps)["t"]
+    want = source.withColumn("text", F.when(part == 17, "new").otherwise(F.col("text"))).where(part != 5)
+    want = want.unionByName(source.where("id < 3").withColumn("id", F.col("id") + 20_000))
+    assert last.columns == ["id", "text", "none"]
+    assert rows(last) == rows(want)
+    assert _bytes_of(store, 1) < 0.03 * _bytes_of(store, 0)
+    assert _bytes_of(store, 4) == 0  # the same rows in another order
+    written = store.parts(4, "t")
+    assert len(written) == 100 and "=5" not in written
+    assert {p for p, v in written.items() if v == 1} == {"=17"} and {p for p, v in written.items() if v == 2} == {"=200"}
+
+    again = run_path(store, None, 0, 4, steps, resume_from=2, prune=True)["t"]
+    assert rows(again) == rows(want)
+    assert rows(SnapshotStore(spark, store.root).read(1)["t"]) == rows(source.withColumn("text", F.when(part == 17, "new").otherwise(F.col("text"))))
+
+
+def test_parts_of_other_shapes(spark, frame, rows):
+    store = SnapshotStore(spark, new_table_path(spark, "store"), {"t": "p", "m": "p", "never": "p"})
+    table = frame("p string, v int", (None, 1), ("", 2), ("a/b=c", 3), ("null", 4), ("=", 4))
+    maps = spark.sql("SELECT 1 AS p, map('k', 1) AS m UNION ALL SELECT 2, map('k', 2)")
+    first = store.write(0, {"t": table, "m": maps, "e": frame("p string")})
+    assert rows(first["t"]) == rows(table) and first["m"].count() == 2
+    base = store.entries(0)
+    same = store.write(1, first, base={**base})
+    assert rows(same["t"]) == rows(table) and set(store.parts(1, "t").values()) == {0} and set(store.parts(1, "m").values()) == {1}
+    wider = store.write(2, {"t": same["t"].withColumn("w", F.lit(1))}, base=store.entries(1))
+    assert set(store.parts(2, "t").values()) == {2} and wider["t"].columns == ["p", "v", "w"]
+    swapped = store.write(3, {"t": wider["t"].withColumn("v", F.when(F.col("p") == "", 3).when(F.col("v") == 3, 2).otherwise(F.col("v")))}, base=store.entries(2))
+    assert rows(swapped["t"], "v") == [(1,), (3,), (2,), (4,), (4,)] and sorted(store.parts(3, "t").values()) == [2, 2, 2, 3, 3]
+    none = store.write(4, {"t": swapped["t"].limit(0)}, base=store.entries(3))
+    assert none["t"].count() == 0 and none["t"].columns == ["p", "v", "w"]
+    assert rows(store.read(3)["t"], "v") == [(1,), (3,), (2,), (4,), (4,)]
+
+
+def test_withdrawn_attempts_are_removed_on_request(spark, frame, rows):
+    store = SnapshotStore(spark, new_table_path(spark, "store"))
+    assert store.prune() == []
+    for n in range(3):
+        run_path(store, {"t": frame("x int", (n,))}, 0, 1, {1: Stage(before=[lambda t: {"t": t["t"].withColumn("x", F.col("x") + 1)}])})
+    folder = Path(store.root.removeprefix("file:")) / "data"
+    assert len(list(folder.iterdir())) == 6
+    assert len(store.prune()) == 4 and len(list(folder.iterdir())) == 2
+    assert rows(store.read(0)["t"]) == [(2,)] and rows(store.read(1)["t"]) == [(3,)]
+
+
 def test_untouched_tables_are_not_copied(spark, frame, rows):
     store = SnapshotStore(spark, new_table_path(spark, "store"))
     tables = {"a": frame("x int", (1,)), "b": frame("x int", (2,))}
