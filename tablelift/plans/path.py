@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tablelift.scale import local_frame, materialise_counted, once
 from tablelift.sources.snapshots import SnapshotStore
 
 Tables = dict[str, DataFrame]
@@ -51,18 +53,23 @@ def reports(tables: Mapping[str, DataFrame]) -> Tables:
 
 
 def counted(name: str, table: str, step: Step, **predicates: Column) -> Step:
-    """A step that reports what it did to a table: rows before and after, and rows after per predicate."""
+    """A step that reports what it did to a table: rows before and after, and rows after per predicate.
+
+    The step runs once: its result is written and counted in one pass, and the
+    rows before are those of a stored table (written first if it is none).
+    """
 
     def run(tables: Tables) -> Tables:
         if table not in tables:
             return step(tables)
-        done = step(tables)
-        before = tables[table].agg(F.count(F.lit(1)).alias("rows_before"))
-        after = done[table].agg(
-            F.count(F.lit(1)).alias("rows_after"), *[F.count_if(p).alias(n) for n, p in predicates.items()]
-        )
-        facts = after.select(F.lit(table).alias("table"), before.scalar().alias("rows_before"), "*")
-        return with_report(done, name, facts)
+        entering = once(tables[table], "counted")
+        done = step({**tables, table: entering})
+        left, seen = materialise_counted(done[table], "counted", {"rows_after": F.lit(True), **predicates})
+        if done[table] is not entering:
+            done = {**done, table: left}
+        facts = {"rows_before": entering.count(), **{n: seen[n] for n in ("rows_after", *predicates)}}
+        schema = StructType.fromDDL(", ".join(["`table` string", *[f"`{n}` long" for n in facts]]))
+        return with_report(done, name, local_frame(entering.sparkSession, [(table, *facts.values())], schema))
 
     return run
 

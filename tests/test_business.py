@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablelift.plans import business
-from tablelift.plans.path import Stage, reports, run_path, version_path
+from tablelift.plans.path import Stage, counted, reports, run_path, version_path
 from tablelift.plans.validation import validate_views
 from tablelift.scale import new_table_path
 from tablelift.sources import SnapshotStore, change_lists, file_manifest, has_table, mirror_files, read_change_files, read_table, run_sql, write_files, write_report, write_report_object
@@ -324,6 +324,25 @@ def test_path_rules():
             version_path(12, 15, bad)
 
 
+def test_a_counted_step_runs_once(spark, rows):
+    looked = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for batch in batches:
+            looked.add(batch.num_rows)
+            yield batch
+
+    def step(tables):
+        return {**tables, "t": tables["t"].mapInArrow(look, "id long").where("id % 4 <> 0")}
+
+    store = SnapshotStore(spark, new_table_path(spark, "store"))
+    steps = {1: Stage(before=[counted("first", "t", step, odd=F.col("id") % 2 == 1), counted("second", "t", step)], after=[counted("idle", "t", lambda t: t)])}
+    last = run_path(store, {"t": spark.range(1000)}, 0, 1, steps)
+    assert looked.value == 1000 + 750
+    assert {n: tuple(r.first()) for n, r in reports(last).items()} == {"first": ("t", 1000, 750, 500), "second": ("t", 750, 750), "idle": ("t", 750, 750)}
+    assert last["t"].count() == 750
+
+
 def _bytes_of(store, version):
     """Bytes of the folders that this version wrote."""
     root = Path(store.root.removeprefix("file:"))
