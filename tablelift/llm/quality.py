@@ -12,8 +12,8 @@ reads every whole text, in slices, without a shuffle.
 
 Defined results: null, empty or wordless texts have no columns and score the intercept; rows
 without a label, a null label or a null doc_id are not learnt from but are scored; several labels
-of one document count as their largest; repeated documents are scored each; with no labelled rows
-at all the model is empty and every score is 0.5; extra columns are ignored by scoring.
+of one document count as their largest; of rows that share an id one is learnt from, and all are
+scored; with no labelled rows at all the model is empty and every score is 0.5; extra columns are ignored by scoring.
 """
 
 from __future__ import annotations
@@ -136,10 +136,17 @@ def example(index: np.ndarray, bits: int = BITS, scale: float = SCALE) -> tuple[
     return np.append(found, 1 << bits), np.append(scale * counts / max(len(index), 1), 1.0)
 
 
+def one_text_each(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(doc_id, label, order, text) of the chosen ids: one row each, that of smallest text hash where several share an id."""
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    first = found.groupBy("doc_id", "label", "order").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("first"))
+    return first.select("doc_id", "label", "order", "first.text")
+
+
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
     """The model learnt from at most `rows` labelled documents, in one task."""
-    chosen = F.broadcast(sample_labels(labels, "quality", rows))  # at most `rows` rows
-    texts = docs.select("doc_id", "text").join(chosen, "doc_id")
+    chosen = sample_labels(labels, "quality", rows)  # at most `rows` rows
+    texts = one_text_each(docs, chosen)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples = []

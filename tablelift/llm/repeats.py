@@ -370,7 +370,7 @@ OUT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans arr
 
 def cut(docs: DataFrame, spans: DataFrame, texts: bool) -> DataFrame:
     """Every document with what is removed and what is left; `texts` adds the bytes left."""
-    lists = spans.groupBy("doc", "row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # within one document
+    lists = spans.groupBy("doc", "row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # within one text, whose copies have the same
     lists = written(lists.withColumnRenamed("doc", "doc_id"), "spans")
     ids = lists.select("doc_id", "row")
     chosen = docs.select("doc_id", "text", row_hash())

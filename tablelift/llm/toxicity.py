@@ -18,7 +18,8 @@ ones unless given.  Scoring reads every whole text, in slices, without a shuffle
 
 Defined results: null, empty or wordless texts score the intercept; null labels and doc_ids are
 not learnt from; several labels of one document count as their largest; without any toxic row the
-model is empty and every score is (nearly) 0; repeated documents are scored each; other columns are ignored.
+model is empty and every score is (nearly) 0; of rows that share an id one is learnt from, and all are
+scored; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablelift.llm.common import Words, mix, one_value, prefix_hash, range_hash, slices
-from tablelift.llm.quality import held_out, sample_labels
+from tablelift.llm.quality import held_out, one_text_each, sample_labels
 
 BITS = 18
 POSITIVES = 2000
@@ -134,12 +135,12 @@ def train(
     if prior is None:
         prior = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
     confirmed = sample_labels(known.where("toxic = 1"), "toxic", positives)
-    free = docs.select("doc_id").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    free = docs.select("doc_id").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
     others = free.withColumn("order", F.xxhash64("doc_id", F.lit(1))).orderBy("order", "doc_id").limit(unlabelled)
     chosen = others.select("doc_id", F.lit(0).alias("label"), "order").unionByName(confirmed).groupBy("doc_id").agg(
         F.max("label").alias("label"), F.min("order").alias("order")
     )
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most positives + unlabelled rows
+    texts = one_text_each(docs, chosen)  # at most positives + unlabelled rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, toxic, order = [], [], []

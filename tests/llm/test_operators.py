@@ -362,6 +362,27 @@ def test_ftrl_separates():
     assert weights[1] + intercept > 0.5 > -0.5 > weights[0] + intercept
 
 
+@pytest.mark.parametrize("operator", [quality, toxicity])
+def test_rows_that_share_a_labelled_id_are_learnt_from_once(spark, documents, operator):
+    rng = random.Random(4)
+    rows = [(i, babble(rng, 40) + (" vile" if i % 3 == 0 else ""), "s") for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 3 != 0), int(i % 3 == 0)) for i in range(60)], "doc_id long, quality int, toxic int")
+    weights, intercept = operator.train(spark, documents(rows), labels)
+    copied = rows + [(i, rows[i][1], "s") for i in (4, 9, 12)] * 300
+    again, again_intercept = operator.train(spark, documents(copied), labels)
+    assert np.array_equal(weights, again) and intercept == again_intercept
+
+
+def test_repeats_in_rows_that_are_the_same_many_times(documents):
+    passage = babble(random.Random(6), 60)
+    rows = [(1, f"{passage} {passage} and {passage}", "s"), (2, f"first {passage} end", "s"), (3, "other", "s")]
+    once = removed(rows)
+    found = repeats.remove_repeats(documents([rows[0]] * 3000 + rows[1:])).collect()
+    assert len(found) == 3002
+    assert {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == set(once.values())
+    assert once[1][2] > 0 and all(len(r.spans) <= 2 for r in found)
+
+
 def test_toxicity_from_positive_and_unlabelled_texts(spark, documents):
     def spoil(text, rng):
         words = text.split()
