@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablelift.scale import once
+
 
 def sort_by(df: DataFrame, *keys: Column | str) -> DataFrame:
     """A total sort; Spark range-partitions it."""
@@ -17,7 +19,9 @@ def preview(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
     """The first n rows in order, each with the number of rows not shown.
 
     Every task keeps its own first n only, so nothing is sorted as a whole.
+    What is no stored table is written first, as it is read twice.
     """
+    df = once(df, "preview")
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     return df.orderBy(*order).limit(n).withColumn("n_more", F.greatest(total - n, F.lit(0)))
 

@@ -176,8 +176,13 @@ def largest_group(df: DataFrame, part: str | Sequence[str]) -> int:
 
 
 def groups_fit(df: DataFrame, part: str | Sequence[str]) -> bool:
-    """True when every group, as counted, is small enough for one task."""
-    return largest_group(df, part) <= Limits.of(df.sparkSession).group_rows
+    """True when every group, as counted, is small enough for one task.
+
+    No group is larger than the table: where stored rows are that few, counting
+    them all, without a shuffle, tells enough.
+    """
+    most = Limits.of(df.sparkSession).group_rows
+    return (is_stored(df) and df.count() <= most) or largest_group(df, part) <= most
 
 
 def _comparable(kind: T.DataType) -> bool:
