@@ -91,9 +91,9 @@ def test_run_returns_the_last_stage(spark, stages):
 
 def test_registration():
     names = entry.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.QUERIES) <= set(names) and "pipeline" in names
-    assert set(queries.ORACLES) == {"op2_decontamination", "op10_mixing"}
+    assert set(queries.ORACLES) == {"op2_decontamination", "op10_mixing", "op11_hard_negatives", "op12_lexical", "op13_url_filter"}
     assert entry.oracle_sql()["op10_mixing"] == mixing.ORACLE
 
 
