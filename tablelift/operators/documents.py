@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from tablelift.functions import all_matches, path_without_root, shorten
 from tablelift.operators.sequence import collect_in_pieces
-from tablelift.operators.xpath import Document, finds, read
+from tablelift.operators.xpath import Document, Expr, finds, read
 from tablelift.scale import lookup_join, materialise
 
 # fixed values: names and tags that are not field references
@@ -29,6 +29,7 @@ ACTION_TAGS = ("button", "a")
 # fixed values: where expressions stand in a document, and how much of an error is kept
 XPATH_ATTRIBUTE = r"<xpath[^>]+expr=\"([^\"]+)\""
 ERROR_LENGTH = 200
+MOST_READ = 10_000  # expressions a task keeps read between its batches
 
 
 def extract_exprs(
@@ -214,7 +215,10 @@ def _evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     A task reads each distinct expression once and each document once.
     """
+    known: dict[str, Expr | str] = {}
     for batch in batches:
+        if len(known) > MOST_READ:
+            known.clear()
         origin, missed, errors = [], [], []
         lists, inherits = batch.column("exprs").to_pylist(), batch.column("inherits").to_pylist()
         for row, text in enumerate(batch.column("document").to_pylist()):
@@ -223,7 +227,7 @@ def _evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             except (ExpatError, ValueError):
                 continue
             for expression in lists[row]:
-                expr = read(expression)
+                expr = known.get(expression) or known.setdefault(expression, read(expression))
                 if isinstance(expr, str) or not finds(expr, document):
                     origin.append(row)
                     missed.append(expression)
